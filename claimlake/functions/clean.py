@@ -46,7 +46,7 @@ def try_cast(name: str | Column, type_name: str) -> Column:
 
 
 def strict_date(name: str | Column) -> Column:
-    return F.try_to_date(c(name), F.lit(ISO_DATE_FORMAT))
+    return F.try_to_date(c(name), ISO_DATE_FORMAT)
 
 
 def offset_timestamp(name: str | Column) -> Column:

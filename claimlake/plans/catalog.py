@@ -12,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import gold, reports
+from ..operators import gold, reports, silver
+from ..schemas import EXPENSES, PAYMENTS
+from ..sources import bronze_fixtures as bronze
 from ..sources import fixtures as fx
 
 START, END = fx.WINDOW_START, fx.WINDOW_END
@@ -91,7 +93,66 @@ def report_unreconciled(spark, root):
     return reports.report_unreconciled_claims(_gold(spark, root)["claim_snapshot"])
 
 
+def _no_audit(df: DataFrame) -> DataFrame:
+    return df.drop("silver_processed_at")
+
+
+def claims_dq_split(spark, root):
+    """Typed claim events with every failed rule listed (C1 rules, P1-P8)."""
+    return _no_audit(silver.checked_claims(bronze.claims_feed(fx.tables(spark, root))))
+
+
+def claims_silver(spark, root):
+    """Valid claim events, one per (load_date, event_id)."""
+    return _no_audit(silver.silver_claims(bronze.claims_feed(fx.tables(spark, root))).valid)
+
+
+def exposure_dq_split(spark, root):
+    """Exposure rules incl. duplicate id / policy-day counts."""
+    checked = silver.checked_exposure(bronze.exposure_feed(fx.tables(spark, root)))
+    return checked.select(*[c for c in silver.EXPOSURE_SILVER_COLUMNS if c != "silver_processed_at"],
+                          "dq_errors", "load_date")
+
+
+def _ledger(spark, root, kind):
+    t = fx.tables(spark, root)
+    if kind == "payments":
+        return silver.silver_ledger(bronze.payments_feed(t), PAYMENTS)
+    return silver.silver_ledger(bronze.expenses_feed(t), EXPENSES)
+
+
+def payments_dq(spark, root):
+    """Payment quarantine: malformed lines, rule failures, conflicting ids."""
+    return _no_audit(_ledger(spark, root, "payments").quarantine)
+
+
+def payments_silver(spark, root):
+    return _no_audit(_ledger(spark, root, "payments").valid)
+
+
+def payments_load_metrics(spark, root):
+    """input = valid + quarantine + duplicates collapsed, per load date (K8)."""
+    return _ledger(spark, root, "payments").metrics
+
+
+def expenses_dq_scope(spark, root):
+    """Expense quarantine incl. category/scope allocation rules (C4)."""
+    return _no_audit(_ledger(spark, root, "expenses").quarantine)
+
+
+def expenses_silver(spark, root):
+    return _no_audit(_ledger(spark, root, "expenses").valid)
+
+
 QUERIES: dict[str, Query] = {
+    "claims_dq_split": claims_dq_split,
+    "claims_silver": claims_silver,
+    "exposure_dq_split": exposure_dq_split,
+    "payments_dq": payments_dq,
+    "payments_silver": payments_silver,
+    "payments_load_metrics": payments_load_metrics,
+    "expenses_dq_scope": expenses_dq_scope,
+    "expenses_silver": expenses_silver,
     "claim_snapshot": claim_snapshot,
     "policy_performance": policy_performance,
     "expense_summary": expense_summary,
