@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import gold, reports, silver
+from ..operators import gold, ibnr, reports, silver
 from ..schemas import EXPENSES, PAYMENTS
 from ..sources import bronze_fixtures as bronze
 from ..sources import fixtures as fx
@@ -144,7 +144,79 @@ def expenses_silver(spark, root):
     return _no_audit(_ledger(spark, root, "expenses").valid)
 
 
+# Bornhuetter-Ferguson run on the derived history.  The ELR and the
+# pattern are illustrative model parameters (the method supplies none);
+# proportions carry two decimals so the decimal products are exact.
+BF_START, BF_END = "1995-01-01", "2001-11-15"
+BF_ELR = "0.65"
+BF_PATTERN_JSON = (
+    '{"0": 0.10, "1": 0.25, "2": 0.40, "3": 0.50, "4": 0.60, "5": 0.70, "6": 0.78, '
+    '"7": 0.85, "8": 0.90, "9": 0.94, "10": 0.97, "11": 0.99, "12": 1.00}'
+)
+
+
+def _bf_inputs(spark, root):
+    t = fx.tables(spark, root)
+    return fx.exposure(t), fx.claims(t)
+
+
+def ibnr_premium_month(spark, root):
+    """Earned premium per accident month."""
+    exposure, claims = _bf_inputs(spark, root)
+    return ibnr.premium_by_month(ibnr.prepare(exposure, claims).exposure)
+
+
+def ibnr_loss_month(spark, root):
+    """Latest reported incurred per accident month."""
+    exposure, claims = _bf_inputs(spark, root)
+    return ibnr.losses_by_month(ibnr.prepare(exposure, claims).latest, BF_START, BF_END)
+
+
+def _bf(spark, root):
+    exposure, claims = _bf_inputs(spark, root)
+    a = ibnr.parse_assumptions(BF_ELR, BF_PATTERN_JSON)
+    return ibnr.ibnr_bf(exposure, claims, a, ibnr.pattern_frame(spark, a), BF_START, BF_END,
+                        check=False, processed_at=False)
+
+
+def ibnr_bf(spark, root):
+    """BF IBNR by accident month (C11: P18-P22, J7, J8)."""
+    return _bf(spark, root)
+
+
+def ibnr_portfolio(spark, root):
+    """Portfolio IBNR = sum over accident months of one valuation."""
+    return ibnr.portfolio_ibnr(_bf(spark, root))
+
+
+def ibnr_violations(spark, root):
+    """BF input checks on a claim feed that still repeats versions."""
+    t = fx.tables(spark, root)
+    return ibnr.violations(fx.exposure(t), fx.claim_events(t), BF_START, BF_END)
+
+
+def _in_window(df: DataFrame, column: str, start: str, end: str) -> DataFrame:
+    """The Silver history read for [start, end] (partition pruning on the
+    business date the fixtures use as load date)."""
+    return df.filter(F.col(column).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+
+
+def ibnr_adjusted_result(spark, root):
+    """reported_result_before_ibnr - portfolio IBNR for the same window."""
+    inputs = _inputs(spark, root)
+    inputs["claim_payments"] = _in_window(inputs["claim_payments"], "payment_date", BF_START, BF_END)
+    inputs["expense_transactions"] = _in_window(inputs["expense_transactions"], "expense_date", BF_START, BF_END)
+    portfolio = gold.build_gold(inputs, BF_START, BF_END, check=False, processed_at=False)["portfolio_performance"]
+    return ibnr.adjusted_result(portfolio, _bf(spark, root))
+
+
 QUERIES: dict[str, Query] = {
+    "ibnr_premium_month": ibnr_premium_month,
+    "ibnr_loss_month": ibnr_loss_month,
+    "ibnr_bf": ibnr_bf,
+    "ibnr_portfolio": ibnr_portfolio,
+    "ibnr_violations": ibnr_violations,
+    "ibnr_adjusted_result": ibnr_adjusted_result,
     "claims_dq_split": claims_dq_split,
     "claims_silver": claims_silver,
     "exposure_dq_split": exposure_dq_split,
