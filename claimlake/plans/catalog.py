@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import gold, ibnr, reports, silver
+from ..operators import gold, ibnr, policy_history, reports, silver
 from ..schemas import EXPENSES, PAYMENTS
 from ..sources import bronze_fixtures as bronze
 from ..sources import fixtures as fx
@@ -210,7 +210,57 @@ def ibnr_adjusted_result(spark, root):
     return ibnr.adjusted_result(portfolio, _bf(spark, root))
 
 
+def _policy_scd2(t):
+    return policy_history.scd2(fx.policy_versions(t))
+
+
+def scd2_history(spark, root):
+    """Effective-dated policy versions with [valid_from, valid_to)."""
+    return _policy_scd2(fx.tables(spark, root))
+
+
+def policy_as_of(spark, root):
+    """Each exposure day with the policy version effective that day (D3)."""
+    t = fx.tables(spark, root)
+    facts = fx.exposure(t).select("exposure_record_id", "policy_id", "load_date", "earned_premium")
+    return policy_history.as_of_join(facts, _policy_scd2(t), "policy_id", "load_date",
+                                     ["coverage_type", "annual_premium", "version_number"])
+
+
+def policy_change_checks(spark, root):
+    """Policy-change feed validation: policy exists, version increases,
+    effective date not before the update's business date (D1)."""
+    t = fx.tables(spark, root)
+    return policy_history.change_violations(fx.policy_changes(t), fx.policies(t))
+
+
+def scd2_gaps(spark, root):
+    """Overlaps and gaps between versions of one policy."""
+    return policy_history.interval_violations(_policy_scd2(fx.tables(spark, root)))
+
+
+SNAPSHOT_EARLIER_END = "2001-12-31"
+
+
+def snapshot_diff(spark, root):
+    """Policy performance valued at two dates, row differences."""
+    later = _gold(spark, root)["policy_performance"]
+    inputs = _inputs(spark, root)
+    inputs["claim_payments"] = _in_window(inputs["claim_payments"], "payment_date", START, SNAPSHOT_EARLIER_END)
+    inputs["expense_transactions"] = _in_window(
+        inputs["expense_transactions"], "expense_date", START, SNAPSHOT_EARLIER_END)
+    earlier = gold.build_gold(inputs, START, SNAPSHOT_EARLIER_END, check=False,
+                              processed_at=False)["policy_performance"]
+    drop = ["period_start", "period_end"]
+    return policy_history.snapshot_diff(earlier.drop(*drop), later.drop(*drop))
+
+
 QUERIES: dict[str, Query] = {
+    "scd2_history": scd2_history,
+    "policy_as_of": policy_as_of,
+    "policy_change_checks": policy_change_checks,
+    "scd2_gaps": scd2_gaps,
+    "snapshot_diff": snapshot_diff,
     "ibnr_premium_month": ibnr_premium_month,
     "ibnr_loss_month": ibnr_loss_month,
     "ibnr_bf": ibnr_bf,

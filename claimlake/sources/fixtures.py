@@ -303,7 +303,7 @@ def gold_inputs(t: Tables) -> dict[str, DataFrame]:
 
 
 @_derived
-def policy_versions(t: Tables) -> DataFrame:
+def policy_versions(t: Tables) -> DataFrame:  # noqa: D401
     """Effective-dated policy changes: each order date of a customer starts a
     new version carrying the order priority as coverage type; several
     orders on one day keep the highest order key."""
@@ -319,3 +319,27 @@ def policy_versions(t: Tables) -> DataFrame:
         (F.col("_r.o_totalprice") * F.lit(4)).cast(MONEY).alias("annual_premium"),
         F.col("effective_date").cast("timestamp").alias("source_updated_at"),
     )
+
+
+@_derived
+def policy_changes(t: Tables) -> DataFrame:
+    """Policy-change feed: the versions above numbered per policy in date
+    order, with injected defects (unknown policy, non-increasing version,
+    effective date before the update date) chosen by the change key."""
+    from pyspark.sql import Window
+    v = policy_versions(t)
+    k = F.substring(F.col("policy_change_id"), 5, 20).cast("bigint")
+    numbered = v.withColumn("_version", F.row_number().over(
+        Window.partitionBy("policy_id").orderBy("effective_date")))
+    return numbered.select(
+        "policy_change_id",
+        F.when(F.pmod(k, F.lit(29)) == 0,
+               F.format_string("POL-%07d", F.substring(F.col("policy_id"), 5, 20).cast("bigint") + 10000000))
+        .otherwise(F.col("policy_id")).alias("policy_id"),
+        F.when(F.pmod(k, F.lit(37)) == 0, F.lit(1)).otherwise(F.col("_version")).alias("source_version"),
+        "effective_date",
+        "coverage_type",
+        "annual_premium",
+        F.when(F.pmod(k, F.lit(31)) == 0, F.date_add("effective_date", 2).cast("timestamp"))
+        .otherwise(F.col("source_updated_at")).alias("source_updated_at"),
+    )
