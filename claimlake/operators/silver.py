@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean
+from ..functions.plan import evaluated_once
 from ..functions.rules import Rule, SEPARATOR, error_list, is_invalid, is_valid, missing, not_in
 from ..schemas import (
     CLAIM_EVENT_FIELDS, CLAIM_OPERATIONS, EXPENSE_CATEGORY_SCOPE, EXPENSE_SCOPES, EXPOSURE, MONEY,
@@ -111,7 +112,11 @@ def claim_rules() -> list[Rule]:
 
 
 def checked_claims(raw: DataFrame) -> DataFrame:
-    return typed_claims(raw).withColumn("dq_errors", error_list(claim_rules()))
+    """Typed events + dq_errors.  Both steps end at a generator boundary so
+    the valid/invalid filters read a computed column instead of re-running
+    every rule (and every parse) inside the filter."""
+    typed = evaluated_once(typed_claims(raw))
+    return evaluated_once(typed.withColumn("dq_errors", error_list(claim_rules())))
 
 
 CLAIM_SILVER_COLUMNS = CLAIM_EVENT_FIELDS + ["source_file", "silver_processed_at"]
@@ -185,13 +190,13 @@ def exposure_rules() -> list[Rule]:
 def checked_exposure(raw: DataFrame) -> DataFrame:
     """Counts are taken before validity is known: an invalid twin also
     condemns a valid row, and every copy of a duplicate is quarantined."""
-    typed = typed_exposure(raw)
+    typed = evaluated_once(typed_exposure(raw))
     typed = _count_by(typed, ["load_date", "exposure_record_id"], "_exposure_id_count")
     typed = _count_by(typed, ["load_date", "policy_id"], "_policy_count")
     typed = typed.withColumn(
         "region_quality_flag",
         F.when(F.upper(F.col("region")) == UNKNOWN_REGION_TOKEN, F.lit("UNKNOWN")).otherwise(F.lit("VALID")))
-    return typed.withColumn("dq_errors", error_list(exposure_rules()))
+    return evaluated_once(typed.withColumn("dq_errors", error_list(exposure_rules())))
 
 
 def silver_exposure(raw: DataFrame) -> SilverResult:
@@ -324,7 +329,7 @@ def checked_ledger(parsed: DataFrame, contract: LedgerContract) -> DataFrame:
         helpers.append(clean.positive_int_text(F.col("source_version")).alias("_version"))
     if contract.kind == "expenses":
         helpers.append(_category_scope(F.col("expense_category")).alias("_mapped_scope"))
-    stage2 = stage1.select("*", *helpers)
+    stage2 = evaluated_once(stage1.select("*", *helpers))
 
     errors = error_list(_ledger_rules(contract))
     stage3 = stage2.select("*", errors.alias("_rule_errors"))

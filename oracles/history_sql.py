@@ -23,7 +23,7 @@ hv_versions AS (
 hv_scd2 AS (
   SELECT *, effective_date AS valid_from,
          lead(effective_date) OVER (PARTITION BY policy_id ORDER BY effective_date) AS valid_to,
-         row_number() OVER (PARTITION BY policy_id ORDER BY effective_date) AS version_number
+         CAST(row_number() OVER (PARTITION BY policy_id ORDER BY effective_date) AS INTEGER) AS version_number
   FROM hv_versions
 ),
 hv_changes AS (
