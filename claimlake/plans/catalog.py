@@ -255,7 +255,53 @@ def snapshot_diff(spark, root):
     return policy_history.snapshot_diff(earlier.drop(*drop), later.drop(*drop))
 
 
+def _resolved(spark, root):
+    return gold.resolve(_inputs(spark, root))
+
+
+def _snapshot(r):
+    return gold.claim_snapshot(r.latest, r.payments)
+
+
+def policy_premiums(spark, root):
+    """A5: premium and exposure per policy."""
+    return gold.policy_premiums(_resolved(spark, root).exposure)
+
+
+def policy_losses(spark, root):
+    """In-window reported losses per policy."""
+    r = _resolved(spark, root)
+    return gold.policy_losses(_snapshot(r), START, END)
+
+
+def policy_costs(spark, root):
+    """Direct claim/policy expenses per policy."""
+    return gold.policy_costs(_resolved(spark, root).expenses, START, END)
+
+
+def policy_attributes(spark, root):
+    """Latest rating attributes per policy."""
+    return gold.policy_attributes(_resolved(spark, root).exposure)
+
+
+def policy_spine(spark, root):
+    """The policy ids reported on."""
+    r = _resolved(spark, root)
+    return gold.policy_spine(r.exposure, _snapshot(r), r.expenses, START, END)
+
+
+def overhead(spark, root):
+    """A10: portfolio and corporate overhead."""
+    return gold.overhead(gold.expense_summary(_resolved(spark, root).expenses, START, END))
+
+
 QUERIES: dict[str, Query] = {
+    "policy_premiums": policy_premiums,
+    "policy_losses": policy_losses,
+    "policy_costs": policy_costs,
+    "policy_attributes": policy_attributes,
+    "policy_spine": policy_spine,
+    "overhead": overhead,
     "scd2_history": scd2_history,
     "policy_as_of": policy_as_of,
     "policy_change_checks": policy_change_checks,
