@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gold, ibnr, policy_history, reports, silver
-from ..schemas import EXPENSES, PAYMENTS
+from ..schemas import EXPENSES, PAYMENTS, payments_v2
 from ..sources import bronze_fixtures as bronze
 from ..sources import fixtures as fx
 
@@ -295,7 +295,21 @@ def overhead(spark, root):
     return gold.overhead(gold.expense_summary(_resolved(spark, root).expenses, START, END))
 
 
+PAYMENT_V2_CUTOVER = "1999-01-01"
+PAYMENT_METHODS = ("EFT", "CHEQUE")
+
+
+def payments_v2_union(spark, root):
+    """Schema evolution (D6): v1 and v2 files loaded with their own contract;
+    v1 rows read back with payment_method NULL."""
+    v1_lines, v2_lines = bronze.payments_feed_versions(fx.tables(spark, root), PAYMENT_V2_CUTOVER)
+    v1 = silver.silver_ledger(v1_lines, PAYMENTS).valid
+    v2 = silver.silver_ledger(v2_lines, payments_v2(PAYMENT_METHODS)).valid
+    return _no_audit(v1.unionByName(v2, allowMissingColumns=True))
+
+
 QUERIES: dict[str, Query] = {
+    "payments_v2_union": payments_v2_union,
     "policy_premiums": policy_premiums,
     "policy_losses": policy_losses,
     "policy_costs": policy_costs,

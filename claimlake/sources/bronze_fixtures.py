@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import CLAIM_EVENT_FIELDS, EXPENSE_FIELDS, EXPOSURE_FEED_FIELDS, PAYMENT_FIELDS
+from ..schemas import CLAIM_EVENT_FIELDS, EXPENSE_FIELDS, EXPOSURE_FEED_FIELDS, PAYMENT_FIELDS, PAYMENT_V2_FIELDS
 from . import fixtures as fx
 
 
@@ -132,8 +132,7 @@ def _amount_plus_one() -> Column:
     return (F.col("amount").try_cast("decimal(18,2)") + F.lit(1)).cast("decimal(18,2)").cast("string")
 
 
-def payments_feed(t: fx.Tables) -> DataFrame:
-    """claim payment ledger as raw CSV lines (value, source_file, load_date)."""
+def _payment_text(t: fx.Tables) -> DataFrame:
     p = fx.payments(t)
     k = F.substring(F.col("claim_id"), 5, 20).cast("bigint")
     day = F.col("payment_date")
@@ -158,8 +157,28 @@ def payments_feed(t: fx.Tables) -> DataFrame:
         F.when(_every(k, 37), F.concat(_d(day), F.lit("T05:00:00+00:00")))
         .otherwise(F.concat(_d(day), F.lit("T08:30:00.250000+02:00"))).alias("updated_at"),
     )
-    return _ledger_lines(text, PAYMENT_FIELDS, F.col("_key"), "_day", "claim-payments", "claim_payments",
-                         _amount_plus_one())
+    k = F.col("_key")
+    method = (F.when(_every(k, 61), F.lit("CASH")).when(F.pmod(k, F.lit(3)) == 0, F.lit("EFT"))
+              .when(F.pmod(k, F.lit(3)) == 1, F.lit("cheque")))
+    return text.withColumn("payment_method", method)
+
+
+def payments_feed(t: fx.Tables) -> DataFrame:
+    """claim payment ledger as raw CSV lines (value, source_file, load_date)."""
+    return _ledger_lines(_payment_text(t), PAYMENT_FIELDS, F.col("_key"), "_day", "claim-payments",
+                         "claim_payments", _amount_plus_one())
+
+
+def payments_feed_versions(t: fx.Tables, cutover: str) -> tuple[DataFrame, DataFrame]:
+    """The same ledger where files dated on or after ``cutover`` use the v2
+    layout (an extra nullable payment_method column): (v1 lines, v2 lines)."""
+    text = _payment_text(t)
+    is_v2 = F.col("_day") >= F.lit(cutover).cast("date")
+    v1 = _ledger_lines(text.filter(~is_v2), PAYMENT_FIELDS, F.col("_key"), "_day", "claim-payments",
+                       "claim_payments", _amount_plus_one())
+    v2 = _ledger_lines(text.filter(is_v2), PAYMENT_V2_FIELDS, F.col("_key"), "_day", "claim-payments",
+                       "claim_payments", _amount_plus_one())
+    return v1, v2
 
 
 def expenses_feed(t: fx.Tables) -> DataFrame:

@@ -222,23 +222,43 @@ def _iso(ts: str) -> str:
             f"CASE WHEN strftime({ts}, '%f') <> '000000' THEN '.' || strftime({ts}, '%f') ELSE '' END || '+00:00' END")
 
 
+V2_CUTOVER = "1999-01-01"
+METHOD = ("CASE WHEN CAST(substr(claim_id, 5) AS BIGINT) % 61 = 0 THEN 'CASH' "
+          "WHEN CAST(substr(claim_id, 5) AS BIGINT) % 3 = 0 THEN 'EFT' "
+          "WHEN CAST(substr(claim_id, 5) AS BIGINT) % 3 = 1 THEN 'cheque' END")
+
+
 def ledger_ctes(kind: str) -> str:
-    payments = kind == "payments"
-    fields = PAYMENT_FIELDS if payments else EXPENSE_FIELDS
+    """kind: payments, expenses, or payments_v2 (v1 layout before the
+    cut-over date, v2 layout with payment_method from it on)."""
+    v2 = kind == "payments_v2"
+    payments = kind in ("payments", "payments_v2")
+    fields = PAYMENT_FIELDS + (["payment_method"] if v2 else []) if payments else EXPENSE_FIELDS
     text = PAYMENT_TEXT if payments else EXPENSE_TEXT
+    if v2:
+        text = text.replace("FROM fx_payments", f", CASE WHEN payment_date >= DATE '{V2_CUTOVER}' THEN {METHOD} END "
+                            "AS payment_method\nFROM fx_payments")
     prefix, dataset = ("claim-payments", "claim_payments") if payments else ("expense-transactions", "expense_transactions")
     date_field = "payment_date" if payments else "expense_date"
     id_field = "payment_id" if payments else "expense_id"
-    upper = ["currency", "payment_type", "payee_type"] if payments else ["currency", "expense_category", "expense_scope"]
+    upper = (["currency", "payment_type", "payee_type"] + (["payment_method"] if v2 else [])
+             if payments else ["currency", "expense_category", "expense_scope"])
     required = [id_field, date_field, "amount", "currency", "source_system", "created_at", "updated_at"] + (
         ["claim_id", "policy_id", "payment_type", "payee_type", "source_event_id", "source_version"]
         if payments else ["expense_category", "expense_scope"])
 
-    plain = _line(fields)
-    quoted = _line([f"'\"' || {f} || '\"'" if f == "source_system" else f for f in fields])
-    resent = _line([f"{f} || '0'" if f == "amount" else f for f in fields])
     plus_one = "CAST(CAST(TRY_CAST(amount AS DECIMAL(18,2)) + 1 AS DECIMAL(18,2)) AS VARCHAR)"
-    conflicting = _line([plus_one if f == "amount" else f for f in fields])
+
+    def layout(make):
+        if not v2:
+            return make(fields)
+        return (f"CASE WHEN load_date >= DATE '{V2_CUTOVER}' THEN {make(fields)} "
+                f"ELSE {make(fields[:-1])} END")
+
+    plain = layout(lambda fs: _line(fs))
+    quoted = layout(lambda fs: _line([f"'\"' || {f} || '\"'" if f == "source_system" else f for f in fs]))
+    resent = layout(lambda fs: _line([f"{f} || '0'" if f == "amount" else f for f in fs]))
+    conflicting = layout(lambda fs: _line([plus_one if f == "amount" else f for f in fs]))
     field_list = ", ".join(fields)
     null_fields = ", ".join(f"NULL AS {f}" for f in fields)
     conflict_fields = ", ".join(plus_one + " AS amount" if f == "amount" else f for f in fields)
@@ -290,6 +310,9 @@ def ledger_ctes(kind: str) -> str:
             "'MEDICAL_PROVIDER', 'GLASS_REPAIR_VENDOR') THEN 'payee_type is invalid' END",
             "CASE WHEN _version IS NULL THEN 'source_version must be a positive integer' END",
         ]
+        if v2:
+            rules.append("CASE WHEN payment_method IS NOT NULL AND payment_method NOT IN ('EFT', 'CHEQUE') "
+                         "THEN 'payment_method is invalid' END")
     else:
         rules += [
             "CASE WHEN expense_scope IS NULL OR expense_scope NOT IN ('CLAIM', 'POLICY', 'PORTFOLIO', 'CORPORATE') "
@@ -411,4 +434,5 @@ ORACLES: dict[str, str] = {
     "payments_load_metrics": _with(ledger_ctes("payments"), body="SELECT * FROM l_metrics"),
     "expenses_dq_scope": _with(ledger_ctes("expenses"), body="SELECT * FROM l_quarantine"),
     "expenses_silver": _with(ledger_ctes("expenses"), body="SELECT * FROM l_valid"),
+    "payments_v2_union": _with(ledger_ctes("payments_v2"), body="SELECT * FROM l_valid"),
 }
