@@ -14,7 +14,7 @@ from ..operators.checks import require_empty, violation_rows
 from ..schemas import EXPENSES, GOLD_TABLES, PAYMENTS, SILVER_DATASETS, LedgerContract
 from ..session import configure
 from ..sources import bronze, history
-from . import publish
+from . import publish, tables
 
 
 def validate_process_date(day: str) -> str:
@@ -27,24 +27,34 @@ def validate_process_date(day: str) -> str:
 # Bronze -> Silver
 # ---------------------------------------------------------------------------
 
-def load_claims(spark: SparkSession, bronze_root: str, silver_root: str, day: str) -> dict:
+def _register(spark, database, dataset, silver_root, day, valid: DataFrame) -> None:
+    if database:
+        tables.register_silver_partition(spark, database, dataset, silver_root, day, valid.drop("load_date").schema)
+
+
+def load_claims(spark: SparkSession, bronze_root: str, silver_root: str, day: str,
+                database: str | None = None) -> dict:
     validate_process_date(day)
     result = silver.silver_claims(bronze.read_claims(spark, bronze_root, day))
     publish.write_partition(result.valid, silver_root, "claims_events", day)
     publish.write_partition(result.quarantine, silver_root, "claims_events", day, quarantine=True)
+    _register(spark, database, "claims_events", silver_root, day, result.valid)
     return {"dataset": "claims_events", "process_date": day}
 
 
-def load_exposure(spark: SparkSession, bronze_root: str, silver_root: str, day: str) -> dict:
+def load_exposure(spark: SparkSession, bronze_root: str, silver_root: str, day: str,
+                  database: str | None = None) -> dict:
     validate_process_date(day)
     result = silver.silver_exposure(bronze.read_exposure(spark, bronze_root, day))
     publish.write_partition(result.valid, silver_root, "daily_exposure", day)
     publish.write_partition(result.quarantine, silver_root, "daily_exposure", day, quarantine=True)
+    _register(spark, database, "daily_exposure", silver_root, day, result.valid)
     return {"dataset": "daily_exposure", "process_date": day}
 
 
 def load_ledger(spark: SparkSession, bronze_root: str, silver_root: str, day: str,
-                contract: LedgerContract, allowed: list[LedgerContract] | None = None) -> dict:
+                contract: LedgerContract, allowed: list[LedgerContract] | None = None,
+                database: str | None = None) -> dict:
     """Header contract first (fails before any write), then validate,
     assert the load balance identity, then replace the day's partitions."""
     validate_process_date(day)
@@ -54,6 +64,7 @@ def load_ledger(spark: SparkSession, bronze_root: str, silver_root: str, day: st
         metrics = publish.check_load_balance(result.metrics)
         publish.write_partition(result.valid, silver_root, chosen.dataset, day)
         publish.write_partition(result.quarantine, silver_root, chosen.dataset, day, quarantine=True)
+        _register(spark, database, chosen.dataset, silver_root, day, result.valid)
     finally:
         result.release()
     out = metrics[0] if metrics else {"input_rows": 0, "valid_rows": 0, "quarantine_rows": 0,
@@ -63,13 +74,14 @@ def load_ledger(spark: SparkSession, bronze_root: str, silver_root: str, day: st
     return out
 
 
-def load_day(spark: SparkSession, bronze_root: str, silver_root: str, day: str) -> list[dict]:
+def load_day(spark: SparkSession, bronze_root: str, silver_root: str, day: str,
+             database: str | None = None) -> list[dict]:
     configure(spark)
     return [
-        load_claims(spark, bronze_root, silver_root, day),
-        load_exposure(spark, bronze_root, silver_root, day),
-        load_ledger(spark, bronze_root, silver_root, day, PAYMENTS),
-        load_ledger(spark, bronze_root, silver_root, day, EXPENSES),
+        load_claims(spark, bronze_root, silver_root, day, database),
+        load_exposure(spark, bronze_root, silver_root, day, database),
+        load_ledger(spark, bronze_root, silver_root, day, PAYMENTS, database=database),
+        load_ledger(spark, bronze_root, silver_root, day, EXPENSES, database=database),
     ]
 
 
@@ -84,7 +96,7 @@ def read_silver(spark: SparkSession, silver_root: str, start: str, end: str) ->
 
 
 def silver_to_gold(spark: SparkSession, silver_root: str, gold_root: str, start: str, end: str,
-                   run_id: str | None = None) -> dict:
+                   run_id: str | None = None, database: str | None = None) -> dict:
     """Checks, then each Gold table is written and read back before the next
     one is derived from it: every step restarts from files in the shared
     folder, so a lost executor never forces a rebuild from Bronze."""
@@ -116,7 +128,10 @@ def silver_to_gold(spark: SparkSession, silver_root: str, gold_root: str, start:
     summary = write("expense_summary", lazy["expense_summary"])
     write("portfolio_performance", gold.with_period(
         gold.portfolio_performance(policy.drop(*period), summary.drop(*period)), start, end))
-    return publish.write_manifest(spark, gold_root, start, end, run_id, rows, locations)
+    manifest = publish.write_manifest(spark, gold_root, start, end, run_id, rows, locations)
+    if database:
+        tables.register_gold(spark, database, gold_root, manifest)
+    return manifest
 
 
 # ---------------------------------------------------------------------------
@@ -148,15 +163,15 @@ def ibnr_job(spark: SparkSession, silver_root: str, gold_root: str, start: str,
 # ---------------------------------------------------------------------------
 
 def backfill(spark: SparkSession, bronze_root: str, silver_root: str, gold_root: str,
-             start: str, end: str) -> list[dict]:
+             start: str, end: str, silver_db: str | None = None, gold_db: str | None = None) -> list[dict]:
     gold.validate_window(start, end)
     first, last = date.fromisoformat(start), date.fromisoformat(end)
     manifests = []
     day = first
     while day <= last:
         d = day.isoformat()
-        load_day(spark, bronze_root, silver_root, d)
-        manifests.append(silver_to_gold(spark, silver_root, gold_root, start, d))
+        load_day(spark, bronze_root, silver_root, d, silver_db)
+        manifests.append(silver_to_gold(spark, silver_root, gold_root, start, d, database=gold_db))
         day += timedelta(days=1)
     return manifests
 

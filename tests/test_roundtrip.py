@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimlake.operators import reports
-from claimlake.plans import jobs, publish
+from claimlake.plans import jobs, publish, tables
 from claimlake.schemas import CLAIM_EVENT_FIELDS, EXPENSE_FIELDS, EXPOSURE_FEED_FIELDS, PAYMENT_FIELDS
 from claimlake.sources import history
 
@@ -60,7 +60,8 @@ def lake(spark):
     roots = {k: f"{base}/{k}" for k in ("bronze", "silver", "gold")}
     for d in DAYS:
         bronze_day(roots["bronze"], d)
-    manifests = jobs.backfill(spark, roots["bronze"], roots["silver"], roots["gold"], DAYS[0], DAYS[-1])
+    manifests = jobs.backfill(spark, roots["bronze"], roots["silver"], roots["gold"], DAYS[0], DAYS[-1],
+                              silver_db="rt_silver", gold_db="rt_gold")
     return roots, manifests
 
 
@@ -145,3 +146,23 @@ def test_ibnr_job_and_model_version_guard(spark, lake):
     with pytest.raises(ValueError, match="MODEL_VERSION"):
         jobs.ibnr_job(spark, roots["silver"], roots["gold"], DAYS[0], DAYS[-1], "0.65",
                       '{"0": 1.0}', "bad version!")
+
+
+def test_catalog_tables_and_sql_reports(spark, lake):
+    roots, _ = lake
+    assert spark.sql("SELECT count(*) AS n FROM rt_silver.claims_events").first()["n"] == 3
+    parts = [r[0] for r in spark.sql("SHOW PARTITIONS rt_gold.portfolio_performance").collect()]
+    assert parts == ["as_of_date=2026-01-01", "as_of_date=2026-01-02"]
+    total = tables.report(spark, "rt_gold", "portfolio", DAYS[-1]).first()
+    assert total["earned_premium"] == 300 and total["reported_result_before_ibnr"] == 100
+    region = tables.report(spark, "rt_gold", "region_contribution", DAYS[-1]).collect()
+    assert [r["region"] for r in region] == ["Ontario", "UNKNOWN"]
+    mix = tables.report(spark, "rt_gold", "expense_mix", DAYS[-1]).collect()
+    assert [r["expense_scope"] for r in mix] == ["CLAIM", "CORPORATE", "POLICY", "PORTFOLIO"]
+    assert tables.report(spark, "rt_gold", "unreconciled_claims", DAYS[-1]).count() == 0
+    # A re-registered Silver partition elsewhere is refused.
+    with pytest.raises(ValueError, match="different location"):
+        spark.sql(f"ALTER TABLE rt_silver.claims_events PARTITION (load_date = '{DAYS[0]}') "
+                  f"SET LOCATION '{roots['silver']}/elsewhere'")
+        tables.register_silver_partition(spark, "rt_silver", "claims_events", roots["silver"], DAYS[0],
+                                         spark.table("rt_silver.claims_events").drop("load_date").schema)
