@@ -16,3 +16,24 @@ def evaluated_once(df: DataFrame) -> DataFrame:
     Columns that come out of ``inline`` are attributes the optimizer cannot
     inline through, so each value is computed once per row."""
     return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+
+
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Round-robin a raw scan that arrives in fewer partitions than the
+    cluster has task slots (one unsplittable file: a gzip daily feed, a
+    Parquet file with a single row group).  Otherwise the parse, joins and
+    partial aggregations fused into the scan stage run as one task.
+
+    Only for scans: asking a bare scan for its partition count plans file
+    splits without running anything.  Large, many-file inputs already have
+    enough partitions and pass through unchanged (no extra shuffle); tiny
+    tables are left alone as well."""
+    sc = df.sparkSession.sparkContext
+    slots = sc.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(slots) if size >= min_bytes else df

@@ -15,6 +15,7 @@ import csv
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.plan import spread
 from ..schemas import CLAIM_EVENT_FIELDS, EXPOSURE_FEED_FIELDS, LedgerContract, all_strings
 
 FEEDS = {
@@ -41,7 +42,7 @@ def read_declared_csv(spark: SparkSession, path: str, fields: list[str], day: st
         spark.read.option("header", "true").option("mode", "PERMISSIVE")
         .schema(all_strings(fields)).csv(path)
     )
-    return _lineage(raw, day).select(*fields, "source_file", "load_date")
+    return spread(_lineage(raw, day).select(*fields, "source_file", "load_date"))
 
 
 def read_claims(spark: SparkSession, root: str, day: str) -> DataFrame:
@@ -77,5 +78,5 @@ def read_ledger_lines(spark: SparkSession, root: str, contract: LedgerContract,
             break
     if chosen is None:
         raise ValueError("Bronze CSV header/order does not match expected schema")
-    lines = _lineage(spark.read.text(path), day).select("value", "source_file", "load_date")
+    lines = spread(_lineage(spark.read.text(path), day).select("value", "source_file", "load_date"))
     return lines, chosen, header

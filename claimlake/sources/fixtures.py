@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.plan import spread
 from ..schemas import EXPOSURE, MONEY, PREMIUM
 
 TABLES = (
@@ -49,7 +50,7 @@ class Tables:
         if name in TABLES:
             frames = self.__dict__.setdefault("_frames", {})
             if name not in frames:
-                frames[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+                frames[name] = spread(self.spark.read.parquet(f"{self.root}/{name}.parquet"))
             return frames[name]
         raise AttributeError(name)
 
