@@ -31,9 +31,11 @@ def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     splits without running anything.  Large, many-file inputs already have
     enough partitions and pass through unchanged (no extra shuffle); tiny
     tables are left alone as well."""
-    sc = df.sparkSession.sparkContext
-    slots = sc.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= slots:
+            return df
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # e.g. a Spark Connect session: no RDD/JVM handles; keep the plan as is
         return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(slots) if size >= min_bytes else df

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gold, ibnr, policy_history, reports, silver
-from ..schemas import EXPENSES, PAYMENTS, payments_v2
+from ..schemas import EXPENSES, GOLD_CLAIM_FIELDS, PAYMENTS, payments_v2
 from ..sources import bronze_fixtures as bronze
 from ..sources import fixtures as fx
 
@@ -54,19 +54,15 @@ def portfolio_performance(spark, root):
 
 
 def claims_latest(spark, root):
+    """Latest version of every claim (W2) after exact-duplicate collapse (A1)."""
     t = fx.tables(spark, root)
-    return gold.latest_versions(gold.distinct_records(fx.claims(t), fx_claim_fields()))
-
-
-def fx_claim_fields():
-    from ..schemas import GOLD_CLAIM_FIELDS
-    return GOLD_CLAIM_FIELDS
+    return gold.latest_versions(gold.distinct_records(fx.claims(t), GOLD_CLAIM_FIELDS))
 
 
 def claim_version_conflicts(spark, root):
     """G1 on the raw claim feed, where line numbers repeat within an order."""
     t = fx.tables(spark, root)
-    unique = gold.distinct_records(fx.claim_events(t), fx_claim_fields())
+    unique = gold.distinct_records(fx.claim_events(t), GOLD_CLAIM_FIELDS)
     return gold.key_conflicts(unique, ["claim_id", "source_version"])
 
 
