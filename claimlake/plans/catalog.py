@@ -16,6 +16,7 @@ from ..operators import gold, ibnr, policy_history, reports, silver
 from ..schemas import EXPENSES, GOLD_CLAIM_FIELDS, PAYMENTS, payments_v2
 from ..sources import bronze_fixtures as bronze
 from ..sources import fixtures as fx
+from ..sources import history
 
 START, END = fx.WINDOW_START, fx.WINDOW_END
 
@@ -304,7 +305,18 @@ def payments_v2_union(spark, root):
     return _no_audit(v1.unionByName(v2, allowMissingColumns=True))
 
 
+EXPOSURE_HISTORY_START, EXPOSURE_HISTORY_END = "1995-01-01", "2001-08-01"
+
+
+def exposure_missing_days(spark, root):
+    """Days of the exposure history with no exposure row at all."""
+    t = fx.tables(spark, root)
+    return history.days_without_rows(spark, fx.exposure_all(t), "load_date",
+                                     EXPOSURE_HISTORY_START, EXPOSURE_HISTORY_END)
+
+
 QUERIES: dict[str, Query] = {
+    "exposure_missing_days": exposure_missing_days,
     "payments_v2_union": payments_v2_union,
     "policy_premiums": policy_premiums,
     "policy_losses": policy_losses,

@@ -40,6 +40,14 @@ def available_dates(spark: SparkSession, root: str) -> DataFrame:
         F.col("d").cast("date").alias("load_date")).distinct()
 
 
+def days_without_rows(spark: SparkSession, df: DataFrame, date_col: str, start: str, end: str) -> DataFrame:
+    """Calendar days of [start, end] on which ``df`` has no row (S6 spine minus
+    the days present, U3).  The spine is bounded by the window length; the
+    data side is reduced to its distinct days before the anti join."""
+    present = df.select(F.col(date_col).cast("date").alias("load_date")).distinct()
+    return date_spine(spark, start, end).join(present, "load_date", "left_anti")
+
+
 def missing_dates(spark: SparkSession, root: str, start: str, end: str) -> DataFrame:
     return date_spine(spark, start, end).join(available_dates(spark, root), "load_date", "left_anti")
 

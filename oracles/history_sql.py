@@ -85,7 +85,14 @@ def _with(body: str, *extra: str) -> str:
     return "WITH " + ",".join([FIXTURE_CTES, VERSION_CTES, *extra]) + "\n" + body
 
 
+MISSING_DAYS = """
+SELECT CAST(d AS DATE) AS load_date
+FROM generate_series(DATE '1995-01-01', DATE '2001-08-01', INTERVAL 1 DAY) AS s(d)
+WHERE CAST(d AS DATE) NOT IN (SELECT DISTINCT load_date FROM fx_exposure_all)"""
+
+
 ORACLES: dict[str, str] = {
+    "exposure_missing_days": _with(MISSING_DAYS),
     "scd2_history": _with("SELECT * EXCLUDE (version_number), version_number, valid_to IS NULL AS is_current FROM hv_scd2"),
     "policy_as_of": _with(AS_OF),
     "policy_change_checks": _with(CHANGE_CHECKS),
