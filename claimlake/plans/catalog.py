@@ -32,10 +32,6 @@ def _gold(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return gold.build_gold(_inputs(spark, root), START, END, check=False, processed_at=False)
 
 
-def _ratio(c: str, digits: int = 8):
-    return F.round(F.col(c), digits).cast("double").alias(c)
-
-
 def claim_snapshot(spark, root):
     return _gold(spark, root)["claim_snapshot"]
 
@@ -49,9 +45,8 @@ def expense_summary(spark, root):
 
 
 def portfolio_performance(spark, root):
-    df = _gold(spark, root)["portfolio_performance"]
-    ratios = {"reported_loss_ratio", "expense_ratio", "reported_combined_ratio"}
-    return df.select(*[_ratio(c) if c in ratios else F.col(c) for c in df.columns])
+    """The one-row portfolio table; ratios keep Spark's decimal types."""
+    return _gold(spark, root)["portfolio_performance"]
 
 
 def claims_latest(spark, root):
