@@ -23,3 +23,18 @@ def test_stream_matches_batch_and_is_incremental(spark):
     assert pays.count() == 2  # PAY-2 sent twice collapses
     q = spark.read.parquet(f"{silver_root}/quarantine/claims_events").collect()
     assert [r["dq_errors"] for r in q] == ["claim_id is missing"]
+
+
+def test_stream_exposure_and_expenses(spark):
+    base = tempfile.mkdtemp(prefix="claimlake-stream2-")
+    bronze_root, silver_root, ckpt = f"{base}/bronze", f"{base}/silver", f"{base}/ckpt"
+    for d in DAYS:
+        bronze_day(bronze_root, d)
+    for ds in ("daily_exposure", "expense_transactions"):
+        ingest.start_silver_stream(spark, bronze_root, silver_root, ds, f"{ckpt}/{ds}").awaitTermination()
+    exposure = spark.read.parquet(f"{silver_root}/daily_exposure")
+    assert exposure.count() == 3 and set(exposure.columns) >= {"region_quality_flag", "load_date"}
+    expenses = spark.read.parquet(f"{silver_root}/expense_transactions")
+    assert sorted(r["expense_id"] for r in expenses.collect()) == ["E1", "E2", "E3", "E4"]
+    # The day without expense rows is still a readable (empty) partition.
+    assert spark.read.parquet(f"{silver_root}/expense_transactions/load_date=2026-01-02").count() == 0
