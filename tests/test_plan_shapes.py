@@ -78,3 +78,17 @@ def test_history_scan_prunes_partitions(spark):
     df = history.silver_history(spark, root, "claims_events", "2026-01-02", "2026-01-03")
     p = plan(df)
     assert "PartitionFilters: [isnotnull(load_date" in p and df.count() == 2
+
+
+def test_spread_only_touches_under_partitioned_scans(spark):
+    from claimlake.functions.plan import spread
+    root = tempfile.mkdtemp(prefix="claimlake-spread-")
+    spark.range(200000).selectExpr("id", "cast(id as string) AS s").coalesce(1).write.parquet(f"{root}/one")
+    one = spark.read.parquet(f"{root}/one")
+    assert spread(one, min_bytes=1).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(one, min_bytes=1 << 40) is one  # small inputs stay as they are
+    slots = spark.sparkContext.defaultParallelism
+    spark.range(200000).repartition(slots * 2).write.parquet(f"{root}/many")
+    many = spark.read.option("maxPartitionBytes", "64k").parquet(f"{root}/many")
+    if many.rdd.getNumPartitions() >= slots:
+        assert spread(many, min_bytes=1) is many  # enough partitions: no extra shuffle
