@@ -5,10 +5,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from claimlake.plans.catalog import QUERIES as CATALOG
 from tests.conftest import SF_SMALL
 from tools.oracle_check import TABLES, digest
 
-QUERIES = E.queries()
+QUERIES = {name: E.queries()[name] for name in CATALOG}
 ORACLES = E.oracle_sql()
 
 
