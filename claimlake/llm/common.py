@@ -84,18 +84,21 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
         edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), name)
     seen = None
     while True:
+        # large star: every larger neighbour of u hangs on the least of u and its neighbours
         both = state.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(
             state.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("hi"), F.col("m").alias("lo"))
-        loops = state.where(F.col("hi") == F.col("lo"))
-        large = large.union(loops).distinct()
-        root = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(root, "hi").select(
-            F.explode(F.array(
+        least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), name)
+        large = staged(
+            both.join(least, "u").where((F.col("v") > F.col("u")) | (F.col("v") == F.col("m")))
+            .select(F.greatest("u", "v").alias("hi"), F.col("m").alias("lo")).distinct(), name)
+        # small star: u and its smaller neighbours hang on the least of them
+        root = staged(large.groupBy("hi").agg(F.min("lo").alias("m")), name)
+        state = staged(
+            large.join(root, "hi")
+            .select(F.explode(F.array(
                 F.struct(F.col("hi"), F.col("m").alias("lo")),
-                F.struct(F.greatest("lo", "m").alias("hi"), F.col("m").alias("lo")))).alias("e")).select("e.*")
-        state = staged(small.distinct(), name)
+                F.struct(F.greatest("lo", "m").alias("hi"), F.col("m").alias("lo")))).alias("edge"))
+            .select("edge.*").distinct(), name)
         mark = state.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if mark == seen:
             break

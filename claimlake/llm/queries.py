@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import quality
+from claimlake.llm import pack, quality, shard, simhash
 from claimlake.llm.common import table
 
 #: Where the public vocabularies lie; a parameter of every operator that uses one.
@@ -23,9 +23,31 @@ def vocabulary(name: str) -> str:
     return os.path.join(TOKENIZERS, name)
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs, shingle=3, max_bits=3).select(
+        F.col("key").alias("doc_id"), F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"))
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return shard.sharded(docs).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack.pack_documents(docs, vocabulary("word_bpe_49k.json")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.fertility(docs, vocabulary("piece_bpe_32k.model")).select("doc_id", "quality.*")
 
 
-QUERIES = {"op9_quality_rules": op9_quality_rules}
+QUERIES = {"op2_simhash_near_dedup": op2_simhash_near_dedup,
+           "op4_sharding": op4_sharding, "op5_best_fit_packing": op5_best_fit_packing,
+           "op9_quality_rules": op9_quality_rules}
