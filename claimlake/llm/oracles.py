@@ -3,3 +3,18 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op8_exact_top_k"] = """
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS vec
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.rid AS query_rid, q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_inner_product(q.vec, c.vec) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.rid <> c.rid WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_rid ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import pack, quality, shard, simhash
+from claimlake.llm import pack, quality, secret_scan, shard, simhash, topk
 from claimlake.llm.common import table
 
 #: Where the public vocabularies lie; a parameter of every operator that uses one.
@@ -43,6 +43,22 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    found = secret_scan.scanned(docs, owner="source", repository="doc_id")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind_no"] < len(secret_scan.BASE_KINDS))
+    return found.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"), secret_scan.span_text(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"))
+
+
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, F.col("vec_id") % 100 == 0, k=10).select("query_id", "rank", "vec_id", "score")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.fertility(docs, vocabulary("piece_bpe_32k.model")).select("doc_id", "quality.*")
@@ -50,4 +66,5 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op2_simhash_near_dedup": op2_simhash_near_dedup,
            "op4_sharding": op4_sharding, "op5_best_fit_packing": op5_best_fit_packing,
+           "op7_secret_scan": op7_secret_scan, "op8_exact_top_k": op8_exact_top_k,
            "op9_quality_rules": op9_quality_rules}
