@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import sys
 import tempfile
+import types
 import uuid
+from itertools import chain, islice
 
 import numpy as np
 from pyspark import cloudpickle
@@ -106,19 +108,25 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     return state.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("component"))
 
 
+class _Numbering(dict):
+    """Gives each new word the next number."""
+
+    def __missing__(self, word):
+        number = self[word] = len(self)
+        return number
+
+
 class WordTable:
-    """Per-worker facts about words, by a small integer; forgotten when ``limit`` words are held.
+    """A tokenizer's answers per distinct word, by number; forgotten when ``limit`` words are held.
 
-    ``facts(list of words) -> list of tuples of numbers``, one tuple per word, of ``width`` numbers;
-    ``tokens`` optionally gives each word's token ids, kept in one flat array.
-    """
+    ``encode(list of words) -> list of token-id lists``; ids lie one after the other in one array."""
 
-    def __init__(self, encode, limit: int = 400_000):
+    def __init__(self, encode, limit: int = 1_000_000):
         self.encode, self.limit = encode, limit
         self.clear()
 
     def clear(self):
-        self.index: dict[bytes, int] = {}
+        self.index = _Numbering()
         self.flat = np.zeros(1 << 16, np.int32)
         self.start = np.zeros(1 << 14, np.int64)
         self.count = np.zeros(1 << 14, np.int32)
@@ -128,29 +136,38 @@ class WordTable:
         """The number of each word; words not met before are encoded together."""
         if len(self.index) > self.limit:
             self.clear()
-        index = self.index
-        fresh = list(dict.fromkeys(w for w in words if w not in index))
-        if fresh:
-            n = len(index)
-            index.update(zip(fresh, range(n, n + len(fresh))))
-            coded = self.encode(fresh)
-            sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        n = len(self.index)
+        numbers = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        new = len(self.index) - n
+        if new:
+            coded = self.encode(list(islice(reversed(self.index), new))[::-1])
+            sizes = np.fromiter(map(len, coded), np.int64, new)
             total = int(sizes.sum())
             self.flat = _grown(self.flat, self.used + total)
-            self.start = _grown(self.start, n + len(fresh))
-            self.count = _grown(self.count, n + len(fresh))
-            self.flat[self.used:self.used + total] = np.fromiter((t for c in coded for t in c), np.int32, total)
-            self.count[n:n + len(fresh)] = sizes
-            self.start[n:n + len(fresh)] = self.used + np.cumsum(sizes) - sizes
+            self.start = _grown(self.start, n + new)
+            self.count = _grown(self.count, n + new)
+            self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(coded), np.int32, total)
+            self.count[n:n + new] = sizes
+            self.start[n:n + new] = self.used + np.cumsum(sizes) - sizes
             self.used += total
-        return np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+        return numbers
 
     def gather(self, numbers: np.ndarray) -> np.ndarray:
         """The tokens of these words, one after the other."""
-        sizes = self.count[numbers].astype(np.int64)
-        ends = np.cumsum(sizes)
+        sizes = self.count[numbers]
+        ends = np.cumsum(sizes, dtype=np.int64)
         at = np.repeat(self.start[numbers] - (ends - sizes), sizes)
-        return self.flat[at + np.arange(len(at))]
+        at += np.arange(len(at))
+        return self.flat[at]
+
+
+def worker_memory(key: str, make):
+    """What ``make()`` gave this Python worker for ``key``; a worker serves many tasks and keeps the last one only."""
+    memory = sys.modules.setdefault("llm_worker_memory", types.ModuleType("llm_worker_memory")).__dict__.setdefault("kept", {})
+    if key not in memory:
+        memory.clear()
+        memory[key] = make()
+    return memory[key]
 
 
 def _grown(a: np.ndarray, need: int) -> np.ndarray:

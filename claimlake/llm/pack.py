@@ -21,16 +21,19 @@ than the key and the text are not read.
 from __future__ import annotations
 
 import math
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimlake.llm.common import WordTable, staged, tune, words_of
+from claimlake.llm.common import WordTable, staged, tune, words_of, worker_memory
 
 GROUP_PIECES = 16_384   # pieces that one task packs together
 ROUNDS = 4              # each round packs what the one before left in underfull sequences
@@ -38,19 +41,57 @@ UNDERFULL = 0.97        # a sequence filled less is packed again while there are
 SEARCH_STEPS = 4_000    # exchanges tried per group
 
 
-def _word_encoder(tokenizer_path: str):
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    t = Tokenizer.from_file(tokenizer_path)
-    t.encode_special_tokens = True  # their strings in a text are ordinary text
-
-    def encode(words: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in t.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
-
-    return encode
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that byte-level vocabularies write for each byte."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class WordEncoder:
+    """The tokenizer's ids of words.
+
+    Words of simple letters (below U+0250, which composition leaves alone and which lower
+    letter by letter) are split as the tokenizer splits them, and its merge model is asked
+    once per distinct part; all other words go through the whole tokenizer."""
+
+    PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"  # fixed: the vocabulary's split
+    LIMIT = 1_000_000
+
+    def __init__(self, tokenizer_path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.whole = Tokenizer.from_file(tokenizer_path)
+        self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.whole.model
+        self.find = regex.compile(self.PARTS).findall
+        self.simple = re.compile("[\x21-\u012f\u0131-\u024f]+").fullmatch
+        self.letters = _byte_letters()
+        self.parts: dict[str, list[int]] = {}
+
+    def part(self, part: str) -> list[int]:
+        ids = self.parts.get(part)
+        if ids is None:
+            if len(self.parts) > self.LIMIT:
+                self.parts.clear()
+            letters = part if part.isascii() and part.isprintable() else part.encode().decode("latin-1").translate(self.letters)
+            ids = self.parts[part] = [t.id for t in self.model.tokenize(letters)]
+        return ids
+
+    def __call__(self, words: list[bytes]) -> list[list[int]]:
+        out, odd = [], []
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            if self.simple(text):
+                parts = self.find(text.lower())
+                out.append(self.part(parts[0]) if len(parts) == 1 else [i for p in parts for i in self.part(p)])
+            else:
+                odd.append((len(out), text))
+                out.append([])
+        for (at, _), coded in zip(odd, self.whole.encode_batch_fast([t for _, t in odd], add_special_tokens=False)):
+            out[at] = coded.ids
+        return out
 
 
 def tokenised_pieces(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text",
@@ -66,7 +107,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, key: str = "doc_id",
         *([T.StructField("ids", T.BinaryType())] if keep_ids else [])])
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordTable(_word_encoder(tokenizer_path))
+        words = worker_memory(f"pack {tokenizer_path}", lambda: WordTable(WordEncoder(tokenizer_path)))
         for batch in batches:
             split = [words_of(t) for t in batch.iloc[:, 2]]
             sizes = np.fromiter(map(len, split), np.int64, len(split))

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlake.llm.common import WordTable, free_name, tune, words_of
+from claimlake.llm.common import WordTable, free_name, tune, words_of, worker_memory
 
 #: (least, most) characters per token, most byte-fallback share, least token entropy
 #: (as a share of the most bits the length allows, 10 at most).  Per language; measured
@@ -85,7 +85,7 @@ def _sentencepiece(model_path: str):
 
     sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
     is_byte = np.array([sp.is_byte(i) for i in range(sp.get_piece_size())])
-    return (lambda words: sp.encode([w.decode("utf-8", "replace") for w in words], num_threads=1)), is_byte
+    return WordTable(lambda words: sp.encode([w.decode("utf-8", "replace") for w in words], num_threads=1)), is_byte
 
 
 def _entropy(tokens: np.ndarray, doc: np.ndarray, n_docs: int, vocab: int) -> np.ndarray:
@@ -130,8 +130,7 @@ def fertility(docs: DataFrame, model_path: str, text: str = "text", lang: str =
 
     @F.pandas_udf(METRICS)
     def measure(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        encode, is_byte = _sentencepiece(model_path)
-        table = WordTable(encode)
+        table, is_byte = worker_memory(f"quality {model_path}", lambda: _sentencepiece(model_path))
         for texts, langs in batches:
             yield _measure(texts, langs, table, is_byte, bands)
 
