@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import pack, quality, secret_scan, shard, simhash, topk
+from claimlake.llm import bpe, pack, pii, quality, secret_scan, shard, simhash, topk
 from claimlake.llm.common import table
 
 #: Where the public vocabularies lie; a parameter of every operator that uses one.
@@ -30,6 +30,18 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("component").alias("component_id"))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == pii.KINDS.index(kind))).cast("long")
+    every = F.array_sort(F.concat("base", "added"), lambda a, b: F.when(
+        (a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["kind"] < b["kind"])), -1).otherwise(
+        F.when((a["start"] == b["start"]) & (a["kind"] == b["kind"]), 0).otherwise(1)))
+    return pii.found_spans(docs).select(
+        "doc_id", count("email").alias("n_email"), count("ip").alias("n_ip"), count("card").alias("n_card"),
+        count("phone").alias("n_phone"), F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
+        pii.span_text(every).alias("spans"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return shard.sharded(docs).select(
@@ -43,6 +55,15 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
+    coded = bpe.encoded(docs, ranks, public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_sha256(F.col("ids")).alias("ids_sha256"),
+        F.sha2(bpe.decoded(F.col("ids"), ranks), 256).alias("decoded_sha256"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     found = secret_scan.scanned(docs, owner="source", repository="doc_id")
@@ -65,6 +86,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op2_simhash_near_dedup": op2_simhash_near_dedup,
+           "op3_personal_data": op3_personal_data,
            "op4_sharding": op4_sharding, "op5_best_fit_packing": op5_best_fit_packing,
-           "op7_secret_scan": op7_secret_scan, "op8_exact_top_k": op8_exact_top_k,
+           "op6_byte_bpe": op6_byte_bpe, "op7_secret_scan": op7_secret_scan, "op8_exact_top_k": op8_exact_top_k,
            "op9_quality_rules": op9_quality_rules}
