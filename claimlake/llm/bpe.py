@@ -36,9 +36,10 @@ from pyspark.sql import functions as F
 
 from claimlake.llm.common import staged, tune
 
-FREQUENT = 200_000      # words in the dictionary, at most
+FREQUENT = 300_000      # words in the dictionary, at most
 LONG = 64               # bytes of a word in the dictionary or the fold, at most
 BUCKETS = 1 << 16       # maps of the literal rank table
+NO_RANK = 2 ** 31 - 1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -65,24 +66,41 @@ def piece_table(ranks: dict[bytes, int]) -> Column:
 
 def _rank(table: Column, hexed: Column) -> Column:
     at = F.crc32(hexed.cast("binary")) % BUCKETS
-    return F.try_element_at(F.get(table, at.cast("int")), hexed)
+    return F.coalesce(F.try_element_at(F.get(table, at.cast("int")), hexed), F.lit(NO_RANK))
+
+
+def _with(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
 def fold(hexed: Column, table: Column) -> Column:
-    """The hex tokens of a word given as hex bytes: merges by lowest rank, leftmost first."""
+    """The hex tokens of a word given as hex bytes: merges by lowest rank, leftmost first.
+
+    The state holds the parts and the rank of each pair of neighbours; a merge asks for
+    the ranks of the two pairs that it changes."""
     n_bytes = (F.length(hexed) / 2).cast("int")
     parts = F.transform(F.sequence(F.lit(1), n_bytes), lambda i: F.substring(hexed, i * 2 - 1, F.lit(2)))
-
-    def step(parts: Column, _: Column) -> Column:
-        ranks = F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda p, i: _rank(table, F.concat(p, F.get(parts, i + 1))))
-        best = F.array_min(ranks)
-        at = F.array_position(ranks, best).cast("int")
-        merged = F.concat(F.slice(parts, 1, at - 1), F.array(F.concat(F.get(parts, at - 1), F.get(parts, at))),
-                          F.slice(parts, at + 2, F.size(parts)))
-        return F.when(F.size(parts) < 2, parts).otherwise(F.when(best.isNull(), parts).otherwise(merged))
+    pairs = F.when(n_bytes < 2, F.array().cast("array<int>")).otherwise(F.transform(
+        F.sequence(F.lit(1), n_bytes - 1), lambda i: _rank(table, F.substring(hexed, i * 2 - 1, F.lit(4)))))
+
+    def merge(state: Column, at: Column, new: Column) -> Column:
+        parts, ranks = state["parts"], state["ranks"]  # at: the first of the two parts, from 1
+        changed = F.transform(
+            F.filter(F.array(F.concat(F.get(parts, at - 2), new), F.concat(new, F.get(parts, at + 1))), lambda pair: pair.isNotNull()),
+            lambda pair: _rank(table, pair))
+        return F.struct(
+            F.concat(F.slice(parts, 1, at - 1), F.array(new), F.slice(parts, at + 2, F.size(parts))).alias("parts"),
+            F.concat(F.slice(ranks, 1, F.greatest(at - 2, F.lit(0))), changed, F.slice(ranks, at + 2, F.size(parts))).alias("ranks"))
+
+    def step(state: Column, _: Column) -> Column:
+        return _with(F.array_min(state["ranks"]), lambda least: F.when(least < NO_RANK, _with(
+            F.array_position(state["ranks"], least).cast("int"), lambda at: _with(
+                F.concat(F.get(state["parts"], at - 1), F.get(state["parts"], at)), lambda new: merge(state, at, new)))).otherwise(state))
 
     # one merge less than bytes at most
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(n_bytes - 1, F.lit(1))), parts, step)
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(n_bytes - 1, F.lit(1))),
+                       F.struct(parts.alias("parts"), pairs.alias("ranks")), step, lambda state: state["parts"])
 
 
 def token_ids(hexed: Column, table: Column) -> Column:
@@ -134,7 +152,7 @@ def word_counts(texts: DataFrame, pattern: str, text: str = "text") -> DataFrame
 
     def _counted(seen: Counter) -> pd.DataFrame:
         words = [w for w in seen if len(w.encode()) <= LONG]
-        return pd.DataFrame({"word": words, "n": pd.Series([seen[w] for w in words], dtype="int64")})
+        return pd.DataFrame({"word": pd.Series(words, dtype=object), "n": pd.Series([seen[w] for w in words], dtype="int64")})
 
     return texts.select(F.col(text).alias("text")).mapInPandas(count, "word string, n long") \
         .groupBy("word").agg(F.sum("n").alias("n"))
@@ -160,7 +178,9 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id",
     frequent = most_frequent(staged(word_counts(docs, pattern, text), "word-counts"), FREQUENT) \
         .select("word", token_ids(F.hex(F.col("word").cast("binary")), table).alias("ids"))
     # at most FREQUENT words of at most LONG bytes
-    known = spark.sparkContext.broadcast({r["word"]: np.array(r["ids"], "<i4").tobytes() for r in staged(frequent, "frequent").collect()})
+    held = staged(frequent, "frequent").toArrow().combine_chunks()
+    flat, ends = held["ids"].combine_chunks().flatten().to_numpy().astype("<i4").tobytes(), held["ids"].combine_chunks().offsets.to_pylist()
+    known = spark.sparkContext.broadcast({w: flat[4 * a:4 * b] for w, a, b in zip(held["word"].to_pylist(), ends, ends[1:])})
 
     @F.pandas_udf("known array<int>, ends array<int>, rare array<string>, which array<int>")
     def split(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -184,13 +204,14 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id",
                 rows.append((np.frombuffer(b"".join(runs), "<i4"), ends, [w.encode().hex().upper() for w in rare], which))
             yield pd.DataFrame(rows, columns=["known", "ends", "rare", "which"])
 
-    found = docs.select(F.col(key), split(F.col(text)).alias("s")).select(
-        key, "s.known", "s.ends", "s.which", F.transform("s.rare", lambda w: token_ids(w, table)).alias("folded"))
+    found = docs.select(F.col(key), split(F.col(text)).alias("s")).select(key, "s.*")
     # a run of known ids, the ids of a rare word, ..., a last run of known ids
     start = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get("ends", i - 1))
-    runs = F.transform("ends", lambda end, i: F.concat(
-        F.slice("known", start(i) + 1, end - start(i)), F.coalesce(F.get("folded", F.get("which", i)), F.array().cast("array<int>"))))
-    return found.select(key, F.when(F.size("which") == 0, F.col("known")).otherwise(F.flatten(runs)).alias("ids"))
+    folded = F.transform("rare", lambda word: token_ids(word, table))
+    spliced = _with(folded, lambda folded: F.flatten(F.transform("ends", lambda end, i: F.concat(
+        F.slice("known", start(i) + 1, end - start(i)), F.coalesce(F.get(folded, F.get("which", i)), F.array().cast("array<int>"))))))
+    # A generator ends the projection: what is made of the ids later does not fold again.
+    return found.select(key, F.explode(F.array(F.when(F.size("which") == 0, F.col("known")).otherwise(spliced))).alias("ids"))
 
 
 def decoded(ids: Column, ranks_path: str) -> Column:
