@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import bpe, pack, pii, quality, secret_scan, shard, simhash, topk
+from claimlake.llm import bpe, lm_score, pack, pii, quality, secret_scan, shard, simhash, topk
 from claimlake.llm.common import table
 
 #: Where the public vocabularies lie; a parameter of every operator that uses one.
@@ -23,6 +23,12 @@ def vocabulary(name: str) -> str:
     return os.path.join(TOKENIZERS, name)
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_score.scored(docs).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs, shingle=3, max_bits=3).select(
@@ -85,7 +91,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.fertility(docs, vocabulary("piece_bpe_32k.model")).select("doc_id", "quality.*")
 
 
-QUERIES = {"op2_simhash_near_dedup": op2_simhash_near_dedup,
+QUERIES = {"op1_lm_score": op1_lm_score, "op2_simhash_near_dedup": op2_simhash_near_dedup,
            "op3_personal_data": op3_personal_data,
            "op4_sharding": op4_sharding, "op5_best_fit_packing": op5_best_fit_packing,
            "op6_byte_bpe": op6_byte_bpe, "op7_secret_scan": op7_secret_scan, "op8_exact_top_k": op8_exact_top_k,
