@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import tempfile
 import types
@@ -17,6 +18,7 @@ import uuid
 from itertools import chain, islice
 
 import numpy as np
+import public_tokenizers
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,7 +54,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared folder and read back (cuts the lineage, survives lost executors)."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -64,6 +66,14 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+#: Where the public vocabularies lie; every operator that uses one takes its path as a parameter.
+TOKENIZERS = os.environ.get("LLM_TOKENIZERS") or os.path.dirname(public_tokenizers.path("x"))
+
+
+def vocabulary(name: str) -> str:
+    return os.path.join(TOKENIZERS, name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

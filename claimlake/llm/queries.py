@@ -6,22 +6,13 @@ derives the digest columns from the operator's output.
 
 from __future__ import annotations
 
-import os
-
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import bpe, lm_score, pack, pii, quality, secret_scan, shard, simhash, topk
-from claimlake.llm.common import table
-
-#: Where the public vocabularies lie; a parameter of every operator that uses one.
-TOKENIZERS = os.environ.get("LLM_TOKENIZERS", os.path.dirname(public_tokenizers.path("")))
-
-
-def vocabulary(name: str) -> str:
-    return os.path.join(TOKENIZERS, name)
-
+from claimlake.llm import bpe, line_dedup, lm_score, pack, pii, quality, secret_scan, shard, simhash, topk
+from claimlake.llm.common import table, vocabulary
 
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -91,8 +82,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.fertility(docs, vocabulary("piece_bpe_32k.model")).select("doc_id", "quality.*")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.line_report(docs).select(
+        "doc_id", "n_lines", "n_removed", F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {"op1_lm_score": op1_lm_score, "op2_simhash_near_dedup": op2_simhash_near_dedup,
            "op3_personal_data": op3_personal_data,
            "op4_sharding": op4_sharding, "op5_best_fit_packing": op5_best_fit_packing,
            "op6_byte_bpe": op6_byte_bpe, "op7_secret_scan": op7_secret_scan, "op8_exact_top_k": op8_exact_top_k,
-           "op9_quality_rules": op9_quality_rules}
+           "op9_quality_rules": op9_quality_rules, "op10_line_dedup": op10_line_dedup, "pipeline": pipeline}
