@@ -45,12 +45,8 @@ def date_lit(value: str) -> Column:
     return F.lit(value).cast("date")
 
 
-def months_between_ends(valuation: Column, month: Column, month_end_valuation: bool) -> Column:
-    """Completed month-end development periods: age 0 is the end of the
-    accident month; a mid-month valuation uses the last completed month-end,
-    floored at zero."""
-    adjustment = 0 if month_end_valuation else 1
-    return F.greatest(
-        F.lit(0),
-        (F.year(valuation) - F.year(month)) * 12 + F.month(valuation) - F.month(month) - F.lit(adjustment),
-    )
+def development_age(month: Column, last_closed: int) -> Column:
+    """Month-ends closed since the month of ``month`` ended; 0 for a month that has not.
+
+    ``last_closed``: number of the last month that has ended (``calendar.month_number``)."""
+    return F.greatest(F.lit(last_closed) - (F.year(month) * 12 + F.month(month) - 1), F.lit(0)).cast("int")

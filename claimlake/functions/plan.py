@@ -14,28 +14,20 @@ def evaluated_once(df: DataFrame) -> DataFrame:
     parse, a regex) many times, the inlined plan re-evaluates the parse per
     reference, and a filter on the rule result is rewritten into all of them.
     Columns that come out of ``inline`` are attributes the optimizer cannot
-    inline through, so each value is computed once per row."""
-    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
-
-
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Round-robin a raw scan that arrives in fewer partitions than the
-    cluster has task slots (one unsplittable file: a gzip daily feed, a
-    Parquet file with a single row group).  Otherwise the parse, joins and
-    partial aggregations fused into the scan stage run as one task.
-
-    Only for scans: asking a bare scan for its partition count plans file
-    splits without running anything.  Large, many-file inputs already have
-    enough partitions and pass through unchanged (no extra shuffle); tiny
-    tables are left alone as well."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= slots:
-            return df
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # e.g. a Spark Connect session: no RDD/JVM handles; keep the plan as is
-        return df
-    return df.repartition(slots) if size >= min_bytes else df
+    inline through, so each value is computed once per row.  The partition
+    key and the file name stay outside, so that filters on them still reach
+    the scan."""
+    kept = [c for c in ("load_date", "source_file") if c in df.columns]
+    rest = F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in kept])))
+    return df.select(*kept, rest).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+#: Session setting: partitions that the readers deal a scan out to.  For inputs that arrive in
+#: few splits (a gzip file, a Parquet file with one row group); unset: scans stay as they are.
+INPUT_PARTITIONS = "spark.claimlake.inputPartitions"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a raw scan over ``INPUT_PARTITIONS`` partitions, if the session sets that."""
+    partitions = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(partitions)) if partitions else df

@@ -43,7 +43,9 @@ def change_violations(changes: DataFrame, policies: DataFrame) -> DataFrame:
 
 def scd2(changes: DataFrame, key: str = "policy_id", effective: str = "effective_date") -> DataFrame:
     """One row per version with [valid_from, valid_to) and a version number."""
-    ordered = Window.partitionBy(key).orderBy(effective)
+    # two changes that take effect on one day are told apart by what else orders them
+    ties = [c for c in ("source_version", "source_updated_at", "policy_change_id") if c in changes.columns]
+    ordered = Window.partitionBy(key).orderBy(effective, *ties)
     return (
         changes.withColumn("valid_from", F.col(effective))
         .withColumn("valid_to", F.lead(effective).over(ordered))
@@ -82,7 +84,8 @@ def interval_violations(history: DataFrame, key: str = "policy_id") -> DataFrame
 
 def snapshot_diff(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows only in one snapshot, tagged 'removed' or 'added' (bag semantics)."""
-    cols = [c for c in before.columns if c in after.columns]
-    b, a = before.select(*cols), after.select(*cols)
+    if dict(before.dtypes) != dict(after.dtypes):
+        raise ValueError(f"the snapshots differ in their columns: {sorted(set(before.dtypes) ^ set(after.dtypes))}")
+    b, a = before, after.select(*before.columns)
     return b.exceptAll(a).withColumn("change", F.lit("removed")).unionByName(
         a.exceptAll(b).withColumn("change", F.lit("added")))

@@ -23,7 +23,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +33,7 @@ from ..schemas import (
     CLAIM_EVENT_FIELDS, CLAIM_OPERATIONS, EXPENSE_CATEGORY_SCOPE, EXPENSE_SCOPES, EXPOSURE, MONEY,
     PAYEE_TYPES, PAYMENT_TYPES, POLICE_REPORTED_VALUES, PREMIUM, UNKNOWN_REGION_TOKEN, LedgerContract,
 )
+from ..session import staged
 
 
 @dataclass
@@ -41,20 +41,15 @@ class SilverResult:
     valid: DataFrame
     quarantine: DataFrame
     metrics: DataFrame | None = None
-    cached: tuple[DataFrame, ...] = ()
 
-    def release(self) -> None:
-        """Drop cached intermediates once the outputs are written."""
-        for df in self.cached:
-            df.unpersist()
 
-
-def _count_by(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Attach the number of rows sharing ``keys`` (NULL keys form one group,
-    as a window partition would)."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(counts[k]) for k in keys])
-    return df.join(counts, cond, "left").select(df["*"], counts[name])
+def _count_by(df: DataFrame, keys: list[str], name: str, over: DataFrame | None = None) -> DataFrame:
+    """Attach the number of rows of ``over`` (else of ``df``) that share ``keys`` (NULL keys
+    form one group, as a window partition would)."""
+    own = [f"_{name}_{k}" for k in keys]
+    counts = (over or df).groupBy(*[F.col(k).alias(o) for k, o in zip(keys, own)]).agg(F.count(F.lit(1)).alias(name))
+    cond = reduce(Column.__and__, [df[k].eqNullSafe(counts[o]) for k, o in zip(keys, own)])
+    return df.join(counts, cond, "left").drop(*own)
 
 
 # ---------------------------------------------------------------------------
@@ -191,8 +186,9 @@ def checked_exposure(raw: DataFrame) -> DataFrame:
     """Counts are taken before validity is known: an invalid twin also
     condemns a valid row, and every copy of a duplicate is quarantined."""
     typed = evaluated_once(typed_exposure(raw))
-    typed = _count_by(typed, ["load_date", "exposure_record_id"], "_exposure_id_count")
-    typed = _count_by(typed, ["load_date", "policy_id"], "_policy_count")
+    feed = typed  # both counts are taken from the typed feed's keys, not from each other's join
+    typed = _count_by(feed, ["load_date", "exposure_record_id"], "_exposure_id_count")
+    typed = _count_by(typed, ["load_date", "policy_id"], "_policy_count", over=feed)
     typed = typed.withColumn(
         "region_quality_flag",
         F.when(F.upper(F.col("region")) == UNKNOWN_REGION_TOKEN, F.lit("UNKNOWN")).otherwise(F.lit("VALID")))
@@ -211,9 +207,11 @@ def silver_exposure(raw: DataFrame) -> SilverResult:
 # C3/C4 ledgers (payments, expenses)
 # ---------------------------------------------------------------------------
 
-_FIELD = r'(?:"(?:[^"]|"")*"|(?!")[^,]*)'
-_ANY_FIELDS = rf"^{_FIELD}(?:,{_FIELD})*$"
-_OPEN_QUOTE = rf'^(?:{_FIELD},)*"(?:[^"]|"")*$'
+# Possessive throughout: the matcher walks a line of any length without recursion.
+_QUOTED = r'"[^"]*+(?:""[^"]*+)*+'
+_FIELD = rf'(?:{_QUOTED}"|(?!")[^,]*+)'
+_ANY_FIELDS = rf"^{_FIELD}(?:,{_FIELD})*+$"
+_OPEN_QUOTE = rf"^(?:{_FIELD},)*+{_QUOTED}$"
 
 
 def strip_bom(c: Column) -> Column:
@@ -223,7 +221,7 @@ def strip_bom(c: Column) -> Column:
 def csv_line_error(value: Column, n_fields: int) -> Column:
     """NULL for a strictly quoted line with exactly ``n_fields`` fields, else
     the malformed-CSV reason."""
-    exact = rf"^{_FIELD}(?:,{_FIELD}){{{n_fields - 1}}}$"
+    exact = rf"^{_FIELD}(?:,{_FIELD}){{{n_fields - 1}}}+$"
     return (
         F.when(value.rlike(exact), F.lit(None).cast("string"))
         .when(value.rlike(_ANY_FIELDS), F.lit("malformed CSV: wrong CSV field count"))
@@ -244,13 +242,13 @@ def parse_ledger_lines(lines: DataFrame, contract: LedgerContract) -> DataFrame:
     schema = ", ".join(f"`{f}` STRING" for f in fields)
     error = csv_line_error(F.col("value"), len(fields))
     parsed = F.from_csv(F.col("value"), schema, {"escape": '"', "mode": "PERMISSIVE"})
-    staged = lines.select(
+    raw = lines.select(
         "value", "source_file", "load_date",
         error.alias("_parse_error"),
         F.when(error.isNull(), parsed).alias("_parsed"),
     )
     row = F.struct(F.col("_parse_error"), *[F.col(f"_parsed.`{f}`").alias(f) for f in fields])
-    return staged.select(
+    return raw.select(
         F.col("value").alias("raw_record"), "source_file", "load_date", F.inline(F.array(row)),
     )
 
@@ -359,11 +357,10 @@ def silver_ledger(lines: DataFrame, contract: LedgerContract, header: str | None
     quarantined as conflicting."""
     header = header if header is not None else ",".join(contract.fields)
     body = lines.withColumn("value", strip_bom(F.col("value"))).filter(F.col("value") != F.lit(header))
-    # Cached, as the three consumers (invalid rows, candidates, metrics) share
-    # the parse.  The cache is also a leaf for the optimizer: without it,
-    # constraint inference over the wide rule expressions explodes once the
-    # id counts are joined back.  Lost blocks are recomputed from lineage.
-    checked = checked_ledger(parse_ledger_lines(body, contract), contract).persist(StorageLevel.MEMORY_AND_DISK)
+    # Staged, as the three consumers (invalid rows, candidates, metrics) share the parse.
+    # The files are also a leaf for the optimizer: without them, constraint inference over
+    # the wide rule expressions explodes once the id counts are joined back.
+    checked = staged(checked_ledger(parse_ledger_lines(body, contract), contract), f"ledger-{contract.dataset}")
     fields, id_field = contract.fields, contract.id_field
 
     invalid = checked.filter(is_invalid())
@@ -391,7 +388,7 @@ def silver_ledger(lines: DataFrame, contract: LedgerContract, header: str | None
     valid = valid.select("source_file", *[typed[f].alias(f) for f in fields], "silver_processed_at", "load_date")
 
     metrics = ledger_metrics(invalid, unique, contract)
-    return SilverResult(valid, quarantine, metrics, cached=(checked,))
+    return SilverResult(valid, quarantine, metrics)
 
 
 def ledger_metrics(invalid: DataFrame, unique: DataFrame, contract: LedgerContract) -> DataFrame:

@@ -164,10 +164,10 @@ def ibnr_loss_month(spark, root):
     return ibnr.losses_by_month(ibnr.prepare(exposure, claims).latest, BF_START, BF_END)
 
 
-def _bf(spark, root):
+def _bf(spark, root, start=BF_START, end=BF_END):
     exposure, claims = _bf_inputs(spark, root)
     a = ibnr.parse_assumptions(BF_ELR, BF_PATTERN_JSON)
-    return ibnr.ibnr_bf(exposure, claims, a, ibnr.pattern_frame(spark, a), BF_START, BF_END,
+    return ibnr.ibnr_bf(exposure, claims, a, ibnr.pattern_frame(spark, a), start, end,
                         check=False, processed_at=False)
 
 
@@ -194,12 +194,10 @@ def _in_window(df: DataFrame, column: str, start: str, end: str) -> DataFrame:
 
 
 def ibnr_adjusted_result(spark, root):
-    """reported_result_before_ibnr - portfolio IBNR for the same window."""
-    inputs = _inputs(spark, root)
-    inputs["claim_payments"] = _in_window(inputs["claim_payments"], "payment_date", BF_START, BF_END)
-    inputs["expense_transactions"] = _in_window(inputs["expense_transactions"], "expense_date", BF_START, BF_END)
-    portfolio = gold.build_gold(inputs, BF_START, BF_END, check=False, processed_at=False)["portfolio_performance"]
-    return ibnr.adjusted_result(portfolio, _bf(spark, root))
+    """reported_result_before_ibnr - portfolio IBNR over the whole history (D7): all four
+    inputs, the exposure and claims of the reserve among them, for the same window."""
+    portfolio = _gold(spark, root)["portfolio_performance"]
+    return ibnr.adjusted_result(portfolio, _bf(spark, root, START, END))
 
 
 def _policy_scd2(t):

@@ -7,15 +7,19 @@
   partition key and location are a contract: any drift needs an explicit
   migration.  Publishing points the valuation date's partition at the run's
   immutable generation (add, or re-point on rerun), after every file exists.
-* Reports: the four report statements run as parameterised Spark SQL over
-  the registered Gold tables, one ``as_of_date`` at a time.
+* Reports: the report functions run over the registered Gold tables, one
+  ``as_of_date`` at a time.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import reports
+
 
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -35,14 +39,18 @@ def partition_location(spark: SparkSession, fq: str, key: str, value: str) -> st
     try:
         rows = spark.sql(f"DESCRIBE TABLE EXTENDED {fq} PARTITION ({_q(key)} = '{value}')").filter(
             "col_name = 'Location'").collect()
-    except Exception:  # partition not registered
-        return None
+    except AnalysisException as error:
+        if "PARTITION" in (error.getCondition() or "") and "NOT_FOUND" in error.getCondition():
+            return None  # not registered
+        raise
     return rows[0]["data_type"] if rows else None
 
 
 def ensure_table(spark: SparkSession, database: str, table: str, schema: T.StructType,
-                 partition_key: str, location: str) -> str:
-    """Create the database/table if absent; otherwise enforce the contract."""
+                 partition_key: str, location: str, may_lack: bool = False) -> str:
+    """Create the database/table if absent; otherwise enforce the contract.
+
+    ``may_lack``: the data may lack columns of the table, which then read as null."""
     fq = f"{_q(database)}.{_q(table)}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(database)}")
     wanted = [(f.name, f.dataType.simpleString()) for f in schema.fields if f.name != partition_key]
@@ -54,18 +62,32 @@ def ensure_table(spark: SparkSession, database: str, table: str, schema: T.Struc
     existing = spark.table(fq).schema
     have = [(f.name, f.dataType.simpleString()) for f in existing.fields if f.name != partition_key]
     keys = [c.name for c in spark.catalog.listColumns(f"{database}.{table}") if c.isPartition]
-    if have != wanted or keys != [partition_key]:
+    same = set(wanted) <= set(have) if may_lack else have == wanted
+    if not same or keys != [partition_key]:
         raise ValueError(f"schema mismatch for {database}.{table}; explicit schema migration required")
     if _norm(table_location(spark, fq)) != _norm(location):
         raise ValueError(f"Unexpected location for {database}.{table}")
     return fq
 
 
+def ensure_silver_table(spark: SparkSession, database: str, dataset: str, silver_root: str, schema: T.StructType) -> str:
+    return ensure_table(spark, database, dataset, schema, "load_date", f"{silver_root.rstrip('/')}/{dataset}", may_lack=True)
+
+
+def add_columns(spark: SparkSession, database: str, table: str, schema: T.StructType) -> list[str]:
+    """The explicit migration: add the nullable columns of ``schema`` that the table lacks."""
+    have = set(spark.table(f"{_q(database)}.{_q(table)}").columns)
+    new = [f for f in schema.fields if f.name not in have]
+    if new:
+        columns = ", ".join(f"{_q(f.name)} {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {_q(database)}.{_q(table)} ADD COLUMNS ({columns})")
+    return [f.name for f in new]
+
+
 def register_silver_partition(spark: SparkSession, database: str, dataset: str, silver_root: str,
                               day: str, schema: T.StructType) -> str:
-    root = f"{silver_root.rstrip('/')}/{dataset}"
-    fq = ensure_table(spark, database, dataset, schema, "load_date", root)
-    location = f"{root}/load_date={day}"
+    fq = ensure_silver_table(spark, database, dataset, silver_root, schema)
+    location = f"{silver_root.rstrip('/')}/{dataset}/load_date={day}"
     current = partition_location(spark, fq, "load_date", day)
     if current is None:
         spark.sql(f"ALTER TABLE {fq} ADD IF NOT EXISTS PARTITION (load_date = '{day}') LOCATION '{location}'")
@@ -89,26 +111,16 @@ def register_gold(spark: SparkSession, database: str, gold_root: str, manifest:
             spark.sql(f"ALTER TABLE {fq} PARTITION (as_of_date = '{as_of}') SET LOCATION '{location}'")
 
 
-# Report statements (always one cumulative valuation snapshot).
-REPORT_SQL = {
-    "portfolio": "SELECT * FROM {db}.portfolio_performance WHERE as_of_date = :as_of",
-    "region_contribution": """
-        SELECT region, COUNT(*) AS policy_count, SUM(earned_premium) AS earned_premium,
-               SUM(reported_incurred_amount) AS reported_incurred, SUM(direct_expense) AS direct_expense,
-               SUM(reported_contribution_before_ibnr) AS contribution_before_ibnr
-        FROM {db}.policy_performance WHERE as_of_date = :as_of
-        GROUP BY region ORDER BY earned_premium DESC""",
-    "expense_mix": """
-        SELECT expense_scope, expense_category, SUM(expense_amount) AS expense_amount
-        FROM {db}.expense_summary WHERE as_of_date = :as_of
-        GROUP BY expense_scope, expense_category ORDER BY expense_scope, expense_amount DESC""",
-    "unreconciled_claims": """
-        SELECT claim_id, policy_id, incurred_amount, paid_amount, ledger_paid_amount,
-               paid_reconciliation_difference, paid_reconciled
-        FROM {db}.claim_snapshot WHERE as_of_date = :as_of AND NOT paid_reconciled
-        ORDER BY ABS(paid_reconciliation_difference) DESC""",
+#: Report -> the Gold table it reads and its DataFrame function.
+REPORTS = {
+    "portfolio": ("portfolio_performance", reports.report_portfolio),
+    "region_contribution": ("policy_performance", reports.report_region_contribution),
+    "expense_mix": ("expense_summary", reports.report_expense_mix),
+    "unreconciled_claims": ("claim_snapshot", reports.report_unreconciled_claims),
 }
 
 
 def report(spark: SparkSession, database: str, name: str, as_of: str) -> DataFrame:
-    return spark.sql(REPORT_SQL[name].format(db=_q(database)), args={"as_of": as_of})
+    """A report over the registered tables, for one valuation date (one partition is read)."""
+    table, rows = REPORTS[name]
+    return rows(spark.table(f"{_q(database)}.{_q(table)}").where(F.col("as_of_date") == F.lit(as_of)))

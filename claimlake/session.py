@@ -11,8 +11,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from .functions.plan import INPUT_PARTITIONS
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -42,6 +45,7 @@ def local_session(cores: int | str = "*", app: str = "claimlake", shuffle_partit
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config(INPUT_PARTITIONS, str(shuffle_partitions))  # the benchmark tables are single row groups
         .config("spark.driver.memory", os.environ.get("CLAIMLAKE_DRIVER_MEMORY", "8g"))
     )
     for key, value in SESSION_CONF.items():
@@ -53,18 +57,24 @@ def local_session(cores: int | str = "*", app: str = "claimlake", shuffle_partit
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
+    """The shared checkpoint folder that the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is.  Only when it is unset (local tests) is a scratch folder
-    chosen here.
-    """
+    Only a local master without one gets a scratch folder; on a cluster a missing setting is
+    an error, since a machine's own folder is lost with the machine."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="claimlake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write once under the shared folder and read back: what follows starts from files."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -27,8 +27,9 @@ FEEDS = {
 
 
 def feed_path(root: str, dataset: str, day: str) -> str:
+    """All files of the feed for one day: ``stem_DAY.csv`` and ``stem_ANYTHING_DAY.csv``."""
     prefix, stem = FEEDS[dataset]
-    return f"{root.rstrip('/')}/{prefix}/{stem}_{day}.csv"
+    return f"{root.rstrip('/')}/{prefix}/{stem}{{_,_*_}}{day}.csv"
 
 
 def _lineage(df: DataFrame, day: str) -> DataFrame:
@@ -69,14 +70,11 @@ def read_ledger_lines(spark: SparkSession, root: str, contract: LedgerContract,
 
     With ``allowed`` (schema evolution) the header selects the contract;
     an undeclared header fails the load."""
-    path = feed_path(root, contract.dataset, day)
-    header = first_line(spark, path)
-    chosen = None
-    for candidate in (allowed or [contract]):
-        if header_matches(header, candidate.fields):
-            chosen = candidate
-            break
-    if chosen is None:
+    text = spark.read.text(feed_path(root, contract.dataset, day))
+    # a day has a few files; all must have the header of one contract
+    headers = {first_line(spark, path) for path in text.inputFiles()} or {""}
+    chosen = [candidate for candidate in (allowed or [contract]) if all(header_matches(h, candidate.fields) for h in headers)]
+    if not chosen:
         raise ValueError("Bronze CSV header/order does not match expected schema")
-    lines = spread(_lineage(spark.read.text(path), day).select("value", "source_file", "load_date"))
-    return lines, chosen, header
+    lines = spread(_lineage(text, day).select("value", "source_file", "load_date"))
+    return lines.where(~F.regexp_replace("value", "^\\x{FEFF}", "").isin(*headers)), chosen[0], min(headers)

@@ -7,21 +7,16 @@ file -- an empty day is data (zero rows), a missing day is an error.
 
 from __future__ import annotations
 
-from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def validate_dates(start: str, end: str) -> None:
-    first, last = date.fromisoformat(start), date.fromisoformat(end)
-    if first.isoformat() != start or last.isoformat() != end or first > last:
-        raise ValueError("Expected YYYY-MM-DD dates with HISTORY_START_DATE <= PROCESS_DATE")
+from ..functions.calendar import window
 
 
 def date_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
     """One row per calendar day in [start, end] (``load_date``)."""
-    validate_dates(start, end)
+    window(start, end)
     return spark.range(1).select(F.explode(F.sequence(
         F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("INTERVAL 1 DAY"))).alias("load_date"))
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from .gold_sql import END as GOLD_END
 from .gold_sql import FIXTURE_CTES, gold_ctes
+from .gold_sql import START as GOLD_START
 
 START, END = "1995-01-01", "2001-11-15"
 ELR = "0.65"
@@ -11,10 +13,9 @@ PATTERN = [(0, "0.10"), (1, "0.25"), (2, "0.40"), (3, "0.50"), (4, "0.60"), (5,
 PATTERN_JSON = ('{"0": 0.10, "1": 0.25, "2": 0.40, "3": 0.50, "4": 0.60, "5": 0.70, "6": 0.78, '
                 '"7": 0.85, "8": 0.90, "9": 0.94, "10": 0.97, "11": 0.99, "12": 1.00}')
 LAST_AGE = 12
-MONTH_END_VALUATION = False
 
 
-def bf_ctes(claims_source: str = "fx_claims") -> str:
+def bf_ctes(claims_source: str = "fx_claims", START: str = START, END: str = END, MONTH_END_VALUATION: bool = False) -> str:
     values = ", ".join(f"({a}, CAST({p} AS DECIMAL(18,8)))" for a, p in PATTERN)
     adj = 0 if MONTH_END_VALUATION else 1
     return f"""
@@ -108,21 +109,15 @@ FROM bf_cohorts WHERE earned_premium <= 0 AND reported_incurred_amount > 0
 """
 
 
-def _with(body: str, claims_source: str = "fx_claims", gold: bool = False) -> str:
-    parts = [FIXTURE_CTES]
-    if gold:
-        parts.append(gold_ctes_window())
-    parts.append(bf_ctes(claims_source))
-    return "WITH " + ",".join(parts) + "\n" + body
+def _with(body: str, claims_source: str = "fx_claims") -> str:
+    return "WITH " + ",".join([FIXTURE_CTES, bf_ctes(claims_source)]) + "\n" + body
 
 
-def gold_ctes_window() -> str:
-    """Gold CTEs for the BF window: the history read ends at the valuation
-    date, so later payments and expenses are not part of it."""
-    sql = gold_ctes()
-    sql = sql.replace("FROM fx_payments", f"FROM fx_payments WHERE payment_date BETWEEN DATE '{START}' AND DATE '{END}'")
-    sql = sql.replace("FROM fx_expenses", f"FROM fx_expenses WHERE expense_date BETWEEN DATE '{START}' AND DATE '{END}'")
-    return sql.replace("DATE '1995-01-01'", f"DATE '{START}'").replace("DATE '2024-12-31'", f"DATE '{END}'")
+# Gold and reserve over one window: the whole history, valued at its end (a month's last day).
+ADJUSTED = "WITH " + ",".join([FIXTURE_CTES, gold_ctes(), bf_ctes("fx_claims", GOLD_START, GOLD_END, True)]) + """
+SELECT p.valuation_date, g.reported_result_before_ibnr, p.portfolio_ibnr,
+       g.reported_result_before_ibnr - p.portfolio_ibnr AS ibnr_adjusted_result
+FROM g_portfolio g, bf_portfolio p"""
 
 
 ORACLES: dict[str, str] = {
@@ -131,8 +126,5 @@ ORACLES: dict[str, str] = {
     "ibnr_bf": _with("SELECT * FROM bf_monthly"),
     "ibnr_portfolio": _with("SELECT * FROM bf_portfolio"),
     "ibnr_violations": _with(VIOLATIONS, claims_source="fx_claims_all"),
-    "ibnr_adjusted_result": _with("""
-SELECT p.valuation_date, g.reported_result_before_ibnr, p.portfolio_ibnr,
-       g.reported_result_before_ibnr - p.portfolio_ibnr AS ibnr_adjusted_result
-FROM g_portfolio g, bf_portfolio p""", gold=True),
+    "ibnr_adjusted_result": ADJUSTED,
 }

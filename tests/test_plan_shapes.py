@@ -68,7 +68,6 @@ def test_silver_loads_stay_in_the_jvm(spark):
     for df in (result.valid, result.quarantine, result.metrics):
         p = plan(df)
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
-    result.release()
 
 
 def test_history_scan_prunes_partitions(spark):
@@ -80,15 +79,23 @@ def test_history_scan_prunes_partitions(spark):
     assert "PartitionFilters: [isnotnull(load_date" in p and df.count() == 2
 
 
-def test_spread_only_touches_under_partitioned_scans(spark):
-    from claimlake.functions.plan import spread
-    root = tempfile.mkdtemp(prefix="claimlake-spread-")
-    spark.range(200000).selectExpr("id", "cast(id as string) AS s").coalesce(1).write.parquet(f"{root}/one")
-    one = spark.read.parquet(f"{root}/one")
-    assert spread(one, min_bytes=1).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(one, min_bytes=1 << 40) is one  # small inputs stay as they are
-    slots = spark.sparkContext.defaultParallelism
-    spark.range(200000).repartition(slots * 2).write.parquet(f"{root}/many")
-    many = spark.read.option("maxPartitionBytes", "64k").parquet(f"{root}/many")
-    if many.rdd.getNumPartitions() >= slots:
-        assert spread(many, min_bytes=1) is many  # enough partitions: no extra shuffle
+def test_scans_are_dealt_out_only_when_the_session_says_so(spark):
+    from claimlake.functions.plan import INPUT_PARTITIONS, spread
+    one, before = spark.range(10).coalesce(1), spark.conf.get(INPUT_PARTITIONS, None)
+    try:
+        spark.conf.unset(INPUT_PARTITIONS)
+        assert spread(one) is one
+        spark.conf.set(INPUT_PARTITIONS, "3")
+        assert spread(one).rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.unset(INPUT_PARTITIONS) if before is None else spark.conf.set(INPUT_PARTITIONS, before)
+
+
+def test_long_quoted_ledger_fields(spark):
+    """A quoted field of any length, with many doubled quotes or commas, is walked without recursion."""
+    from claimlake.operators.silver import csv_line_error
+    long = ["x" * 100_000, '""' * 50_000, "," * 100_000]
+    lines = [(f'a,"{v}",c',) for v in long] + [(",".join("abc" * 30_000),), ('a,"b' + "x" * 100_000,), ('a,"b"c,d',), ("a,b,c",)]
+    df = spark.createDataFrame(lines, "value string").withColumn("error", csv_line_error(F.col("value"), 3))
+    assert [r["error"] for r in df.collect()] == [None, None, None, "malformed CSV: wrong CSV field count",
+        "malformed CSV: unexpected end of data", "malformed CSV: ',' expected after '\"'", None]

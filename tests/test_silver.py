@@ -113,7 +113,6 @@ def test_payment_normalisation(spark):
     assert str(row["amount"]) == "12.50" and row["source_version"] == 7
     assert row["updated_at"].isoformat() == "2026-01-05T06:30:00.500000"
     assert result.quarantine.count() == 0
-    result.release()
 
 
 @pytest.mark.parametrize("line,expected", [
@@ -138,7 +137,6 @@ def test_payment_rules(spark, line, expected):
     result = silver.silver_ledger(lines(spark, [line]), PAYMENTS)
     (row,) = result.quarantine.collect()
     assert row["dq_errors"] == expected or row["dq_errors"].startswith(expected + "; ")
-    result.release()
 
 
 def test_duplicates_collapse_and_conflicts_quarantine(spark):
@@ -150,7 +148,6 @@ def test_duplicates_collapse_and_conflicts_quarantine(spark):
     assert {r["dq_errors"] for r in q} == {"conflicting transaction ID within load date"} and len(q) == 2
     (m,) = result.metrics.collect()
     assert (m["input_rows"], m["valid_rows"], m["quarantine_rows"], m["duplicate_rows_collapsed"]) == (4, 1, 2, 1)
-    result.release()
 
 
 EXP = "EXP-1,2026-01-05,office_rent,CORPORATE,30,CAD,,,,SRC,2026-01-05T06:00:00Z,2026-01-05T06:00:00Z"
@@ -171,7 +168,6 @@ def test_expense_rules(spark, line, expected):
     result = silver.silver_ledger(lines(spark, [line]), EXPENSES)
     rows = result.quarantine.collect()
     assert (rows[0]["dq_errors"] if rows else "") == expected
-    result.release()
 
 
 def test_payments_v2_method(spark):
@@ -183,4 +179,3 @@ def test_payments_v2_method(spark):
     valid = {r["payment_id"]: r["payment_method"] for r in result.valid.collect()}
     assert valid == {"PAY-1": "EFT", "PAY-3": None}
     assert result.quarantine.first()["dq_errors"] == "payment_method is invalid"
-    result.release()
