@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from claimlake.llm.common import staged, tune
 
-FREQUENT = 300_000      # words in the dictionary, at most
+FREQUENT = 400_000      # words in the dictionary, at most
 LONG = 64               # bytes of a word in the dictionary or the fold, at most
 BUCKETS = 1 << 16       # maps of the literal rank table
 NO_RANK = 2 ** 31 - 1

@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import sys
 import tempfile
@@ -26,6 +27,9 @@ from pyspark.sql import functions as F
 #: Rows of one Arrow batch.  Documents may be very long, so batches are kept short.
 BATCH_ROWS = 256
 
+#: Edges that a task of the component search holds, on average.
+EDGES_A_TASK = 50_000
+
 _SCRATCH: dict[str, str] = {}
 
 
@@ -94,27 +98,29 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     """
     state = staged(
         edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), name)
-    seen = None
-    while True:
+    n, seen = state.count(), None
+    while n:
+        # The edges shrink to a small part of their input's rows: few tasks, more with more edges.
+        parts = max(8, math.ceil(n / EDGES_A_TASK))
         # large star: every larger neighbour of u hangs on the least of u and its neighbours
         both = state.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(
             state.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), name)
+        least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).coalesce(parts), name)
         large = staged(
             both.join(least, "u").where((F.col("v") > F.col("u")) | (F.col("v") == F.col("m")))
-            .select(F.greatest("u", "v").alias("hi"), F.col("m").alias("lo")).distinct(), name)
+            .select(F.greatest("u", "v").alias("hi"), F.col("m").alias("lo")).coalesce(parts), name)
         # small star: u and its smaller neighbours hang on the least of them
-        root = staged(large.groupBy("hi").agg(F.min("lo").alias("m")), name)
+        root = staged(large.groupBy("hi").agg(F.min("lo").alias("m")).coalesce(parts), name)
         state = staged(
             large.join(root, "hi")
             .select(F.explode(F.array(
                 F.struct(F.col("hi"), F.col("m").alias("lo")),
                 F.struct(F.greatest("lo", "m").alias("hi"), F.col("m").alias("lo")))).alias("edge"))
-            .select("edge.*").distinct(), name)
+            .select("edge.*").distinct().coalesce(parts), name)
         mark = state.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if mark == seen:
             break
-        seen = mark
+        n, seen = mark[0], mark
     return state.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("component"))
 
 
