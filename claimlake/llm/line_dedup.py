@@ -28,11 +28,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimlake.llm.common import connected_components, free_name, staged, tune
-from claimlake.llm.simhash import merge_labels
 
 SHINGLE = 8             # characters
 SIMILARITY = 0.8
@@ -129,27 +129,37 @@ def line_hashes(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select("row", F.col(key).alias("key"), scan(F.col(text).cast("binary")).alias("s")).select("row", "key", "s.*")
 
 
-def _texts_of(docs: DataFrame, text: str, lines: DataFrame) -> DataFrame:
-    """(line, words): the normalised text of each of these line hashes, once."""
-    word = F.pmod(F.col("line"), F.lit(BITMAP_BITS))
+def _bitmap(numbers: DataFrame, column: str) -> Broadcast:
+    """A bitmap of fixed size with the bits of these numbers set."""
+    bit = F.pmod(F.col(column), F.lit(BITMAP_BITS))
     # at most BITMAP_BITS / 32 rows
-    held = lines.select(F.floor(word / 32).cast("int").alias("at"), F.call_function("shiftleft", F.lit(1), (word % 32).cast("int")).alias("bit")) \
+    held = numbers.select(F.floor(bit / 32).cast("int").alias("at"), F.call_function("shiftleft", F.lit(1), (bit % 32).cast("int")).alias("bit")) \
         .groupBy("at").agg(F.bit_or("bit").alias("bits")).toPandas()
-    bitmap = np.zeros(BITMAP_BITS // 32, np.int32)
-    bitmap[held["at"].to_numpy(int)] = held["bits"].to_numpy(np.int64).astype(np.int32)
-    sent = docs.sparkSession.sparkContext.broadcast(bitmap.view(np.uint32))
+    bits = np.zeros(BITMAP_BITS // 32, np.int32)
+    bits[held["at"].to_numpy(int)] = held["bits"].to_numpy(np.int64).astype(np.int32)
+    return numbers.sparkSession.sparkContext.broadcast(bits.view(np.uint32))
+
+
+def _may_hold(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Whether the bitmap holds each number; sometimes true of one that it was not given."""
+    at = numbers % BITMAP_BITS
+    return (bits[at >> 5] >> (at & 31).astype(np.uint32) & 1).astype(bool)
+
+
+def _texts_of(docs: DataFrame, text: str, lines: DataFrame) -> DataFrame:
+    """(line, words): the normalised text of each of these line hashes, once."""
+    sent = _bitmap(lines, "line")
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits, seen = sent.value, set()
         for batch in batches:
+            found = [line for t in batch["text"] for _, line in _taking_part(t)]
+            hashes = np.array([_line_hash(line) for line in found], np.int64)
             out = []
-            for t in batch["text"]:
-                for _, line in _taking_part(t):
-                    h = _line_hash(line)
-                    at = h % BITMAP_BITS
-                    if bits[at >> 5] >> np.uint32(at & 31) & 1 and h not in seen:
-                        seen.add(h)
-                        out.append((h, line))
+            for i in np.flatnonzero(_may_hold(bits, hashes)).tolist():
+                if (h := int(hashes[i])) not in seen:
+                    seen.add(h)
+                    out.append((h, found[i]))
             if len(seen) > 500_000:
                 seen = set()
             yield pd.DataFrame({"line": pd.Series([h for h, _ in out], dtype="int64"), "words": pd.Series([w for _, w in out], dtype=object)})
@@ -158,6 +168,26 @@ def _texts_of(docs: DataFrame, text: str, lines: DataFrame) -> DataFrame:
     return found.join(lines.select("line").distinct(), "line", "left_semi").groupBy("line").agg(F.first("words").alias("words"))
 
 
+def _members(lines: DataFrame, shared: DataFrame) -> DataFrame:
+    """(line, bucket) for the buckets in ``shared``; most others are sorted out before the join."""
+    sent = _bitmap(shared, "bucket")
+
+    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keys = _bucket_keys(np.concatenate([*batch["buckets"], np.zeros(0, np.int32)]))
+            line = np.repeat(batch["line"].to_numpy(np.int64), BANDS)
+            keep = _may_hold(sent.value, keys)
+            yield pd.DataFrame({"line": line[keep], "bucket": keys[keep]})
+
+    return lines.mapInPandas(members, "line long, bucket long")
+
+
+def _bucket_keys(buckets: np.ndarray) -> np.ndarray:
+    """A long for each (band, bucket) of flat buckets."""
+    band = np.tile(np.arange(BANDS, dtype=np.int64), len(buckets) // BANDS)
+    return band << 32 | buckets.astype(np.int64) & 0xFFFFFFFF
+
+
 def _shingles(line: bytes) -> set[str]:
     s = line.decode("utf-8", "replace")
     return {s[i:i + SHINGLE] for i in range(len(s) - SHINGLE + 1)}
@@ -173,22 +203,22 @@ def alike(a: set[str], b: set[str]) -> bool:
 
 
 def _across(rows: pd.DataFrame) -> pd.DataFrame:
-    """The links between lines of different components in one or two blocks of a bucket (a spanning forest of them)."""
-    lines = rows["line"].to_numpy(np.int64)
-    second = rows["second"].to_numpy(bool)
+    """Links between lines of different components in one or two blocks: a spanning forest of them."""
+    lines, second = rows["line"].tolist(), rows["second"].tolist()
     sets = [_shingles(w) for w in rows["words"]]
-    labels = np.unique(rows["component"].to_numpy(np.int64), return_index=True, return_inverse=True)
-    label = labels[1][labels[2]]
-    one_block = not second.any()
+    label = rows["component"].tolist()
+    one_block = not any(second)
+    order = sorted(range(len(lines)), key=lambda i: len(sets[i]))
     out = []
-    order = np.argsort([len(s) for s in sets], kind="stable")
-    for n, i in enumerate(order.tolist()):
-        for j in order[n + 1:].tolist():
-            if len(sets[i]) < SIMILARITY * len(sets[j]):
+    for n, i in enumerate(order):
+        most = len(sets[i]) / SIMILARITY
+        for j in order[n + 1:]:
+            if len(sets[j]) > most:
                 break  # longer ones cannot be alike either
             if label[i] != label[j] and (one_block or second[i] != second[j]) and alike(sets[i], sets[j]):
-                merge_labels(label, np.array([i]), np.array([j]))
-                out.append((int(lines[i]), int(lines[j])))
+                out.append((lines[i], lines[j]))
+                old, new = label[j], label[i]
+                label = [new if x == old else x for x in label]
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
@@ -197,17 +227,19 @@ def line_components(hashes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     each = hashes.select(F.posexplode("line").alias("i", "line"), "buckets") \
         .select("line", F.slice("buckets", F.col("i") * BANDS + 1, BANDS).alias("buckets"))
     distinct = staged(each.groupBy("line").agg(F.first("buckets").alias("buckets")), "lines")
-    members = distinct.select("line", F.posexplode("buckets").alias("band", "bucket"))
-    shared = members.groupBy("band", "bucket").agg(F.min("line").alias("least"), F.max("line").alias("most"), F.count("*").alias("n")) \
-        .where("least <> most").select("band", "bucket", "least", "n")
-    shared = staged(members.join(staged(shared, "buckets"), ["band", "bucket"]), "members")
+    of_bucket = F.col("band").cast("long") * (1 << 32) + F.col("b").bitwiseAND(F.lit(0xFFFFFFFF))
+    shared = staged(
+        distinct.select("line", F.posexplode("buckets").alias("band", "b")).select("line", of_bucket.alias("bucket"))
+        .groupBy("bucket").agg(F.min("line").alias("least"), F.max("line").alias("most")).where("least <> most")
+        .select("bucket", "least"), "buckets")
+    shared = staged(_members(distinct, shared).join(shared, "bucket"), "members")
     pairs = staged(shared.where("line <> least").groupBy("line", "least").agg(F.count("*").alias("n")).select("line", "least"), "pairs")
     texts = staged(_texts_of(docs, text, pairs.select("line").union(pairs.select("least"))), "texts")
     mine, other = texts.withColumnRenamed("words", "x"), texts.select(F.col("line").alias("least"), F.col("words").alias("y"))
 
     @F.pandas_udf("boolean")
     def verify(x: pd.Series, y: pd.Series) -> pd.Series:
-        held: dict[bytes, set[str]] = {}  # a leader's set serves all its pairs in the batch
+        held: dict[bytes, set[str]] = {}  # a line's set serves all its pairs in the batch
 
         def of(line: bytes) -> set[str]:
             if line not in held:
@@ -219,20 +251,23 @@ def line_components(hashes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     links = staged(pairs.join(mine, "line").join(other, "least").where(verify("x", "y"))
                    .select(F.col("line").alias("a"), F.col("least").alias("b")), "line-links")
     sets = staged(connected_components(links, "line-sets"), "line-components")
-    # buckets of three or more whose lines lie in several components
-    placed = shared.where("n > 2").join(sets, shared["line"] == sets["node"], "left") \
-        .select("band", "bucket", "line", F.coalesce("component", "line").alias("component"))
-    mixed = placed.groupBy("band", "bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high") \
-        .select("band", "bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    # Buckets of three or more lines that lie in several components still.  What such buckets
+    # hold is gathered by the first and last of their components, so that lines which meet
+    # in many bands are compared once.
+    placed = staged(shared.join(sets, shared["line"] == sets["node"], "left")
+                    .select("bucket", "line", F.coalesce("component", "line").alias("component")), "placed")
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")) \
+        .where("low <> high and n > 2").select("bucket", "low", "high")
     mixed = staged(mixed, "mixed")
     if mixed.take(1):
+        gathered = staged(placed.join(mixed, "bucket").groupBy("low", "high", "line").agg(F.min("component").alias("component")), "gathered")
+        blocks = staged(gathered.groupBy("low", "high").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
         block = F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int")
         meet = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(
             F.least(j, F.col("block")).alias("i"), F.greatest(j, F.col("block")).alias("j"), (F.col("block") > j).alias("second"))))
-        open_ = staged(placed, "placed").join(mixed, ["band", "bucket"]).withColumn("block", block).join(texts, "line") \
-            .withColumn("meet", meet).select("band", "bucket", "line", "component", "words", "meet.*")
-        more = staged(open_.groupBy("band", "bucket", "i", "j").applyInPandas(lambda rows: _across(rows), "a long, b long"), "more-links")
+        open_ = gathered.join(blocks, ["low", "high"]).withColumn("block", block).join(texts, "line") \
+            .withColumn("meet", meet).select("low", "high", "line", "component", "words", "meet.*")
+        more = staged(open_.groupBy("low", "high", "i", "j").applyInPandas(lambda rows: _across(rows), "a long, b long"), "more-links")
         if more.take(1):
             sets = staged(connected_components(links.union(more), "line-sets"), "line-components")
     return sets.select(F.col("node").alias("line"), "component")
