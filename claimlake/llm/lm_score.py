@@ -43,6 +43,8 @@ WIDTH = 24              # of the vectors
 NOISE = 64              # noise samples a minibatch shares
 MINIBATCH = 4_096
 RATE = 0.1
+CONTEXTS = 2_048        # contexts normalised at a time
+LIMIT = 200_000         # words a worker keeps facts of
 END = b""               # the end token; words are never empty
 
 
@@ -82,11 +84,71 @@ class Model:
     def predicted(self, far: np.ndarray, near: np.ndarray) -> np.ndarray:
         return self.r[far] * self.c[0] + self.r[near] * self.c[1]
 
-    def log10_normalised(self, far: np.ndarray, near: np.ndarray) -> np.ndarray:
-        """log10 probability of every class after these contexts."""
-        scores = self.predicted(far, near) @ self.w.T + self.b
-        top = scores.max(1, keepdims=True)
-        return (scores - top - np.log(np.exp(scores - top).sum(1, keepdims=True))) / math.log(10)
+    def log10_of(self, far: np.ndarray, near: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """log10 probability of each target after its context, normalised over all classes.
+
+        The sum over the classes is taken once per distinct context, ``CONTEXTS`` at a time."""
+        context, place = np.unique(far * CLASSES + near, return_inverse=True)
+        hat = self.predicted(context // CLASSES, context % CLASSES)
+        whole = np.empty(len(context), np.float32)
+        for at in range(0, len(context), CONTEXTS):
+            scores = hat[at:at + CONTEXTS] @ self.w.T
+            scores += self.b
+            top = scores.max(1)
+            np.exp(np.subtract(scores, top[:, None], out=scores), out=scores)
+            whole[at:at + CONTEXTS] = np.log(scores.sum(1)) + top
+        out = np.empty(len(target))
+        for at in range(0, len(target), 1 << 16):
+            part, chosen = place[at:at + (1 << 16)], target[at:at + (1 << 16)]
+            out[at:at + (1 << 16)] = np.einsum("ij,ij->i", hat[part], self.w[chosen]) + self.b[chosen] - whole[part]
+        return out / math.log(10)
+
+
+class ClassOf(dict):
+    """The class of each word, computed once while ``LIMIT`` words are held."""
+
+    def __init__(self, own: dict[bytes, int]):
+        super().__init__()
+        self.own = own
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > LIMIT:
+            self.clear()
+        found = self.own.get(word)
+        found = self[word] = shared_class(word) if found is None else found
+        return found
+
+
+class WordFacts(dict):
+    """Numbers for words, and by number: class, log10 base share, log10 share within the class, known (in ``counts``)."""
+
+    def __init__(self, counts: dict[bytes, int], own: dict[bytes, int], base_whole: float, class_whole: np.ndarray):
+        super().__init__()
+        self.counts, self.class_of, self.base_whole, self.class_whole = counts, ClassOf(own), base_whole, class_whole
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.words: list[bytes] = []
+        self.of, self.base, self.inner, self.known = (np.zeros(2 * LIMIT, t) for t in (np.int32, float, float, bool))
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        if n == len(self.of):  # a batch with very many words
+            self.of, self.base, self.inner, self.known = (np.concatenate([x, np.zeros_like(x)]) for x in (self.of, self.base, self.inner, self.known))
+        self.words.append(word)
+        self.of[n] = k = self.class_of[word]
+        c = self.counts.get(word)
+        if c is not None:
+            self.known[n], self.base[n] = True, math.log10((c + 0.5) / self.base_whole)
+            if k >= TOP:
+                self.inner[n] = math.log10((c + 0.5) / self.class_whole[k])
+        return n
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > LIMIT:
+            self.forget()
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
 class Trainer:
@@ -191,12 +253,11 @@ def _averaged(texts: DataFrame, own: dict[bytes, int], frequency: np.ndarray) ->
                 part = order[at:at + MINIBATCH]
                 trainer.learn(far[part], near[part], target[part])
 
-        get = own.get
+        class_of = ClassOf(own)
         for batch in batches:
             for text in batch["text"]:
                 words = tokens_of(text)
-                classes = [get(w, -1) for w in words]
-                kept.append(np.array([c if c >= 0 else shared_class(w) for c, w in zip(classes, words)], np.int64))
+                kept.append(np.fromiter(map(class_of.__getitem__, words), np.int64, len(words)))
                 tokens += len(words)
             if sum(map(len, kept)) >= 16 * MINIBATCH:
                 learn(kept)
@@ -248,51 +309,27 @@ def scored(docs: DataFrame, key: str = "doc_id", text: str = "text", held_out: C
     @F.pandas_udf("n_tokens long, known long, base double, score double, rare array<binary>, times array<int>, of array<int>")
     def local(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         counts, own, raw = parts.value
-        model = Model.loads(raw)
-        of_word: dict[bytes, int] = {}
-
-        def class_of(word: bytes) -> int:
-            found = own.get(word)
-            if found is None:
-                found = shared_class(word)
-            if len(of_word) > 500_000:
-                of_word.clear()
-            of_word[word] = found
-            return found
-
+        model, facts = Model.loads(raw), WordFacts(counts, own, base_whole, class_whole)
         for texts in batches:
-            docs, rows, seen = [], [], []
-            for raw_text in texts:
-                words = tokens_of(raw_text)
-                docs.append(np.array([of_word[w] if w in of_word else class_of(w) for w in words], np.int64))
-                seen.append(Counter(words))
-            far, near, target = _contexts(docs)
-            context, place = np.unique(far * CLASSES + near, return_inverse=True)
-            logs = np.empty(len(target))
-            order = np.argsort(place, kind="stable")
-            cuts = np.searchsorted(place[order], np.arange(0, len(context) + 4096, 4096))
-            for k, at in enumerate(range(0, len(context), 4096)):  # bounded memory: 4096 contexts at a time
-                part = context[at:at + 4096]
-                table = model.log10_normalised(part // CLASSES, part % CLASSES)
-                mine = order[cuts[k]:cuts[k + 1]]
-                logs[mine] = table[place[mine] - at, target[mine]]
-            ends = np.cumsum([len(d) for d in docs])
-            for d, tokens, end in zip(docs, seen, ends):
-                known, base, score, rare, times, of = 0, 0.0, float(logs[end - len(d):end].sum()), [], [], []
-                for word, n in tokens.items():
-                    c = counts.get(word)
-                    k = of_word[word] if word in of_word else class_of(word)
-                    if c is None:
-                        rare.append(word)
-                        times.append(n)
-                        of.append(k)
-                        continue
-                    known += n
-                    base += n * math.log10((c + 0.5) / base_whole)
-                    if k >= TOP:
-                        score += n * math.log10((c + 0.5) / class_whole[k])
-                rows.append((len(d), known, base, score, rare, times, of))
-            yield pd.DataFrame(rows, columns=["n_tokens", "known", "base", "score", "rare", "times", "of"])
+            docs = [tokens_of(t) for t in texts]
+            sizes = np.fromiter(map(len, docs), np.int64, len(docs))
+            number = facts.numbers([w for d in docs for w in d])
+            doc = np.repeat(np.arange(len(docs)), sizes)
+            target = facts.of[number].astype(np.int64)
+            logs = model.log10_of(*_contexts(np.split(target, np.cumsum(sizes)[:-1])))
+            known = facts.known[number]
+            # words without a count here: once per document
+            pair, times = np.unique(doc[~known] * len(facts.of) + number[~known], return_counts=True)
+            owner, word = pair // len(facts.of), pair % len(facts.of)
+            cuts = np.searchsorted(owner, np.arange(1, len(docs)))
+            yield pd.DataFrame({
+                "n_tokens": sizes,
+                "known": np.bincount(doc, known, len(docs)).astype(np.int64),
+                "base": np.bincount(doc, facts.base[number], len(docs)),
+                "score": np.bincount(doc, logs + facts.inner[number], len(docs)),
+                "rare": [[facts.words[i] for i in part] for part in np.split(word, cuts)],
+                "times": np.split(times.astype(np.int32), cuts),
+                "of": np.split(facts.of[word], cuts)})
 
     here = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), held_out.alias("held_out"),
                               local(F.col(text).cast("binary")).alias("m")).select("row", "key", "held_out", "m.*"), "scored")

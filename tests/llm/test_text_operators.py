@@ -67,9 +67,10 @@ def test_language_model(spark, docs, nothing):
 
 
 def test_model_is_normalised():
-    model = lm_score.Model.start(np.full(lm_score.CLASSES, 1 / lm_score.CLASSES))
-    far, near = np.array([0, 5, 400]), np.array([1, 2, 511])
-    assert np.allclose((10 ** model.log10_normalised(far, near)).sum(1), 1, atol=1e-4)
+    model, every = lm_score.Model.start(np.full(lm_score.CLASSES, 1 / lm_score.CLASSES)), np.arange(lm_score.CLASSES)
+    for far, near in ((0, 1), (5, 2), (400, 511)):
+        logs = model.log10_of(np.full(len(every), far), np.full(len(every), near), every)
+        assert np.isclose((10 ** logs).sum(), 1, atol=1e-4)
 
 
 def brute_pii(x):
