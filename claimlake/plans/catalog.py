@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import gold, ibnr, policy_history, reports, silver
 from ..schemas import EXPENSES, GOLD_CLAIM_FIELDS, PAYMENTS, payments_v2
 from ..sources import bronze_fixtures as bronze
+from ..sources import defects
 from ..sources import fixtures as fx
 from ..sources import history
 
@@ -69,6 +70,17 @@ def gold_violations(spark, root):
     return gold.violations(inputs, START, END)
 
 
+def gold_checks_fired(spark, root):
+    """Every Gold check (G1-G10, each leg) on feeds that hold its defect."""
+    return gold.violations(defects.gold_inputs(fx.tables(spark, root)), START, END)
+
+
+def ibnr_checks_fired(spark, root):
+    """Every reserve check on feeds that hold its defect."""
+    t = fx.tables(spark, root)
+    return ibnr.violations(defects.exposure(t), defects.claims(t), BF_START, BF_END)
+
+
 def report_portfolio(spark, root):
     return portfolio_performance(spark, root)
 
@@ -343,6 +355,8 @@ QUERIES: dict[str, Query] = {
     "claims_latest": claims_latest,
     "claim_version_conflicts": claim_version_conflicts,
     "gold_violations": gold_violations,
+    "gold_checks_fired": gold_checks_fired,
+    "ibnr_checks_fired": ibnr_checks_fired,
     "report_portfolio": report_portfolio,
     "report_region": report_region,
     "report_expense_mix": report_expense_mix,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .gold_sql import END as GOLD_END
-from .gold_sql import FIXTURE_CTES, gold_ctes
+from .gold_sql import DEFECT_CTES, FIXTURE_CTES, gold_ctes
 from .gold_sql import START as GOLD_START
 
 START, END = "1995-01-01", "2001-11-15"
@@ -15,11 +15,12 @@ PATTERN_JSON = ('{"0": 0.10, "1": 0.25, "2": 0.40, "3": 0.50, "4": 0.60, "5": 0.
 LAST_AGE = 12
 
 
-def bf_ctes(claims_source: str = "fx_claims", START: str = START, END: str = END, MONTH_END_VALUATION: bool = False) -> str:
+def bf_ctes(claims_source: str = "fx_claims", START: str = START, END: str = END, MONTH_END_VALUATION: bool = False,
+            exposure_source: str = "fx_exposure") -> str:
     values = ", ".join(f"({a}, CAST({p} AS DECIMAL(18,8)))" for a, p in PATTERN)
     adj = 0 if MONTH_END_VALUATION else 1
     return f"""
-bf_exposure AS (SELECT DISTINCT policy_id, load_date, earned_premium FROM fx_exposure),
+bf_exposure AS (SELECT DISTINCT policy_id, load_date, earned_premium FROM {exposure_source}),
 bf_claims AS (
   SELECT DISTINCT claim_id, policy_id, source_version, source_updated_at, incident_date, reported_date,
          operation, incurred_amount
@@ -126,5 +127,6 @@ ORACLES: dict[str, str] = {
     "ibnr_bf": _with("SELECT * FROM bf_monthly"),
     "ibnr_portfolio": _with("SELECT * FROM bf_portfolio"),
     "ibnr_violations": _with(VIOLATIONS, claims_source="fx_claims_all"),
+    "ibnr_checks_fired": "WITH " + ",".join([FIXTURE_CTES, DEFECT_CTES, bf_ctes("d_claims", exposure_source="d_exposure")]) + VIOLATIONS,
     "ibnr_adjusted_result": ADJUSTED,
 }
