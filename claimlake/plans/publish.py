@@ -17,6 +17,7 @@ import json
 import uuid
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,6 +86,16 @@ def contract_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/_contracts/{table}"
 
 
+def unless_absent(read):
+    """What ``read()`` gives; None if its path does not exist.  Every other error is raised."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def _schema_json(df: DataFrame) -> str:
     return json.dumps([[f.name, f.dataType.simpleString()] for f in df.schema.fields])
 
@@ -94,10 +105,7 @@ def check_contract(spark: SparkSession, root: str, table: str, df: DataFrame) ->
     needs an explicit migration instead of silently changing readers."""
     path = contract_path(root, table)
     wanted = _schema_json(df)
-    try:
-        stored = spark.read.text(path).collect()
-    except Exception:  # first publication
-        stored = []
+    stored = unless_absent(lambda: spark.read.text(path).collect()) or []  # none: first publication
     if not stored:
         spark.createDataFrame([(wanted,)], "value string").coalesce(1).write.mode("overwrite").text(path)
         return
@@ -134,27 +142,10 @@ def write_manifest(spark: SparkSession, root: str, start: str, as_of: str, run_i
     return manifest
 
 
-def publish(spark: SparkSession, outputs: dict[str, DataFrame], root: str, start: str, as_of: str,
-            run_id: str | None = None) -> dict:
-    """Contracts first, then every generation, then the manifest."""
-    run_id = run_id or new_run_id()
-    for table, df in outputs.items():
-        check_contract(spark, root, table, df)
-    locations, rows = {}, {}
-    for table, df in outputs.items():
-        locations[table] = write_generation(df, root, table, as_of, run_id)
-        # Count from the written files: no recomputation of the lineage.
-        rows[table] = spark.read.parquet(locations[table]).count()
-    return write_manifest(spark, root, start, as_of, run_id, rows, locations)
-
-
 def latest_manifest(spark: SparkSession, root: str, as_of: str) -> dict:
     path = manifest_root(root, as_of)
-    try:
-        m = spark.read.schema(MANIFEST_SCHEMA).json(path)
-    except Exception as err:  # no publication for that date
-        raise ValueError(f"No Gold publication for as_of_date={as_of}") from err
-    top = m.orderBy(F.col("published_at").desc(), F.col("run_id").desc()).limit(1).collect()
+    manifests = unless_absent(lambda: spark.read.schema(MANIFEST_SCHEMA).json(path))
+    top = manifests and manifests.orderBy(F.col("published_at").desc(), F.col("run_id").desc()).limit(1).collect()
     if not top:
         raise ValueError(f"No Gold publication for as_of_date={as_of}")
     return top[0].asDict(recursive=True)

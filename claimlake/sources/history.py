@@ -8,10 +8,11 @@ file -- an empty day is data (zero rows), a missing day is an error.
 from __future__ import annotations
 
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import window
+from ..functions.calendar import month_number, window
 
 
 def date_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
@@ -21,15 +22,27 @@ def date_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
         F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("INTERVAL 1 DAY"))).alias("load_date"))
 
 
-def available_dates(spark: SparkSession, root: str) -> DataFrame:
-    """load_date of every partition directory holding a Parquet file.
+def window_folders(root: str, start: str, end: str) -> str:
+    """A pattern for the partition folders of the months that the window touches: nothing else is listed."""
+    first, last = window(start, end)
+    months = range(month_number(first), month_number(last) + 1)
+    return f"{root}/load_date={{{','.join(f'{m // 12:04d}-{m % 12 + 1:02d}' for m in months)}}}-*"
+
+
+def available_dates(spark: SparkSession, root: str, start: str, end: str) -> DataFrame:
+    """load_date of every partition folder around the window that holds a Parquet file.
 
     Listing runs through Spark's file index (parallel for many folders);
     only the path column is read, never file contents."""
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", "true").load(root).select("path")
-    )
+    try:
+        files = (
+            spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+            .option("recursiveFileLookup", "true").load(window_folders(root, start, end)).select("path")
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "load_date date")
     day = F.regexp_extract("path", r"/load_date=([0-9]{4}-[0-9]{2}-[0-9]{2})/", 1)
     return files.select(day.alias("d")).filter(F.col("d") != "").select(
         F.col("d").cast("date").alias("load_date")).distinct()
@@ -44,7 +57,7 @@ def days_without_rows(spark: SparkSession, df: DataFrame, date_col: str, start:
 
 
 def missing_dates(spark: SparkSession, root: str, start: str, end: str) -> DataFrame:
-    return date_spine(spark, start, end).join(available_dates(spark, root), "load_date", "left_anti")
+    return date_spine(spark, start, end).join(available_dates(spark, root, start, end), "load_date", "left_anti")
 
 
 def require_complete(spark: SparkSession, root: str, dataset: str, start: str, end: str) -> None:
@@ -62,5 +75,5 @@ def silver_history(spark: SparkSession, silver_root: str, dataset: str, start: s
     if check:
         require_complete(spark, root, dataset, start, end)
     reader = spark.read.option("mergeSchema", "true") if merge_schema else spark.read
-    df = reader.parquet(root)
+    df = reader.option("basePath", root).parquet(window_folders(root, start, end))
     return df.filter(F.col("load_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
