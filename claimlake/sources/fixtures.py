@@ -261,20 +261,20 @@ def _lookup(key: Column, pairs: list[tuple[str, str]]) -> Column:
 
 @_derived
 def expenses(t: Tables) -> DataFrame:
-    """Expenses from events; a CLAIM expense attaches to the policy's lowest
-    claim id and is dropped when the policy has no claim."""
+    """Expenses from events, one per event.  A CLAIM expense attaches to the policy's lowest
+    claim id, and to the policy alone when that has no claim; events of an unknown type, and
+    direct costs of an unknown policy, go to the portfolio."""
     ev = t.events.select("event_id", "ts", "user_id", "event_type", "value")
     pol = policies(t).select("c_custkey", "policy_id", "region")
     first_claim = latest_claims(t).groupBy("policy_id").agg(F.min("claim_id").alias("first_claim_id"))
     category = _lookup(F.col("event_type"), [(e, c) for e, c, _ in EVENT_EXPENSES])
-    scope = _lookup(F.col("event_type"), [(e, s) for e, _, s in EVENT_EXPENSES])
+    scope = F.coalesce(_lookup(F.col("event_type"), [(e, s) for e, _, s in EVENT_EXPENSES]), F.lit("PORTFOLIO"))
     joined = (
-        ev.join(pol, ev.user_id == pol.c_custkey)
+        ev.join(pol, ev.user_id == pol.c_custkey, "left")
         .join(first_claim, "policy_id", "left")
-        .withColumn("expense_category", category)
-        .withColumn("expense_scope", scope)
-        .filter(F.col("expense_scope").isNotNull())
-        .filter((F.col("expense_scope") != "CLAIM") | F.col("first_claim_id").isNotNull())
+        .withColumn("expense_category", F.coalesce(category, F.lit("UNCLASSIFIED")))
+        .withColumn("expense_scope", F.when(F.col("policy_id").isNull() & (scope != "CORPORATE"), "PORTFOLIO")
+                    .when((scope == "CLAIM") & F.col("first_claim_id").isNull(), "POLICY").otherwise(scope))
     )
     stamp = F.col("ts").cast("timestamp")
     return joined.select(
