@@ -309,10 +309,12 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
     row = free_name(docs, "line_row")
     rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "line-documents")
     _, gone = removed_lines(rows.select(F.col(row).alias("row"), key, text), key, text)
-    joined = rows.join(gone, rows[row] == gone["row"], "left")
+    places = free_name(rows, "places")
+    gone = gone.select(F.col("row").alias(row), F.col("places").alias(places))
+    joined = rows.join(gone, row, "left")
     lines = F.split(F.col(text), "\n", -1)
-    left = F.filter(F.transform(lines, lambda line, i: F.when(~F.array_contains("places", i), line)), lambda line: line.isNotNull())
-    some = F.col("places").isNotNull()
+    left = F.filter(F.transform(lines, lambda line, i: F.when(~F.array_contains(places, i), line)), lambda line: line.isNotNull())
+    some = F.col(places).isNotNull()
     joined = joined.withColumn(text, F.when(some, F.array_join(left, "\n")).otherwise(F.col(text)))
     if length in docs.columns:
         joined = joined.withColumn(length, F.when(some, F.length(F.col(text))).otherwise(F.col(length)).cast(docs.schema[length].dataType))

@@ -130,15 +130,16 @@ def redacted(docs: DataFrame, key: str = "doc_id", owner: str = "source", text:
         .withColumn("island", F.sum("new").over(by_start)) \
         .groupBy("row", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     cuts = staged(islands.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts")), "cuts")
-    joined = hits.join(cuts, hits[row] == cuts["row"], "left")
-    at = lambda i: F.element_at("cuts", i)
-    pieces = F.transform(F.sequence(F.lit(0), F.size("cuts")), lambda i: F.col(text).substr(
+    name = free_name(hits, "cuts")
+    joined = hits.join(cuts.select(F.col("row").alias(row), F.col("cuts").alias(name)), row, "left")
+    at = lambda i: F.element_at(name, i)
+    pieces = F.transform(F.sequence(F.lit(0), F.size(name)), lambda i: F.col(text).substr(
         F.when(i == 0, F.lit(1)).otherwise(at(F.greatest(i, F.lit(1)))["end"].cast("int") + 1),
-        F.when(i == F.size("cuts"), F.length(F.col(text))).otherwise(at(F.least(i + 1, F.size("cuts")))["start"].cast("int"))
+        F.when(i == F.size(name), F.length(F.col(text))).otherwise(at(F.least(i + 1, F.size(name)))["start"].cast("int"))
         - F.when(i == 0, F.lit(0)).otherwise(at(F.greatest(i, F.lit(1)))["end"].cast("int"))))
-    new = F.when(F.col("cuts").isNull(), F.col(text)).otherwise(F.array_join(pieces, MARK))
+    new = F.when(F.col(name).isNull(), F.col(text)).otherwise(F.array_join(pieces, MARK))
     changed = joined.withColumn(text, new)
     if length in docs.columns:
-        changed = changed.withColumn(length, F.when(F.col("cuts").isNull(), F.col(length)).otherwise(
+        changed = changed.withColumn(length, F.when(F.col(name).isNull(), F.col(length)).otherwise(
             F.length(F.col(text))).cast(docs.schema[length].dataType))
     return docs.where(~_matches(F.col(text))).unionByName(changed.select(*docs.columns))

@@ -219,7 +219,8 @@ def keep_first(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     number = free_name(docs, "row_number")
     rows = staged(docs.withColumn(number, F.monotonically_increasing_id()), "documents")
     # the smallest (key, row) of a component; rows without a key come last
-    found = near_duplicates(rows.withColumn(number + "_", F.struct(F.col(key).isNull().alias("a"), F.col(key).alias("b"), F.col(number).alias("c"))),
-                            key=number + "_", **options)
+    whole = free_name(rows, "row_key")
+    found = near_duplicates(rows.withColumn(whole, F.struct(F.col(key).isNull().alias("a"), F.col(key).alias("b"), F.col(number).alias("c"))),
+                            key=whole, **options)
     kept = staged(found.where(F.col("key") == F.col("component")).select(F.col("key")["c"].alias("kept_row")), "kept")
     return rows.join(kept, rows[number] == kept["kept_row"], "left_semi").select(*docs.columns)

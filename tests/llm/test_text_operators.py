@@ -142,6 +142,8 @@ def test_secrets(spark, docs, nothing):
                  for r in found.collect())
     assert got == sorted((repr(i), brute_secrets(t or "")) for i, t, *_ in frames.rows())
     assert secret_scan.scanned(nothing).count() == 0
+    kept = secret_scan.redacted(docs)
+    assert kept.columns == docs.columns and kept.count() == len(frames.rows())
 
 
 def test_copied_examples_stay_and_live_values_go(spark):
