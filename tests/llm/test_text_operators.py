@@ -49,6 +49,26 @@ def test_quality(spark, docs, nothing):
     assert quality.fertility(nothing, path).count() == 0
 
 
+PROSE = {
+    "en": "The committee met on Thursday to discuss the new budget for the public library. Several members asked whether the "
+          "opening hours could be extended during the summer, when many children visit the reading room with their parents.",
+    "fr": "Le comité s'est réuni jeudi pour discuter du nouveau budget de la bibliothèque publique. Plusieurs membres ont demandé "
+          "si les heures d'ouverture pouvaient être prolongées pendant l'été, lorsque de nombreux enfants visitent la salle.",
+    "de": "Der Ausschuss traf sich am Donnerstag, um über den neuen Haushalt der öffentlichen Bücherei zu sprechen. Mehrere "
+          "Mitglieder fragten, ob die Öffnungszeiten im Sommer verlängert werden könnten, wenn viele Kinder den Lesesaal besuchen.",
+    "es": "El comité se reunió el jueves para hablar del nuevo presupuesto de la biblioteca pública. Varios miembros preguntaron "
+          "si el horario podría ampliarse durante el verano, cuando muchos niños visitan la sala de lectura con sus padres.",
+}
+
+
+def test_plain_prose_is_kept(spark):
+    rng = np.random.default_rng(3)
+    noise = " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 8)) for _ in range(60))
+    data = [(i, text, lang, "src", len(text)) for i, (lang, text) in enumerate(PROSE.items())] + [(9, noise, "en", "src", len(noise))]
+    kept = quality.keep_good(frames.frame(spark, data), vocabulary("piece_bpe_32k.model"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3]
+
+
 def test_language_model(spark, docs, nothing):
     rows = lm_score.scored(docs).collect()
     data = frames.rows()
