@@ -2,8 +2,8 @@
 
 Patterns find candidate secrets in whole texts.  Each candidate's value is hashed
 and the hashes are counted over the corpus by distinct owners and repositories: a
-value that many owners hold was copied from an example, a varied value that few
-hold looks live.  The spans of the fixed kinds are always reported; a candidate of
+value that many owners hold was copied from an example, a value that few hold looks
+live unless it is a run or filler of few distinct characters.  The spans of the fixed kinds are always reported; a candidate of
 the further kinds (keys with a vendor's prefix, private keys, signed tokens) is
 added when its value is not widely copied.
 
@@ -39,7 +39,9 @@ MORE_KINDS = [
     ("signed", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 32, 32),
 ]
 MOST_OWNERS = 3         # a value that more owners hold is a copied example
-LEAST_VARIETY = 8       # distinct characters of a live-looking value
+# Distinct characters of a live-looking value: LEAST_VARIETY, one more for every VARIETY_STEP characters over the first
+# VARIETY_STEP, MOST_VARIETY at most.  Rejects runs and fillers; of random values, even of digits alone, under 1 in 5,000.
+LEAST_VARIETY, VARIETY_STEP, MOST_VARIETY = 3, 8, 8
 MARK = "<SECRET>"
 
 
@@ -84,10 +86,16 @@ def ownership(candidates: DataFrame) -> DataFrame:
     return per_owner.groupBy("value_hash").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories"))
 
 
+def varied(value: Column) -> Column:
+    """Whether a value has the distinct characters that its length asks for."""
+    least = F.least(F.floor(F.length(value) / VARIETY_STEP) + (LEAST_VARIETY - 1), F.lit(MOST_VARIETY))
+    return F.size(F.array_distinct(F.split(value, ""))) >= least
+
+
 def judged(rows: DataFrame) -> DataFrame:
     """The candidates of ``rows`` (row, owner, repository, text) with n_owners, n_repositories and live."""
     found = staged(_candidates(rows).withColumn("value_hash", F.sha2(F.col("value"), 256))
-                   .withColumn("varied", F.size(F.array_distinct(F.split("value", ""))) >= LEAST_VARIETY)
+                   .withColumn("varied", varied(F.col("value")))
                    .withColumn("value_length", F.length("value")).drop("value"), "candidates")
     counts = staged(ownership(found), "ownership")
     return found.join(counts, "value_hash").withColumn("live", (F.col("n_owners") <= MOST_OWNERS) & F.col("varied"))

@@ -1,8 +1,11 @@
 """The stages of the pipeline, each on its own input, and the whole."""
 
+import collections
+import re
+
 import __spark_entry__ as E
 import corpus_pipeline
-from claimlake.llm import line_dedup
+from claimlake.llm import line_dedup, secret_scan
 from claimlake.llm.common import staged
 from tests.llm import frames
 from tests.llm.test_corpus_operators import brute_fingerprint
@@ -42,6 +45,28 @@ def test_stages(spark):
     assert {r["doc_id"] for r in docs.select("doc_id").collect()} == {r["doc_id"] for r in clean}
 
 
+def test_no_owner_specific_value_is_left(spark):
+    """Every value that few sources hold is gone from the stage's output, but for runs of few characters."""
+    stage = dict(corpus_pipeline.STAGES)["secret_scan"]
+    held = [(10**6 + i, f"see password: {v} here", "en", f"src{i % 3}", 9) for i, v in enumerate(
+        ["hunter22", "20241001", "4f4f91aa", "aB3aB3xx", "0a1b2c3d4e5f", "hunter22", "hunter22"])]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = docs.union(spark.createDataFrame(held, frames.SCHEMA).select(*docs.columns))
+    kinds = secret_scan.BASE_KINDS + secret_scan.MORE_KINDS
+    values = lambda text: {
+        v for kind, pattern, match_length, value_length in kinds for m in re.finditer(pattern, text or "")
+        if len(m[0]) >= match_length and len(v := m[1] if kind == "assign" else m[0]) >= value_length}
+    owners = collections.defaultdict(set)
+    for r in docs.collect():
+        for v in values(r["text"]):
+            owners[v].add(r["source"])
+    few = {v for v, held in owners.items() if len(held) <= secret_scan.MOST_OWNERS and len(set(v)) > 7}
+    few |= {v for v, held in owners.items() if len(held) <= secret_scan.MOST_OWNERS and len(v) < 16 and len(set(v)) > 2}
+    assert len(few) >= 5
+    for r in stage(spark, docs, SF).collect():
+        assert few.isdisjoint(values(r["text"]))
+
+
 def test_registered():
     names = set(E.queries())
     assert {"pipeline"} <= names

@@ -175,6 +175,23 @@ def test_copied_examples_stay_and_live_values_go(spark):
     assert rows[9]["n_chars"] == len(rows[9]["text"])
 
 
+def test_short_live_values_go_and_runs_stay(spark):
+    rng = np.random.default_rng(4)
+    alphabets = ["0123456789", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"]
+    live = {"".join(rng.choice(list(a), n)) for a in alphabets for n in (8, 9, 10, 12, 16, 40) for _ in range(20)}
+    live |= {"hunter22", "20241001", "a1b2a1b2"}
+    runs = ["aaaaaaaa", "00000000", "xxxx-xxxx", "0000000000000000", "1212121212", "ab" * 20]
+    data = [(i, f"password={v} end", "en", f"src{i % 9}", 9) for i, v in enumerate([*sorted(live), *runs])]
+    data += [(1000 + i, "token=k3k3y4y4 end", "en", f"src{i}", 9) for i in range(secret_scan.MOST_OWNERS)]
+    data += [(2000 + i, "token=c0c0p1p1 end", "en", f"src{i}", 9) for i in range(secret_scan.MOST_OWNERS + 1)]
+    texts = {r["doc_id"]: r["text"] for r in secret_scan.redacted(frames.frame(spark, data)).collect()}
+    for i, before, *_ in data:
+        stays = i >= 2000 or before.split("=")[1].split()[0] in runs
+        assert texts[i] == (before if stays else re.sub("=[^ ]+", f"={secret_scan.MARK}", before))
+    spans = [s for r in secret_scan.scanned(frames.frame(spark, data)).collect() for s in r["spans"] if s["kind"] == "assign"]
+    assert sum(s["live"] for s in spans) == len(live) + secret_scan.MOST_OWNERS
+
+
 def test_digest_columns(spark):
     """The thin query gives hashes of the spans in their documented form."""
     sf = "/root/testdata/sf0.001"
