@@ -1,7 +1,7 @@
 """Fuzzy line deduplication over the corpus.
 
-Lines (split at \\n, lower-cased A-Z, white space collapsed) of at least ``MIN_CHARS``
-code points take part.  Their character shingles give a one-permutation MinHash
+Lines (split at \\n, lower-cased A-Z, white space collapsed) with a word take part.  Their
+character shingles (a line shorter than a shingle is one as a whole) give a one-permutation MinHash
 signature whose bands bring alike lines into the same bucket; candidates are verified
 by the exact Jaccard similarity of their shingle sets, and union-find over the verified
 pairs makes components.  One line of a component stays, the first by document id, row
@@ -41,6 +41,7 @@ BANDS, ROWS = 10, 4     # a pair at the threshold shares a bucket with probabili
 BLOCK = 256             # lines of a mixed bucket that a task holds, at most two blocks
 BITMAP_BITS = 1 << 24
 CHUNK = 1_000_000       # characters hashed at a time
+DONORS = np.stack([np.random.default_rng(i).permutation(BANDS * ROWS) for i in range(BANDS * ROWS)])  # each bin's order
 
 
 def normalised(line: bytes) -> bytes:
@@ -48,7 +49,10 @@ def normalised(line: bytes) -> bytes:
 
 
 def _signatures(lines: list[str]) -> np.ndarray:
-    """One-permutation MinHash: BANDS * ROWS bins; an empty bin borrows from the next full one to its right."""
+    """One-permutation MinHash: BANDS * ROWS bins; an empty bin borrows from the first full one in an order of its own.
+
+    Neighbours borrow from different bins, so that short lines do not meet for one common shingle.
+    No line is shorter than a shingle."""
     bins = BANDS * ROWS
     sizes = np.fromiter(map(len, lines), np.int64, len(lines))
     codes = np.frombuffer("".join(lines).encode("utf-32-le"), "<u4").astype(np.uint64)
@@ -71,12 +75,14 @@ def _signatures(lines: list[str]) -> np.ndarray:
     out = np.full(len(lines) * bins, 1 << 32, np.int64)
     np.minimum.at(out, slot, low)
     out = out.reshape(len(lines), bins)
-    empty = out == 1 << 32
-    if empty.any():
-        place = np.where(empty, 10 * bins, np.arange(bins))
-        after = np.minimum.accumulate(np.concatenate([place, place + bins], 1)[:, ::-1], 1)[:, ::-1][:, :bins]
-        step = np.minimum(after - np.arange(bins), bins)
-        out = np.take_along_axis(out, np.minimum(after, 2 * bins - 1) % bins, 1) + step * 0x9E3779B1
+    full = out != 1 << 32
+    row, bin_ = np.nonzero(~full)
+    for donor in DONORS.T:
+        if not len(row):
+            break
+        found = full[row, donor[bin_]]
+        out[row[found], bin_[found]] = out[row[found], donor[bin_[found]]]
+        row, bin_ = row[~found], bin_[~found]
     return out
 
 
@@ -84,7 +90,8 @@ def _bands(lines: list[str]) -> np.ndarray:
     """A 32-bit bucket per line and band; ``CHUNK`` characters at a time."""
     if not lines:
         return np.zeros((0, BANDS), np.int32)
-    part = np.cumsum([len(line) for line in lines]) // CHUNK
+    lines = [line.ljust(SHINGLE, "\0") for line in lines]
+    part = np.cumsum([max(len(line), BANDS * ROWS) for line in lines]) // CHUNK
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(lines)]
     return np.concatenate([_bands_of(lines[a:b]) for a, b in zip(cuts, cuts[1:])])
 
@@ -100,10 +107,8 @@ def _bands_of(lines: list[str]) -> np.ndarray:
 
 def _taking_part(text: bytes | None) -> Iterator[tuple[int, bytes]]:
     for place, line in enumerate(text.split(b"\n") if text is not None else ()):
-        if len(line) >= MIN_CHARS:
-            clean = normalised(line)
-            if len(clean) >= MIN_CHARS and (clean.isascii() or len(clean.decode("utf-8", "replace")) >= MIN_CHARS):
-                yield place, clean
+        if clean := normalised(line):
+            yield place, clean
 
 
 def _line_hash(line: bytes) -> int:
@@ -190,7 +195,7 @@ def _bucket_keys(buckets: np.ndarray) -> np.ndarray:
 
 def _shingles(line: bytes) -> set[str]:
     s = line.decode("utf-8", "replace")
-    return {s[i:i + SHINGLE] for i in range(len(s) - SHINGLE + 1)}
+    return {s[i:i + SHINGLE] for i in range(max(len(s) - SHINGLE, 0) + 1)}
 
 
 def alike(a: set[str], b: set[str]) -> bool:

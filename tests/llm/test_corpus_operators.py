@@ -216,3 +216,23 @@ def test_alike_lines_share_buckets():
         a, b = line_dedup._bands([line, " ".join(other)])
         shared += bool((a == b).any())
     assert shared >= 198
+
+
+def test_short_lines_take_part(spark):
+    """Exact copies at any length, near copies from a shingle on; lines of white space never."""
+    texts = ["ab\nOnly here\n \n" + "x" * 40, "AB\nhome | about | help\n \n\nab", "home | about | help!\n  ab\nabc\nmenü"]
+    docs = frames.frame(spark, [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)])
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.line_report(docs).collect()}
+    assert got == {0: [], 1: [0, 4], 2: [0, 1]}
+
+
+def test_short_alike_lines_share_buckets():
+    rng = random.Random(8)
+    lines = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(12, 30))) for _ in range(400)]
+    pairs = [(a, a + "!") for a in lines if line_dedup.alike(line_dedup._shingles(a.encode()), line_dedup._shingles((a + "!").encode()))]
+    assert len(pairs) > 300
+    shared = sum(bool((a == b).any()) for a, b in (line_dedup._bands(list(p)) for p in pairs))
+    assert shared >= 0.985 * len(pairs)
+    # lines with one shingle in common rarely meet
+    some = line_dedup._bands([f"{i:07x} headline {i * 7919 % 99991:05d}"[:22] for i in range(500)])
+    assert (some[:250] == some[250:]).any(1).mean() < 0.1
