@@ -16,7 +16,7 @@ share a bucket: a bitmap of their hashes, of fixed size, sorts the others out in
 scan (a crowded bitmap costs time, never a line).
 
 Defined cases: null texts have no lines and stay null; empty texts stay; a document that
-loses lines and keeps fewer than ``MIN_CHARS`` characters is dropped by ``deduplicated``;
+loses lines and keeps none with a word is dropped by ``deduplicated``;
 repeated rows are copies like any other; null ids come after all others; an empty table
 gives an empty result; other columns pass untouched.
 """
@@ -36,7 +36,6 @@ from claimlake.llm.common import connected_components, free_name, staged, tune
 
 SHINGLE = 8             # characters
 SIMILARITY = 0.8
-MIN_CHARS = 24
 BANDS, ROWS = 10, 4     # a pair at the threshold shares a bucket with probability 0.995
 BLOCK = 256             # lines of a mixed bucket that a task holds, at most two blocks
 BITMAP_BITS = 1 << 24
@@ -310,7 +309,7 @@ def line_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str | None = "n_chars") -> DataFrame:
-    """``docs`` without the removed lines; documents left without a line are dropped.  ``length`` follows the text."""
+    """``docs`` without the removed lines; documents left without a line with a word are dropped.  ``length`` follows the text."""
     row = free_name(docs, "line_row")
     rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "line-documents")
     _, gone = removed_lines(rows.select(F.col(row).alias("row"), key, text), key, text)
@@ -323,4 +322,4 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
     joined = joined.withColumn(text, F.when(some, F.array_join(left, "\n")).otherwise(F.col(text)))
     if length in docs.columns:
         joined = joined.withColumn(length, F.when(some, F.length(F.col(text))).otherwise(F.col(length)).cast(docs.schema[length].dataType))
-    return joined.where(~some | (F.length(F.trim(F.col(text))) >= MIN_CHARS)).select(*docs.columns)
+    return joined.where(~some | F.col(text).rlike(r"[^\x20\x09-\x0D]")).select(*docs.columns)

@@ -4,7 +4,7 @@ Each stage takes all that the stage before kept, written as Parquet and read aga
 all but the last return the columns of ``documents``.
 
 * quality: documents that the rules reject go; null and empty texts are rejected.
-* lines: of alike lines in the corpus one stays; documents left with next to nothing go.
+* lines: of alike lines in the corpus one stays; documents left without a word go.
 * near_duplicates: one document of each SimHash component stays.
 * secrets: values of live-looking secrets are replaced; widely copied examples stay.
 * packing: token pieces with their places in sequences of 2048.

@@ -236,3 +236,11 @@ def test_short_alike_lines_share_buckets():
     # lines with one shingle in common rarely meet
     some = line_dedup._bands([f"{i:07x} headline {i * 7919 % 99991:05d}"[:22] for i in range(500)])
     assert (some[:250] == some[250:]).any(1).mean() < 0.1
+
+
+def test_short_own_text_is_kept(spark):
+    line = "a line of some length that many documents hold"
+    data = [(0, line), (1, f"{line}\nmine"), (2, f"{line}\n \t"), (3, line), (4, f" \n{line} and its own end of many more words")]
+    docs = frames.frame(spark, [(i, t, "en", "s", len(t)) for i, t in data])
+    left = {r["doc_id"]: (r["text"], r["n_chars"]) for r in line_dedup.deduplicated(docs).collect()}
+    assert left == {0: (line, len(line)), 1: ("mine", 4), 4: (data[4][1], len(data[4][1]))}
