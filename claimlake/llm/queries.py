@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import bpe, line_dedup, lm_score, pack, pii, quality, secret_scan, shard, simhash, topk
+from claimlake.llm import (bpe, conversation_repair, hard_negatives, line_dedup, lm_score, pack, pii, quality, secret_scan, shard,
+                           simhash, token_files, topk)
 from claimlake.llm.common import table, vocabulary
 
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +89,24 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_removed", F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repaired(turns, present=F.col("present")).drop("n")
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    read = token_files.round_trip(docs, vocabulary("word_bpe_49k.json"), end_id=2)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -96,4 +115,6 @@ QUERIES = {"op1_lm_score": op1_lm_score, "op2_simhash_near_dedup": op2_simhash_n
            "op3_personal_data": op3_personal_data,
            "op4_sharding": op4_sharding, "op5_best_fit_packing": op5_best_fit_packing,
            "op6_byte_bpe": op6_byte_bpe, "op7_secret_scan": op7_secret_scan, "op8_exact_top_k": op8_exact_top_k,
-           "op9_quality_rules": op9_quality_rules, "op10_line_dedup": op10_line_dedup, "pipeline": pipeline}
+           "op9_quality_rules": op9_quality_rules, "op10_line_dedup": op10_line_dedup,
+           "op11_conversation_repair": op11_conversation_repair, "op12_token_files": op12_token_files,
+           "op13_hard_negatives": op13_hard_negatives, "pipeline": pipeline}
