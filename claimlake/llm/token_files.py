@@ -34,76 +34,122 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimlake.llm.common import WordTable, shared_folder, staged, tune, words_of, worker_memory
+from claimlake.llm.common import WordTable, shared_folder, staged, tune, worker_memory
 from claimlake.llm.pack import WordEncoder
 
 FILE_IDS = 16_000_000   # ids of a file, about
 
-#: Byte lengths of the four ranks of each control byte.
-LENGTHS = np.array([[(byte >> 2 * i & 3) + 1 for i in range(4)] for byte in range(256)], np.int64)
-
-
-def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """(control, data) of one document's ranks."""
-    ranks = ranks.astype("<u4")
-    size = 1 + (ranks >= 1 << 8).astype(np.int64) + (ranks >= 1 << 16) + (ranks >= 1 << 24)
-    codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    codes[:len(ranks)] = size - 1
-    codes = codes.reshape(-1, 4)
-    control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
-    used = np.arange(4) < size[:, None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[used].tobytes()
+GATHER = 8 << 20        # bytes of text that are split and looked up together
+WORDS_HELD = 500_000    # words whose ids a worker remembers; it forgets all when it meets more
 
-
-def decode_ranks(control: list[bytes], data: list[bytes], counts: np.ndarray) -> np.ndarray:
-    """The ranks of many documents, one after the other; ``counts`` are their numbers of ranks."""
-    bits = np.frombuffer(b"".join(control), np.uint8)
+#: Byte lengths of the four ranks of each control byte.
+LENGTHS = np.array([[(byte >> 2 * i & 3) + 1 for i in range(4)] for byte in range(256)], np.uint8)
+
+
+def encode_ranks(ranks: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(control, control_ends, data, data_ends) of the ranks of many documents, ``counts`` of each."""
+    ranks, ends = ranks.astype("<u4"), np.cumsum(counts)
+    code = (ranks >= 1 << 8).astype(np.uint8)
+    code += ranks >= 1 << 16
+    code += ranks >= 1 << 24
+    groups = -(-counts // 4)
+    slots = np.zeros(4 * int(groups.sum()), np.uint8)
+    slots[np.arange(len(ranks)) + np.repeat(4 * (np.cumsum(groups) - groups) - (ends - counts), counts)] = code
+    slots = slots.reshape(-1, 4)
+    control = slots[:, 0] | slots[:, 1] << 2 | slots[:, 2] << 4 | slots[:, 3] << 6
+    used = np.arange(int(code.max(initial=0)) + 1, dtype=np.uint8) <= code[:, None]
+    data = ranks.view(np.uint8).reshape(-1, 4)[:, :used.shape[1]][used]
+    sizes = np.concatenate([[0], np.cumsum(code, dtype=np.int64)])
+    return control, np.cumsum(groups), data, sizes[ends] + ends
+
+
+def decode_ranks(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The ranks of many documents, one after the other, from their joined streams."""
     slots = -(-counts // 4) * 4
     keep = np.ones(int(slots.sum()), bool)
     ends = np.cumsum(slots)
     for pad in range(1, 4):  # the last control byte of a document may have empty slots
         keep[ends[(slots - counts) >= pad] - pad] = False
-    size = LENGTHS[bits].reshape(-1)[keep]
-    stream = np.frombuffer(b"".join(data) + b"\0\0\0", np.uint8)
-    at = np.cumsum(size) - size
-    ranks = stream[at].astype(np.uint32)
-    for byte in range(1, 4):
+    size = LENGTHS[control].reshape(-1)[keep]
+    at = np.cumsum(size, dtype=np.int64) - size
+    ranks = data[at].astype(np.uint32)
+    for byte in range(1, int(size.max(initial=1))):
         longer = np.flatnonzero(size > byte)
-        ranks[longer] |= stream[at[longer] + byte].astype(np.uint32) << np.uint32(8 * byte)
+        ranks[longer] |= data[at[longer] + byte].astype(np.uint32) << np.uint32(8 * byte)
     return ranks
 
 
+def _joined(column: pa.Array) -> np.ndarray:
+    """The bytes of a binary column's values, one after the other."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]] if len(column) else np.zeros(0, np.uint8)
+
+
+def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """A binary column that cuts ``data`` at ``ends`` (in bytes)."""
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``GATHER`` bytes: words that documents share are then looked up once."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= GATHER:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def token_ids(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", end_id: int = 2) -> DataFrame:
     """key, n_tokens, ids_crc32, ids (unsigned 16- or 32-bit, by the vocabulary's size) of each document."""
     tune(docs.sparkSession)
-    narrow = "<u2" if vocabulary_size(tokenizer_path) <= 1 << 16 else "<u4"
-    out = T.StructType([T.StructField(key, T.StringType()), T.StructField("n_tokens", T.LongType()),
+    narrow = _width(tokenizer_path)
+    out = T.StructType([docs.schema[key], T.StructField("n_tokens", T.LongType()),
                         T.StructField("ids_crc32", T.LongType()), T.StructField("ids", T.BinaryType())])
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = worker_memory(f"files {tokenizer_path}", lambda: WordTable(WordEncoder(tokenizer_path)))
-        end = np.array([end_id], "<u4")
-        for batch in batches:
-            split = [words_of(t) for t in batch.iloc[:, 1]]
-            sizes = np.fromiter(map(len, split), np.int64, len(split))
-            numbers = words.look_up([w for d in split for w in d])
-            tokens = words.gather(numbers).astype("<u4")
-            word_ends = np.concatenate([[0], np.cumsum(words.count[numbers], dtype=np.int64)])
-            rows, at = [], 0
-            for name, stop in zip(batch.iloc[:, 0].tolist(), word_ends[np.cumsum(sizes)].tolist()):
-                ids = np.concatenate([tokens[at:stop], end])
-                at = stop
-                rows.append((name, len(ids), zlib.crc32(ids.tobytes()), ids.astype(narrow).tobytes()))
-            yield pd.DataFrame(rows, columns=out.names)
-
-    # The key goes through pandas as text: a null in a whole-number column would turn it into floats.
-    return docs.select(F.col(key).cast("string").alias(key), F.col(text).cast("binary").alias("text")) \
-        .mapInPandas(encode, out).withColumn(key, F.col(key).cast(docs.schema[key].dataType))
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = worker_memory(f"files {tokenizer_path}", lambda: _word_table(tokenizer_path))
+        for batch in _gathered(batches):
+            split = pc.ascii_split_whitespace(pc.fill_null(batch.column(1), ""))  # empty pieces have no ids
+            words = split.flatten().dictionary_encode()
+            numbers = table.look_up(words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist())
+            numbers = numbers[words.indices.to_numpy()]
+            word_ends = np.concatenate([[0], np.cumsum(table.count[numbers], dtype=np.int64)])
+            stops = word_ends[split.offsets.to_numpy()[1:] - split.offsets.to_numpy()[0]]
+            ends = stops + np.arange(1, len(stops) + 1)
+            ids = np.full(len(stops) + int(word_ends[-1]), end_id, "<u4")
+            inner = np.ones(len(ids), bool)
+            inner[ends - 1] = False
+            ids[inner] = table.gather(numbers)
+            starts, whole = np.concatenate([[0], ends[:-1]]), memoryview(ids).cast("B")
+            sums = [zlib.crc32(whole[4 * a:4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(ends - starts), pa.array(sums, pa.int64()),
+                 _binary(ids.astype(narrow).view(np.uint8), ends * np.dtype(narrow).itemsize)], names=out.names)
+        pa.default_memory_pool().release_unused()
+
+    return docs.select(F.col(key).alias(key), F.col(text).cast("string").alias("text")).mapInArrow(encode, out)
+
+
+def _word_table(tokenizer_path: str) -> WordTable:
+    encoder = WordEncoder(tokenizer_path)
+    encoder.LIMIT = WORDS_HELD // 4  # parts of words, each kept as a list
+    return WordTable(encoder, WORDS_HELD)
+
+
+def _width(tokenizer_path: str) -> str:
+    return "<u2" if vocabulary_size(tokenizer_path) <= 1 << 16 else "<u4"
 
 
 def vocabulary_size(tokenizer_path: str) -> int:
@@ -116,15 +162,15 @@ def id_ranks(tokens: DataFrame, size: int) -> DataFrame:
     """id, rank: ids by falling count over all documents, then by id; ids that never occur come last."""
     narrow = "<u2" if size <= 1 << 16 else "<u4"
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            total += np.bincount(np.frombuffer(b"".join(batch["ids"]), narrow), minlength=size)
+            total += np.bincount(_joined(batch.column(0)).view(narrow), minlength=size)
         at = np.flatnonzero(total)
-        yield pd.DataFrame({"id": at, "n": total[at]})
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
 
     spark = tokens.sparkSession
-    counted = tokens.select("ids").mapInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     found = np.array([(r["id"], r["n"]) for r in counted.collect()], np.int64).reshape(-1, 2)  # at most the vocabulary
     total = np.zeros(size, np.int64)
     total[found[:, 0]] = found[:, 1]
@@ -137,23 +183,24 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, key: str
     """Encode ``docs`` and write their token files to the folder ``path``."""
     tokens = staged(token_ids(docs, tokenizer_path, key, text, end_id), "tokens")
     size = max(vocabulary_size(tokenizer_path), end_id + 1)
-    narrow = "<u2" if vocabulary_size(tokenizer_path) <= 1 << 16 else "<u4"
+    narrow = _width(tokenizer_path)
     ranks = id_ranks(tokens, size)
     ranks.coalesce(1).write.parquet(f"{path}/ranks")
     order = ranks.orderBy("rank").toPandas()
     rank_of = np.zeros(size, np.uint32)
     rank_of[order["id"].to_numpy()] = order["rank"].to_numpy()
-    out = T.StructType([T.StructField(key, T.StringType()), *T.StructType.fromDDL(
+    out = T.StructType([docs.schema[key], *T.StructType.fromDDL(
         "file int, place long, start_in_file long, n_tokens long, control binary, data binary").fields])
 
-    def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file, place, start = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
-            n = batch["n_tokens"].to_numpy(np.int64)
-            streams = [encode_ranks(rank_of[np.frombuffer(ids, narrow)]) for ids in batch["ids"]]
-            yield pd.DataFrame({key: batch[key], "file": file, "place": place + np.arange(len(n)),
-                                "start_in_file": start + np.cumsum(n) - n, "n_tokens": n,
-                                "control": [c for c, _ in streams], "data": [d for _, d in streams]})
+            n = batch.column(1).to_numpy()
+            control, control_ends, data, data_ends = encode_ranks(rank_of[_joined(batch.column(2)).view(narrow)], n)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(np.full(len(n), file, np.int32)), pa.array(place + np.arange(len(n))),
+                 pa.array(start + np.cumsum(n) - n), batch.column(1), _binary(control, control_ends), _binary(data, data_ends)],
+                names=out.names)
             place, start = place + len(n), start + int(n.sum())
 
     total = tokens.agg(F.sum("n_tokens")).first()[0] or 0
@@ -161,8 +208,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, key: str
     files = max(1, math.ceil(total / file_ids), min(spark.sparkContext.defaultParallelism, math.ceil(total / 100_000)))
     order = [F.col(key).asc_nulls_first(), F.col("n_tokens"), F.col("ids_crc32")]
     frames = tokens.repartitionByRange(files, *order).sortWithinPartitions(*order) \
-        .select(F.col(key).cast("string").alias(key), "n_tokens", "ids").mapInPandas(code, out)
-    frames.withColumn(key, F.col(key).cast(docs.schema[key].dataType)).write.option("compression", "zstd").parquet(f"{path}/frames")
+        .select(key, "n_tokens", "ids").mapInArrow(code, out)
+    frames.write.option("compression", "zstd").parquet(f"{path}/frames")
     before, rows = 0, []
     for r in spark.read.parquet(f"{path}/frames").groupBy("file").agg(F.sum("n_tokens").alias("n")).orderBy("file").collect():
         rows.append((r["file"], before, r["n"]))  # one row per file
@@ -177,22 +224,19 @@ def read_token_files(spark: SparkSession, path: str, key: str = "doc_id") -> Dat
     order = spark.read.parquet(f"{path}/ranks").orderBy("rank").toPandas()  # at most the vocabulary
     id_of = order["id"].to_numpy().astype("<u4")
     frames = spark.read.parquet(f"{path}/frames")
-    out = T.StructType([T.StructField(key, T.StringType()), *T.StructType.fromDDL(
+    out = T.StructType([frames.schema[key], *T.StructType.fromDDL(
         "file int, start_in_file long, n_tokens long, ids binary").fields])
 
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = batch["n_tokens"].to_numpy(np.int64)
-            ids = id_of[decode_ranks(batch["control"].to_list(), batch["data"].to_list(), counts)]
-            ends = np.cumsum(counts)
-            yield pd.DataFrame({key: batch[key], "file": batch["file"], "start_in_file": batch["start_in_file"], "n_tokens": counts,
-                                "ids": [ids[e - n:e].tobytes() for e, n in zip(ends.tolist(), counts.tolist())]})
-
-    read = frames.select(F.col(key).cast("string").alias(key), "file", "start_in_file", "n_tokens", "control", "data") \
-        .mapInPandas(decode, out)
+            n = batch.column(3).to_numpy()
+            ids = id_of[decode_ranks(_joined(batch.column(4)), _joined(batch.column(5)), n)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], _binary(ids.view(np.uint8), 4 * np.cumsum(n))], names=out.names)
+
+    read = frames.select(key, "file", "start_in_file", "n_tokens", "control", "data").mapInArrow(decode, out)
     starts = spark.read.parquet(f"{path}/files").select("file", F.col("start").alias("file_start"))
     return read.join(starts, "file").select(
-        F.col(key).cast(frames.schema[key].dataType).alias(key), (F.col("file_start") + F.col("start_in_file")).alias("start"),
+        key, (F.col("file_start") + F.col("start_in_file")).alias("start"),
         "n_tokens", "ids")
 
 

@@ -191,10 +191,11 @@ def test_code_of_every_width():
     documents = [np.array([rng.randrange(1 << rng.choice([3, 8, 9, 16, 17, 24, 25, 32])) for _ in range(n)], np.uint32)
                  for n in [0, 1, 2, 3, 4, 5, 8, 9, 1000]]
     documents.append(np.array([0, 255, 256, 65535, 65536, 2 ** 24 - 1, 2 ** 24, 2 ** 32 - 1], np.uint32))
-    streams = [token_files.encode_ranks(d) for d in documents]
-    back = token_files.decode_ranks([c for c, _ in streams], [d for _, d in streams], np.array(list(map(len, documents))))
-    assert np.array_equal(back, np.concatenate(documents))
-    assert streams[1][1] and len(streams[-1][0]) == 2 and len(streams[-1][1]) == 1 + 1 + 2 + 2 + 3 + 3 + 4 + 4
+    counts = np.array(list(map(len, documents)))
+    control, control_ends, data, data_ends = token_files.encode_ranks(np.concatenate(documents), counts)
+    assert np.array_equal(token_files.decode_ranks(control, data, counts), np.concatenate(documents))
+    assert np.array_equal(np.diff(control_ends, prepend=0), -(-counts // 4))
+    assert data_ends[-1] == len(data) and data_ends[-1] - data_ends[-2] == 1 + 1 + 2 + 2 + 3 + 3 + 4 + 4
 
 
 def test_frequent_ids_take_one_byte(spark):
@@ -288,3 +289,12 @@ def test_hilbert_rank_walks_through_neighbours(d, bits):
     assert sorted(place.tolist()) == list(range(len(cells)))
     walk = cells[np.argsort(place)]
     assert (np.abs(np.diff(walk, axis=0)).sum(1) == 1).all()
+
+
+def test_words_end_at_the_six_spaces():
+    """The files' word splitting takes the same white space as ``bytes.split``."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    every = "a".join(map(chr, range(1, 0x3100)))
+    assert [w for w in pc.ascii_split_whitespace(pa.array([every])).to_pylist()[0] if w] == [w.decode() for w in every.encode().split()]
