@@ -8,16 +8,19 @@ dropped here because they differ by construction between runs and engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gold, ibnr, policy_history, reports, silver
 from ..schemas import EXPENSES, GOLD_CLAIM_FIELDS, PAYMENTS, payments_v2
+from ..sources import arrivals
 from ..sources import bronze_fixtures as bronze
 from ..sources import defects
 from ..sources import fixtures as fx
 from ..sources import history
+from . import incremental
 
 START, END = fx.WINDOW_START, fx.WINDOW_END
 
@@ -257,44 +260,67 @@ def snapshot_diff(spark, root):
     return policy_history.snapshot_diff(earlier.drop(*drop), later.drop(*drop))
 
 
-def _resolved(spark, root):
-    return gold.resolve(_inputs(spark, root))
+def _policy_sums(spark, root):
+    """The one aggregation that policy_performance projects."""
+    r = gold.resolve(_inputs(spark, root))
+    return gold.policy_sums(r.exposure, gold.claim_snapshot(r.latest, r.payments), r.expenses, START, END)
 
 
-def _snapshot(r):
-    return gold.claim_snapshot(r.latest, r.payments)
+def _part_of_sums(sums: DataFrame, present: str, **columns: str) -> DataFrame:
+    """The policies with rows of one kind, and the sums of that kind."""
+    return sums.where(present).select("policy_id", *[F.col(old).alias(new) for new, old in columns.items()])
 
 
 def policy_premiums(spark, root):
     """A5: premium and exposure per policy."""
-    return gold.policy_premiums(_resolved(spark, root).exposure)
+    return _part_of_sums(_policy_sums(spark, root), "_exposure_rows > 0", earned_premium="_premium", earned_exposure="_exposure")
 
 
 def policy_losses(spark, root):
     """In-window reported losses per policy."""
-    r = _resolved(spark, root)
-    return gold.policy_losses(_snapshot(r), START, END)
+    return _part_of_sums(
+        _policy_sums(spark, root), "_claims > 0", reported_claim_count="_claims", reported_incurred="_incurred", source_paid="_paid",
+        ledger_paid="_ledger", unreconciled_claim_count="_unreconciled", negative_reserve_claim_count="_negative")
 
 
 def policy_costs(spark, root):
     """Direct claim/policy expenses per policy."""
-    return gold.policy_costs(_resolved(spark, root).expenses, START, END)
+    return _part_of_sums(_policy_sums(spark, root), "_claim_expense IS NOT NULL",
+                         claim_expense="_claim_expense", policy_expense="_policy_expense")
 
 
 def policy_attributes(spark, root):
     """Latest rating attributes per policy."""
-    return gold.policy_attributes(_resolved(spark, root).exposure)
+    return _part_of_sums(_policy_sums(spark, root), "_exposure_rows > 0", region="attrs.region",
+                         customer_segment="attrs.customer_segment", age_band="attrs.age_band", as_of_load_date="attrs_day")
 
 
 def policy_spine(spark, root):
     """The policy ids reported on."""
-    r = _resolved(spark, root)
-    return gold.policy_spine(r.exposure, _snapshot(r), r.expenses, START, END)
+    return _policy_sums(spark, root).select("policy_id")
 
 
 def overhead(spark, root):
-    """A10: portfolio and corporate overhead."""
-    return gold.overhead(gold.expense_summary(_resolved(spark, root).expenses, START, END))
+    """A10: portfolio and corporate overhead, as the portfolio row carries it."""
+    return portfolio_performance(spark, root).select("portfolio_expense", "corporate_expense")
+
+
+VALUATIONS = ["1998-06-30", "2001-12-31", "2024-01-10", END]
+
+
+def _valued(spark, root, table: str) -> DataFrame:
+    built = incremental.valuations(arrivals.deltas(fx.tables(spark, root), VALUATIONS), START)
+    return reduce(DataFrame.unionByName, [tables[table].withColumn("valuation_date", F.lit(end).cast("date")) for end, tables in built])
+
+
+def backfill_incremental(spark, root):
+    """Portfolio rows of four valuation dates, each merged from the state of the date before (C17)."""
+    return _valued(spark, root, "portfolio_performance")
+
+
+def backfill_incremental_policies(spark, root):
+    """Policy rows of four valuation dates, each merged from the state of the date before (C17)."""
+    return _valued(spark, root, "policy_performance")
 
 
 PAYMENT_V2_CUTOVER = "1999-01-01"
@@ -321,6 +347,8 @@ def exposure_missing_days(spark, root):
 
 
 QUERIES: dict[str, Query] = {
+    "backfill_incremental": backfill_incremental,
+    "backfill_incremental_policies": backfill_incremental_policies,
     "exposure_missing_days": exposure_missing_days,
     "payments_v2_union": payments_v2_union,
     "policy_premiums": policy_premiums,

@@ -91,7 +91,28 @@ FROM generate_series(DATE '1995-01-01', DATE '2001-08-01', INTERVAL 1 DAY) AS s(
 WHERE CAST(d AS DATE) NOT IN (SELECT DISTINCT load_date FROM fx_exposure_all)"""
 
 
+VALUATIONS = ["1998-06-30", "2001-12-31", "2024-01-10", "2024-12-31"]
+
+
+def _valued_gold(number: int, end: str) -> str:
+    """The whole Gold build on the rows that had arrived by ``end``: a full rebuild."""
+    sql = re.sub(r"\bg_", f"w{number}_", gold_ctes()).replace("DATE '2024-12-31'", f"DATE '{end}'")
+    for view, arrival in (
+        ("claims", "greatest(reported_date, CAST(source_updated_at AS DATE))"), ("exposure", "load_date"), ("expenses", "expense_date"),
+        ("payments", "payment_date + CAST(CAST(regexp_extract(payment_id, '([0-9]+)', 1) AS BIGINT) % 90 AS INTEGER)"),
+    ):
+        sql = re.sub(rf"FROM fx_{view}\b", f"FROM (SELECT * FROM fx_{view} WHERE {arrival} <= DATE '{end}')", sql)
+    return sql
+
+
+def _valuations(table: str) -> str:
+    body = " UNION ALL ".join(f"SELECT *, DATE '{end}' AS valuation_date FROM w{n}_{table}" for n, end in enumerate(VALUATIONS))
+    return "WITH " + ",".join([FIXTURE_CTES, *[_valued_gold(n, end) for n, end in enumerate(VALUATIONS)]]) + "\n" + body
+
+
 ORACLES: dict[str, str] = {
+    "backfill_incremental": _valuations("portfolio"),
+    "backfill_incremental_policies": _valuations("policy"),
     "exposure_missing_days": _with(MISSING_DAYS),
     "scd2_history": _with("SELECT * EXCLUDE (version_number), version_number, valid_to IS NULL AS is_current FROM hv_scd2"),
     "policy_as_of": _with(AS_OF),
