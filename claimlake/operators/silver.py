@@ -43,7 +43,7 @@ class SilverResult:
     metrics: DataFrame | None = None
 
 
-def _count_by(df: DataFrame, keys: list[str], name: str, over: DataFrame | None = None) -> DataFrame:
+def count_by(df: DataFrame, keys: list[str], name: str, over: DataFrame | None = None) -> DataFrame:
     """Attach the number of rows of ``over`` (else of ``df``) that share ``keys`` (NULL keys
     form one group, as a window partition would)."""
     own = [f"_{name}_{k}" for k in keys]
@@ -187,8 +187,8 @@ def checked_exposure(raw: DataFrame) -> DataFrame:
     condemns a valid row, and every copy of a duplicate is quarantined."""
     typed = evaluated_once(typed_exposure(raw))
     feed = typed  # both counts are taken from the typed feed's keys, not from each other's join
-    typed = _count_by(feed, ["load_date", "exposure_record_id"], "_exposure_id_count")
-    typed = _count_by(typed, ["load_date", "policy_id"], "_policy_count", over=feed)
+    typed = count_by(feed, ["load_date", "exposure_record_id"], "_exposure_id_count")
+    typed = count_by(typed, ["load_date", "policy_id"], "_policy_count", over=feed)
     typed = typed.withColumn(
         "region_quality_flag",
         F.when(F.upper(F.col("region")) == UNKNOWN_REGION_TOKEN, F.lit("UNKNOWN")).otherwise(F.lit("VALID")))
@@ -371,7 +371,7 @@ def silver_ledger(lines: DataFrame, contract: LedgerContract, header: str | None
         .agg(rep.alias("_rep"), F.count(F.lit(1)).alias("_copies"))
         .select("load_date", *fields, "_rep.*", "_copies")
     )
-    unique = _count_by(unique, ["load_date", id_field], "_id_count")
+    unique = count_by(unique, ["load_date", id_field], "_id_count")
     conflicts = unique.filter(F.col("_id_count") > 1).withColumn(
         "dq_errors", F.lit("conflicting transaction ID within load date"))
     quarantine_cols = ["raw_record", "source_file", *fields, "dq_errors", "silver_processed_at", "load_date"]

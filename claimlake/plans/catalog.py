@@ -13,8 +13,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import gold, ibnr, policy_history, reports, silver
-from ..schemas import EXPENSES, GOLD_CLAIM_FIELDS, PAYMENTS, payments_v2
+from ..operators import gold, ibnr, policy_history, policy_silver, reports, silver
+from ..schemas import EXPENSES, GOLD_CLAIM_FIELDS, PAYMENTS, POLICY_CHANGE_FIELDS, payments_v2
+from ..session import staged
 from ..sources import arrivals
 from ..sources import bronze_fixtures as bronze
 from ..sources import defects
@@ -244,6 +245,37 @@ def scd2_gaps(spark, root):
     return policy_history.interval_violations(_policy_scd2(fx.tables(spark, root)))
 
 
+def interval_integrity(spark, root):
+    """Overlaps, nested ones among them, and gaps between cover periods of one policy."""
+    return policy_history.interval_violations(fx.policy_terms(fx.tables(spark, root)))
+
+
+def _policy_silver(spark, root):
+    t = fx.tables(spark, root)
+    return policy_silver.silver_policy_changes(fx.policy_change_feed(t), fx.policies(t))
+
+
+def policy_changes_dq(spark, root):
+    """Policy-change quarantine with every failed rule."""
+    return _no_audit(_policy_silver(spark, root).quarantine)
+
+
+def policy_changes_silver(spark, root):
+    """Valid policy changes, typed, re-sent rows collapsed."""
+    return _no_audit(_policy_silver(spark, root).valid)
+
+
+def scd2_merge(spark, root):
+    """Policy history built year by year: each delivery is spliced into the chains of its policies."""
+    valid = staged(_policy_silver(spark, root).valid.select(*POLICY_CHANGE_FIELDS, "load_date"), "policy-changes")
+    years = [r[0] for r in valid.select("load_date").distinct().orderBy("load_date").collect()]  # one row per delivery
+    day = lambda d: valid.where(F.col("load_date") == F.lit(d)).drop("load_date")
+    history = policy_history.scd2(day(years[0]) if years else valid.drop("load_date"))
+    for d in years[1:]:
+        history = staged(policy_history.splice(history, day(d)), "policy-history")
+    return history
+
+
 SNAPSHOT_EARLIER_END = "2001-12-31"
 
 
@@ -361,6 +393,10 @@ QUERIES: dict[str, Query] = {
     "policy_as_of": policy_as_of,
     "policy_change_checks": policy_change_checks,
     "scd2_gaps": scd2_gaps,
+    "interval_integrity": interval_integrity,
+    "policy_changes_dq": policy_changes_dq,
+    "policy_changes_silver": policy_changes_silver,
+    "scd2_merge": scd2_merge,
     "snapshot_diff": snapshot_diff,
     "ibnr_premium_month": ibnr_premium_month,
     "ibnr_loss_month": ibnr_loss_month,

@@ -151,6 +151,14 @@ def latest_manifest(spark: SparkSession, root: str, as_of: str) -> dict:
     return top[0].asDict(recursive=True)
 
 
+def manifest_before(spark: SparkSession, root: str, day: str) -> dict | None:
+    """The newest manifest of the last valuation date before ``day``; None if there is none."""
+    manifests = unless_absent(lambda: spark.read.schema(MANIFEST_SCHEMA).json(f"{root.rstrip('/')}/_manifests/*/*"))
+    top = manifests and manifests.where(F.col("as_of_date") < day).orderBy(
+        F.col("as_of_date").desc(), F.col("published_at").desc(), F.col("run_id").desc()).limit(1).collect()
+    return top[0].asDict(recursive=True) if top else None
+
+
 def read_gold(spark: SparkSession, root: str, table: str, as_of: str) -> DataFrame:
     """One valuation snapshot of one Gold table, via the manifest."""
     manifest = latest_manifest(spark, root, as_of)

@@ -68,6 +68,7 @@ EXPENSE_CATEGORY_SCOPE = {
     "OFFICE_RENT": "CORPORATE",
 }
 UNKNOWN_REGION_TOKEN = "UNKNOWN_REGION"
+POLICY_CHANGE_OPERATIONS = ["INSERT", "UPDATE"]
 GOLD_CURRENCY = "CAD"
 BF_MODEL_METHOD = "BF_REPORTED_INCURRED"
 GOLD_TABLES = ("claim_snapshot", "policy_performance", "portfolio_performance", "expense_summary")

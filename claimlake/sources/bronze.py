@@ -16,13 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.plan import spread
-from ..schemas import CLAIM_EVENT_FIELDS, EXPOSURE_FEED_FIELDS, LedgerContract, all_strings
+from ..schemas import CLAIM_EVENT_FIELDS, EXPOSURE_FEED_FIELDS, POLICY_CHANGE_FIELDS, LedgerContract, all_strings
 
 FEEDS = {
     "claims_events": ("claims-events", "claim_events"),
     "daily_exposure": ("daily-exposure", "daily_exposure"),
     "claim_payments": ("claim-payments", "claim_payments"),
     "expense_transactions": ("expense-transactions", "expense_transactions"),
+    "policy_changes": ("policy-changes", "policy_changes"),
 }
 
 
@@ -54,6 +55,10 @@ def read_exposure(spark: SparkSession, root: str, day: str) -> DataFrame:
     return read_declared_csv(spark, feed_path(root, "daily_exposure", day), EXPOSURE_FEED_FIELDS, day)
 
 
+def read_policy_changes(spark: SparkSession, root: str, day: str) -> DataFrame:
+    return read_declared_csv(spark, feed_path(root, "policy_changes", day), POLICY_CHANGE_FIELDS, day)
+
+
 def first_line(spark: SparkSession, path: str) -> str:
     """The file's first line with a UTF-8 BOM removed (one row to the driver)."""
     rows = spark.read.text(path).limit(1).collect()

@@ -344,3 +344,46 @@ def policy_changes(t: Tables) -> DataFrame:
         F.when(F.pmod(k, F.lit(31)) == 0, F.date_add("effective_date", 2).cast("timestamp"))
         .otherwise(F.col("source_updated_at")).alias("source_updated_at"),
     )
+
+
+@_derived
+def policy_change_feed(t: Tables) -> DataFrame:
+    """The policy changes as a text feed, delivered once a year, with a defect per key number: an unknown
+    operation (41), an impossible date (43), a blank id (47), a negative premium (53), no coverage (67),
+    a time without zone (71), rows sent twice (59) and twins that differ (61)."""
+    from pyspark.sql import Window
+    k = F.regexp_extract("policy_change_id", "([0-9]+)", 1).cast("bigint")
+
+    def hit(n: int) -> Column:
+        return F.pmod(k, F.lit(n)) == 0
+
+    by_date = Window.partitionBy("policy_id").orderBy("effective_date", "policy_change_id")
+    day = F.date_format("effective_date", "yyyy-MM-dd")
+    rows = policy_changes(t).select(
+        F.when(hit(47), " ").otherwise(F.col("policy_change_id")).alias("policy_change_id"), "policy_id",
+        F.when(hit(41), "RENEW").when(F.col("source_version") == 1, " insert").otherwise("UPDATE").alias("operation"),
+        F.col("source_version").cast("string").alias("source_version"),
+        F.when(hit(43), "2026-13-01").otherwise(day).alias("effective_date"),
+        F.lit("coverage_and_premium").alias("change_type"),
+        F.lag("coverage_type").over(by_date).alias("old_coverage_type"),
+        F.when(hit(67), "").otherwise(F.col("coverage_type")).alias("new_coverage_type"),
+        F.lag("annual_premium").over(by_date).cast("string").alias("old_annual_premium"),
+        F.when(hit(53), "-1.00").otherwise(F.col("annual_premium").cast("string")).alias("new_annual_premium"),
+        F.lit("FIXTURE_POLICY_ADMIN").alias("source_system"),
+        F.concat(F.date_format("source_updated_at", "yyyy-MM-dd'T'HH:mm:ss"), F.when(hit(71), "").otherwise("+00:00")).alias("source_updated_at"),
+        F.lit("policy_changes.csv").alias("source_file"),
+        F.make_date(F.year("effective_date"), F.lit(12), F.lit(31)).alias("load_date"),
+        F.array_compact(F.array(F.lit("own"), F.when(hit(59), "same"), F.when(hit(61), "twin"))).alias("copies"))
+    copy = rows.withColumn("copy", F.explode("copies")).drop("copies")
+    return copy.withColumn("new_annual_premium", F.when(F.col("copy") == "twin", "7.77").otherwise(F.col("new_annual_premium"))).drop("copy")
+
+
+@_derived
+def policy_terms(t: Tables) -> DataFrame:
+    """Cover periods with ends of their own: each order opens one for up to 699 days (every 97th for ever),
+    so terms of one policy nest, overlap, leave gaps and meet."""
+    k = F.col("o_orderkey")
+    start = F.col("o_orderdate").cast("date")
+    return t.orders.select(
+        policy_key(F.col("o_custkey")).alias("policy_id"), start.alias("valid_from"),
+        F.when(F.pmod(k, F.lit(97)) != 0, F.date_add(start, (F.pmod(k, F.lit(699)) + 1).cast("int"))).alias("valid_to"))

@@ -49,14 +49,72 @@ SELECT policy_change_id, policy_id, problems FROM (
   FROM hv_changes c LEFT JOIN (SELECT DISTINCT policy_id FROM fx_policy) k ON c.policy_id = k.policy_id)
 WHERE length(problems) > 0"""
 
-GAPS = """
-SELECT policy_id, valid_from, valid_to, previous_valid_to,
-       CASE WHEN previous_valid_to IS NULL OR previous_valid_to > valid_from THEN 'overlap' ELSE 'gap' END AS problem
+def _interval_problems(table: str) -> str:
+    """Each version against the furthest end of all versions that begin before it."""
+    return f"""
+SELECT policy_id, valid_from, valid_to, CASE WHEN reach < DATE '9999-12-31' THEN reach END AS previous_valid_to,
+       CASE WHEN reach > valid_from THEN 'overlap' ELSE 'gap' END AS problem
 FROM (SELECT policy_id, valid_from, valid_to,
-             lag(valid_to) OVER (PARTITION BY policy_id ORDER BY valid_from) AS previous_valid_to,
-             lag(valid_from) OVER (PARTITION BY policy_id ORDER BY valid_from) AS prev_from
-      FROM hv_scd2)
-WHERE prev_from IS NOT NULL AND (previous_valid_to IS NULL OR previous_valid_to <> valid_from)"""
+             max(ifnull(valid_to, DATE '9999-12-31')) OVER (
+               PARTITION BY policy_id ORDER BY valid_from, ifnull(valid_to, DATE '9999-12-31')
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+      FROM {table})
+WHERE reach <> valid_from"""
+
+
+TERM_CTES = """
+hv_terms AS (
+  SELECT printf('POL-%07d', o_custkey) AS policy_id, CAST(o_orderdate AS DATE) AS valid_from,
+         CASE WHEN o_orderkey % 97 <> 0 THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 699 + 1 AS INTEGER) END AS valid_to
+  FROM orders
+)"""
+
+# The text feed's rows, typed: which defect a row has follows from its key.
+FEED_CTES = """
+hv_numbered AS (
+  SELECT c.*, CAST(substr(policy_change_id, 5) AS BIGINT) AS k,
+         lag(coverage_type) OVER w AS old_coverage_type, lag(annual_premium) OVER w AS old_annual_premium
+  FROM hv_changes c WINDOW w AS (PARTITION BY policy_id ORDER BY effective_date, policy_change_id)
+),
+hv_typed AS (
+  SELECT DISTINCT CASE WHEN k % 47 = 0 THEN '' ELSE policy_change_id END AS policy_change_id, policy_id,
+         CASE WHEN k % 41 = 0 THEN 'RENEW' WHEN source_version = 1 THEN 'INSERT' ELSE 'UPDATE' END AS operation,
+         CAST(source_version AS INTEGER) AS source_version,
+         CASE WHEN k % 43 <> 0 THEN effective_date END AS effective_date, 'COVERAGE_AND_PREMIUM' AS change_type,
+         old_coverage_type, CASE WHEN k % 67 <> 0 THEN coverage_type END AS new_coverage_type, old_annual_premium,
+         CAST(CASE copy WHEN 'twin' THEN 7.77 ELSE CASE WHEN k % 53 = 0 THEN -1 ELSE annual_premium END END AS DECIMAL(18,2)) AS new_annual_premium,
+         'FIXTURE_POLICY_ADMIN' AS source_system, CASE WHEN k % 71 <> 0 THEN source_updated_at END AS source_updated_at,
+         'policy_changes.csv' AS source_file, make_date(year(effective_date), 12, 31) AS load_date
+  FROM hv_numbered, (VALUES ('own'), ('same'), ('twin')) AS copies(copy)
+  WHERE copy = 'own' OR (copy = 'same' AND k % 59 = 0) OR (copy = 'twin' AND k % 61 = 0)
+),
+hv_judged AS (
+  SELECT t.*, concat_ws('; ',
+    CASE WHEN policy_change_id = '' THEN 'policy_change_id is missing' END,
+    CASE WHEN operation = 'RENEW' THEN 'operation is invalid' END,
+    CASE WHEN effective_date IS NULL THEN 'effective_date is invalid' END,
+    CASE WHEN new_coverage_type IS NULL THEN 'new_coverage_type is missing' END,
+    CASE WHEN new_annual_premium < 0 THEN 'new_annual_premium is negative' END,
+    CASE WHEN source_updated_at IS NULL THEN 'source_updated_at is invalid' END,
+    CASE WHEN policy_id NOT IN (SELECT policy_id FROM fx_policy) THEN 'policy does not exist' END,
+    CASE WHEN source_version <= lag(source_version) OVER (
+              PARTITION BY policy_id ORDER BY load_date, source_updated_at NULLS FIRST, policy_change_id, source_version, operation,
+                       effective_date, change_type, old_coverage_type, new_coverage_type, old_annual_premium, new_annual_premium)
+         THEN 'source_version does not increase' END,
+    CASE WHEN effective_date < CAST(source_updated_at AS DATE) THEN 'effective_date is before the update''s business date' END,
+    CASE WHEN policy_change_id <> '' AND count(*) OVER (PARTITION BY load_date, policy_change_id) > 1
+         THEN 'conflicting policy_change_id within load date' END) AS dq_errors
+  FROM hv_typed t
+)"""
+
+CHANGE_COLUMNS = ("policy_change_id, policy_id, operation, source_version, effective_date, change_type, old_coverage_type, "
+                  "new_coverage_type, old_annual_premium, new_annual_premium, source_system, source_updated_at")
+
+MERGED = f"""
+SELECT {CHANGE_COLUMNS}, effective_date AS valid_from, lead(effective_date) OVER w AS valid_to,
+       CAST(row_number() OVER w AS INTEGER) AS version_number, lead(effective_date) OVER w IS NULL AS is_current
+FROM hv_judged WHERE dq_errors = ''
+WINDOW w AS (PARTITION BY policy_id ORDER BY effective_date, source_version, source_updated_at, policy_change_id)"""
 
 AS_OF = """
 SELECT e.exposure_record_id, e.policy_id, e.load_date, e.earned_premium,
@@ -117,6 +175,10 @@ ORACLES: dict[str, str] = {
     "scd2_history": _with("SELECT * EXCLUDE (version_number), version_number, valid_to IS NULL AS is_current FROM hv_scd2"),
     "policy_as_of": _with(AS_OF),
     "policy_change_checks": _with(CHANGE_CHECKS),
-    "scd2_gaps": _with(GAPS),
+    "scd2_gaps": _with(_interval_problems("hv_scd2")),
+    "interval_integrity": _with(_interval_problems("hv_terms"), TERM_CTES),
+    "policy_changes_dq": _with(f"SELECT {CHANGE_COLUMNS}, source_file, dq_errors, load_date FROM hv_judged WHERE dq_errors <> ''", FEED_CTES),
+    "policy_changes_silver": _with(f"SELECT {CHANGE_COLUMNS}, source_file, load_date FROM hv_judged WHERE dq_errors = ''", FEED_CTES),
+    "scd2_merge": _with(MERGED, FEED_CTES),
     "snapshot_diff": _with(DIFF, gold_ctes(), _earlier_gold()),
 }
