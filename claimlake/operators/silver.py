@@ -20,10 +20,10 @@ Scale notes
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import clean
@@ -41,6 +41,18 @@ class SilverResult:
     valid: DataFrame
     quarantine: DataFrame
     metrics: DataFrame | None = None
+    #: filled by the write of ``valid`` itself: input_rows, invalid_rows, duplicate_rows_collapsed
+    observations: list[Observation] = field(default_factory=list)
+
+
+def _observed(df: DataFrame, into: list[Observation], **measures: Column) -> DataFrame:
+    """``df``, measured by whatever action runs it."""
+    into.append(Observation())
+    return df.observe(into[-1], *[F.coalesce(m, F.lit(0)).cast("bigint").alias(name) for name, m in measures.items()])
+
+
+def _input_measures() -> dict[str, Column]:
+    return {"input_rows": F.count(F.lit(1)), "invalid_rows": F.count_if(is_invalid())}
 
 
 def count_by(df: DataFrame, keys: list[str], name: str, over: DataFrame | None = None) -> DataFrame:
@@ -121,20 +133,21 @@ def silver_claims(raw: DataFrame) -> SilverResult:
     """Typed claim events; one row per (load_date, event_id) with the highest
     source_version, then the latest update.  Remaining ties are broken by a
     total order over the row (source_file first) so reruns are stable."""
-    checked = checked_claims(raw)
-    valid = checked.filter(is_valid())
+    checked, seen = checked_claims(raw), []
+    valid = _observed(checked, seen, **_input_measures()).filter(is_valid())
     order = F.struct(
         F.col("source_version"), F.col("source_updated_at"), F.col("source_file"),
         *[F.col(k) for k in CLAIM_EVENT_FIELDS if k not in ("event_id", "source_version", "source_updated_at")],
     )
     deduped = (
         valid.groupBy("load_date", "event_id")
-        .agg(F.max_by(F.struct(*CLAIM_SILVER_COLUMNS), order).alias("_row"))
-        .select("load_date", "_row.*")
+        .agg(F.max_by(F.struct(*CLAIM_SILVER_COLUMNS), order).alias("_row"), F.count(F.lit(1)).alias("_copies"))
+        .select("load_date", "_copies", "_row.*")
     )
+    deduped = _observed(deduped, seen, duplicate_rows_collapsed=F.sum(F.col("_copies") - 1))
     quarantine = checked.filter(is_invalid())
     return SilverResult(deduped.select(*CLAIM_SILVER_COLUMNS, "load_date"),
-                        quarantine.select(*CLAIM_SILVER_COLUMNS, "dq_errors", "load_date"))
+                        quarantine.select(*CLAIM_SILVER_COLUMNS, "dq_errors", "load_date"), observations=seen)
 
 
 # ---------------------------------------------------------------------------
@@ -196,10 +209,10 @@ def checked_exposure(raw: DataFrame) -> DataFrame:
 
 
 def silver_exposure(raw: DataFrame) -> SilverResult:
-    checked = checked_exposure(raw)
+    checked, seen = checked_exposure(raw), []
     return SilverResult(
-        checked.filter(is_valid()).select(*EXPOSURE_SILVER_COLUMNS, "load_date"),
-        checked.filter(is_invalid()).select(*EXPOSURE_SILVER_COLUMNS, "dq_errors", "load_date"),
+        _observed(checked, seen, **_input_measures()).filter(is_valid()).select(*EXPOSURE_SILVER_COLUMNS, "load_date"),
+        checked.filter(is_invalid()).select(*EXPOSURE_SILVER_COLUMNS, "dq_errors", "load_date"), observations=seen,
     )
 
 
@@ -360,7 +373,9 @@ def silver_ledger(lines: DataFrame, contract: LedgerContract, header: str | None
     # Staged, as the three consumers (invalid rows, candidates, metrics) share the parse.
     # The files are also a leaf for the optimizer: without them, constraint inference over
     # the wide rule expressions explodes once the id counts are joined back.
-    checked = staged(checked_ledger(parse_ledger_lines(body, contract), contract), f"ledger-{contract.dataset}")
+    seen: list[Observation] = []
+    checked = staged(_observed(checked_ledger(parse_ledger_lines(body, contract), contract), seen, **_input_measures()),
+                     f"ledger-{contract.dataset}")
     fields, id_field = contract.fields, contract.id_field
 
     invalid = checked.filter(is_invalid())
@@ -377,7 +392,7 @@ def silver_ledger(lines: DataFrame, contract: LedgerContract, header: str | None
     quarantine_cols = ["raw_record", "source_file", *fields, "dq_errors", "silver_processed_at", "load_date"]
     quarantine = invalid.select(*quarantine_cols).unionByName(conflicts.select(*quarantine_cols))
 
-    valid = unique.filter(F.col("_id_count") == 1)
+    valid = _observed(unique, seen, duplicate_rows_collapsed=F.sum(F.col("_copies") - 1)).filter(F.col("_id_count") == 1)
     typed = {f: F.col(f) for f in fields}
     typed["amount"] = F.col("amount").cast(MONEY)
     typed[contract.date_field] = F.to_date(F.col(contract.date_field), clean.ISO_DATE_FORMAT)
@@ -388,7 +403,7 @@ def silver_ledger(lines: DataFrame, contract: LedgerContract, header: str | None
     valid = valid.select("source_file", *[typed[f].alias(f) for f in fields], "silver_processed_at", "load_date")
 
     metrics = ledger_metrics(invalid, unique, contract)
-    return SilverResult(valid, quarantine, metrics)
+    return SilverResult(valid, quarantine, metrics, seen)
 
 
 def ledger_metrics(invalid: DataFrame, unique: DataFrame, contract: LedgerContract) -> DataFrame:

@@ -7,6 +7,7 @@ dropped here because they differ by construction between runs and engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -15,13 +16,13 @@ from pyspark.sql import functions as F
 
 from ..operators import gold, ibnr, policy_history, policy_silver, reports, silver
 from ..schemas import EXPENSES, GOLD_CLAIM_FIELDS, PAYMENTS, POLICY_CHANGE_FIELDS, payments_v2
-from ..session import staged
+from ..session import ensure_checkpoint_dir, staged
 from ..sources import arrivals
 from ..sources import bronze_fixtures as bronze
 from ..sources import defects
 from ..sources import fixtures as fx
 from ..sources import history
-from . import incremental
+from . import day_commit, incremental
 
 START, END = fx.WINDOW_START, fx.WINDOW_END
 
@@ -152,6 +153,35 @@ def expenses_silver(spark, root):
     return _no_audit(_ledger(spark, root, "expenses").valid)
 
 
+def load_metrics(spark, root):
+    """input = valid + quarantine + duplicates collapsed for all four feeds, measured by the writes of
+    their commits (K8, A15); each whole feed is one load."""
+    t = fx.tables(spark, root)
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/load-metrics-{uuid.uuid4().hex}"
+    loads = {"claims_events": lambda: silver.silver_claims(bronze.claims_feed(t)),
+             "daily_exposure": lambda: silver.silver_exposure(bronze.exposure_feed(t)),
+             "claim_payments": lambda: silver.silver_ledger(bronze.payments_feed(t), PAYMENTS),
+             "expense_transactions": lambda: silver.silver_ledger(bronze.expenses_feed(t), EXPENSES)}
+    for dataset, load in loads.items():
+        day_commit.publish_day(spark, folder, dataset, END, load)
+    return reduce(DataFrame.unionByName, [day_commit.load_metrics(spark, folder, dataset, END, END) for dataset in loads]).drop("load_date")
+
+
+def claims_quarantine(spark, root):
+    """Claim events that fail a rule."""
+    return _no_audit(silver.silver_claims(bronze.claims_feed(fx.tables(spark, root))).quarantine)
+
+
+def exposure_quarantine(spark, root):
+    """Exposure rows that fail a rule."""
+    return _no_audit(silver.silver_exposure(bronze.exposure_feed(fx.tables(spark, root))).quarantine)
+
+
+def exposure_silver(spark, root):
+    """Valid exposure rows."""
+    return _no_audit(silver.silver_exposure(bronze.exposure_feed(fx.tables(spark, root))).valid)
+
+
 # Bornhuetter-Ferguson run on the derived history.  The ELR and the
 # pattern are illustrative model parameters (the method supplies none);
 # proportions carry two decimals so the decimal products are exact.
@@ -410,6 +440,10 @@ QUERIES: dict[str, Query] = {
     "payments_dq": payments_dq,
     "payments_silver": payments_silver,
     "payments_load_metrics": payments_load_metrics,
+    "load_metrics": load_metrics,
+    "claims_quarantine": claims_quarantine,
+    "exposure_quarantine": exposure_quarantine,
+    "exposure_silver": exposure_silver,
     "expenses_dq_scope": expenses_dq_scope,
     "expenses_silver": expenses_silver,
     "claim_snapshot": claim_snapshot,

@@ -52,6 +52,7 @@ def incremental_gold(spark: SparkSession, silver_root: str, gold_root: str, star
     configure(spark)
     first, last = window(start, end)
     run_id = run_id or publish.new_run_id()
+    generation = publish.claim_generation(spark, gold_root, end)
     before = _state_of(spark, gold_root, start, (last - timedelta(days=1)).isoformat()) if last > first else None
     state, seen = before or (None, {})
     merge = gold_state.advance(state, _silver(spark, silver_root, end if state else start, end), start, end)
@@ -70,7 +71,7 @@ def incremental_gold(spark: SparkSession, silver_root: str, gold_root: str, star
         out = gold.with_period(built[table], start, end)
         publish.check_contract(spark, gold_root, table, out)
         rows[table] = write(table, out).count()
-    manifest = publish.write_manifest(spark, gold_root, start, end, run_id, rows, locations)
+    manifest = publish.write_manifest(spark, gold_root, start, end, run_id, rows, locations, generation)
     if database:
         tables.register_gold(spark, database, gold_root, {**manifest, "locations": {t: locations[t] for t in GOLD_TABLES}})
     return manifest

@@ -14,7 +14,7 @@ from ..operators.checks import require_empty, violation_rows
 from ..schemas import EXPENSES, GOLD_TABLES, PAYMENTS, SILVER_DATASETS, LedgerContract
 from ..session import configure
 from ..sources import bronze, history
-from . import publish, tables
+from . import day_commit, publish, tables
 
 
 # ---------------------------------------------------------------------------
@@ -77,6 +77,21 @@ def load_feed(spark: SparkSession, bronze_root: str, silver_root: str, dataset:
     return load_ledger(spark, bronze_root, silver_root, day, EXPENSES, database=database)
 
 
+def commit_feed(spark: SparkSession, bronze_root: str, silver_root: str, dataset: str, day: str,
+                payments: list[LedgerContract] | None = None) -> dict:
+    """``load_feed`` as one commit: valid rows, quarantine and metrics become visible together."""
+    def load() -> silver.SilverResult:
+        if dataset == "claims_events":
+            return silver.silver_claims(bronze.read_claims(spark, bronze_root, day))
+        if dataset == "daily_exposure":
+            return silver.silver_exposure(bronze.read_exposure(spark, bronze_root, day))
+        contract = PAYMENTS if dataset == PAYMENTS.dataset else EXPENSES
+        allowed = payments if dataset == PAYMENTS.dataset else None
+        return silver.silver_ledger(*bronze.read_ledger_lines(spark, bronze_root, contract, day, allowed))
+    configure(spark)
+    return day_commit.publish_day(spark, silver_root, dataset, day, load)
+
+
 def load_day(spark: SparkSession, bronze_root: str, silver_root: str, day: str, database: str | None = None,
              payments: list[LedgerContract] | None = None) -> list[dict]:
     configure(spark)
@@ -101,6 +116,7 @@ def silver_to_gold(spark: SparkSession, silver_root: str, gold_root: str, start:
     configure(spark)
     window(start, end)
     run_id = run_id or publish.new_run_id()
+    generation = publish.claim_generation(spark, gold_root, end)
     r = gold.resolve(read_silver(spark, silver_root, start, end))
     require_empty(violation_rows(gold.gold_checks(r, start, end)))
 
@@ -126,7 +142,7 @@ def silver_to_gold(spark: SparkSession, silver_root: str, gold_root: str, start:
     summary = write("expense_summary", lazy["expense_summary"])
     write("portfolio_performance", gold.with_period(
         gold.portfolio_performance(policy.drop(*period), summary.drop(*period)), start, end))
-    manifest = publish.write_manifest(spark, gold_root, start, end, run_id, rows, locations)
+    manifest = publish.write_manifest(spark, gold_root, start, end, run_id, rows, locations, generation)
     if database:
         tables.register_gold(spark, database, gold_root, manifest)
     return manifest

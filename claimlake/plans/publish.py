@@ -7,8 +7,9 @@ Gold (K3-K5): every run writes an immutable generation
 ``_versions/<table>/as_of_date=D/run_id=R/`` (error if it exists), then a
 manifest ``_manifests/as_of_date=D/run_id=R/`` naming the generation of
 every table.  The manifest is written last and is the readers' barrier:
-``read_gold`` resolves a table for one valuation date through the newest
-complete manifest, so a half-written run is never visible.
+``read_gold`` resolves a table for one valuation date through the complete
+manifest of the highest generation, so a half-written run is never visible
+and a run that started earlier never replaces a newer one.
 """
 
 from __future__ import annotations
@@ -18,10 +19,12 @@ import uuid
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import generations
+
 # Tables whose size does not grow with the data are written as one file.
 SINGLE_FILE_TABLES = {"portfolio_performance", "expense_summary", "ibnr_bf_monthly"}
 
@@ -127,12 +130,19 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("published_at", T.StringType()),
     T.StructField("rows", T.MapType(T.StringType(), T.LongType())),
     T.StructField("locations", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("generation", T.LongType()),
 ])
 
 
+def claim_generation(spark: SparkSession, root: str, as_of: str) -> int:
+    """A publisher's number for a valuation date, to be taken before its inputs are read."""
+    return generations.claim(spark, manifest_root(root, as_of))
+
+
 def write_manifest(spark: SparkSession, root: str, start: str, as_of: str, run_id: str,
-                   rows: dict[str, int], locations: dict[str, str]) -> dict:
+                   rows: dict[str, int], locations: dict[str, str], generation: int | None = None) -> dict:
     manifest = {
+        "generation": generation or claim_generation(spark, root, as_of),
         "run_id": run_id, "period_start": start, "as_of_date": as_of,
         "published_at": datetime.now(timezone.utc).isoformat(),
         "rows": rows, "locations": locations,
@@ -142,10 +152,15 @@ def write_manifest(spark: SparkSession, root: str, start: str, as_of: str, run_i
     return manifest
 
 
+def _newest() -> list[Column]:
+    """The highest generation first; the rest orders manifests written before there were generations."""
+    return [F.desc_nulls_last("generation"), F.desc("published_at"), F.desc("run_id")]
+
+
 def latest_manifest(spark: SparkSession, root: str, as_of: str) -> dict:
     path = manifest_root(root, as_of)
     manifests = unless_absent(lambda: spark.read.schema(MANIFEST_SCHEMA).json(path))
-    top = manifests and manifests.orderBy(F.col("published_at").desc(), F.col("run_id").desc()).limit(1).collect()
+    top = manifests and manifests.orderBy(*_newest()).limit(1).collect()
     if not top:
         raise ValueError(f"No Gold publication for as_of_date={as_of}")
     return top[0].asDict(recursive=True)
@@ -155,7 +170,7 @@ def manifest_before(spark: SparkSession, root: str, day: str) -> dict | None:
     """The newest manifest of the last valuation date before ``day``; None if there is none."""
     manifests = unless_absent(lambda: spark.read.schema(MANIFEST_SCHEMA).json(f"{root.rstrip('/')}/_manifests/*/*"))
     top = manifests and manifests.where(F.col("as_of_date") < day).orderBy(
-        F.col("as_of_date").desc(), F.col("published_at").desc(), F.col("run_id").desc()).limit(1).collect()
+        F.col("as_of_date").desc(), *_newest()).limit(1).collect()
     return top[0].asDict(recursive=True) if top else None
 
 

@@ -436,3 +436,30 @@ ORACLES: dict[str, str] = {
     "expenses_silver": _with(ledger_ctes("expenses"), body="SELECT * FROM l_valid"),
     "payments_v2_union": _with(ledger_ctes("payments_v2"), body="SELECT * FROM l_valid"),
 }
+
+
+def _totals() -> str:
+    """All rows of each feed: which went where, counted from the checked rows."""
+    ledgers = [f"""
+SELECT dataset, CAST(sum(input_rows) AS BIGINT) AS input_rows, CAST(sum(valid_rows) AS BIGINT) AS valid_rows,
+       CAST(sum(quarantine_rows) AS BIGINT) AS quarantine_rows, CAST(sum(duplicate_rows_collapsed) AS BIGINT) AS duplicate_rows_collapsed
+FROM ({ORACLES_OF_LEDGER[kind]}) GROUP BY dataset""" for kind in ("payments", "expenses")]
+    claims = f"""
+SELECT 'claims_events' AS dataset, count(*) AS input_rows,
+       count(DISTINCT (load_date, event_id)) FILTER (dq_errors = '') AS valid_rows, count(*) FILTER (dq_errors <> '') AS quarantine_rows,
+       count(*) FILTER (dq_errors = '') - count(DISTINCT (load_date, event_id)) FILTER (dq_errors = '') AS duplicate_rows_collapsed
+FROM ({ORACLES["claims_dq_split"]})"""
+    exposure = f"""
+SELECT 'daily_exposure' AS dataset, count(*) AS input_rows, count(*) FILTER (dq_errors = '') AS valid_rows,
+       count(*) FILTER (dq_errors <> '') AS quarantine_rows, CAST(0 AS BIGINT) AS duplicate_rows_collapsed
+FROM ({ORACLES["exposure_dq_split"]})"""
+    return " UNION ALL ".join([*ledgers, claims, exposure])
+
+
+ORACLES_OF_LEDGER = {kind: _with(ledger_ctes(kind), body="SELECT * FROM l_metrics") for kind in ("payments", "expenses")}
+ORACLES.update({
+    "load_metrics": _totals(),
+    "claims_quarantine": f"SELECT * FROM ({ORACLES['claims_dq_split']}) WHERE dq_errors <> ''",
+    "exposure_quarantine": f"SELECT * FROM ({ORACLES['exposure_dq_split']}) WHERE dq_errors <> ''",
+    "exposure_silver": f"SELECT * EXCLUDE (dq_errors) FROM ({ORACLES['exposure_dq_split']}) WHERE dq_errors = ''",
+})
