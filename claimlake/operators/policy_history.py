@@ -107,3 +107,34 @@ def snapshot_diff(before: DataFrame, after: DataFrame) -> DataFrame:
     b, a = before, after.select(*before.columns)
     return b.exceptAll(a).withColumn("change", F.lit("removed")).unionByName(
         a.exceptAll(b).withColumn("change", F.lit("added")))
+
+
+def snapshot_cells(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """What changed between two snapshots, cell by cell: (key, change, column, before, after).
+
+    One full outer join on the key; rows on one side only are 'added' or 'removed' (no column named),
+    rows on both sides give one line per column whose values differ, NULLs compared as values."""
+    if dict(before.dtypes) != dict(after.dtypes):
+        raise ValueError(f"the snapshots differ in their columns: {sorted(set(before.dtypes) ^ set(after.dtypes))}")
+    columns = [c for c in before.columns if c != key]
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.col(key).alias(f"_{name}_key"), F.struct(*columns).alias(name))
+
+    both = side(before, "b").join(side(after, "a"), F.col("_b_key").eqNullSafe(F.col("_a_key")), "full")
+    line = lambda change, column=None, old=None, new=None: F.struct(
+        F.lit(change).alias("change"), F.lit(column).cast("string").alias("column"),
+        (F.lit(None) if old is None else old).cast("string").alias("before"), (F.lit(None) if new is None else new).cast("string").alias("after"))
+    cells = [F.when(~F.col(f"b.{c}").eqNullSafe(F.col(f"a.{c}")), line("changed", c, F.col(f"b.{c}"), F.col(f"a.{c}"))) for c in columns]
+    lines = F.when(F.col("b").isNull(), F.array(line("added"))).when(F.col("a").isNull(), F.array(line("removed"))) \
+        .otherwise(F.array_compact(F.array(*cells)))
+    return both.select(F.coalesce("_b_key", "_a_key").alias(key), F.inline(lines))
+
+
+def generation_digest(df: DataFrame) -> DataFrame:
+    """(rows, digest) of a table, the same for every order and partitioning of its rows: the sum of the
+    leading 60 bits of each row's MD5.  Equal digests of an old date's generations show that a later
+    load left the date unchanged."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("<null>")) for c in sorted(df.columns)])
+    part = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(20,0)")
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(part), F.lit(0)).cast("decimal(38,0)").alias("digest"))

@@ -7,6 +7,7 @@ dropped here because they differ by construction between runs and engines.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -15,14 +16,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gold, ibnr, policy_history, policy_silver, reports, silver
-from ..schemas import EXPENSES, GOLD_CLAIM_FIELDS, PAYMENTS, POLICY_CHANGE_FIELDS, payments_v2
+from ..schemas import (
+    EXPENSES, EXPOSURE_FEED_FIELDS, GOLD_CLAIM_FIELDS, PAYMENT_FIELDS, PAYMENT_V2_FIELDS, PAYMENTS, POLICY_CHANGE_FIELDS, payments_v2,
+)
 from ..session import ensure_checkpoint_dir, staged
-from ..sources import arrivals
+from ..sources import arrivals, bronze_files
+from ..sources import bronze as bronze_source
 from ..sources import bronze_fixtures as bronze
 from ..sources import defects
 from ..sources import fixtures as fx
 from ..sources import history
-from . import day_commit, incremental
+from . import day_commit, incremental, publish
 
 START, END = fx.WINDOW_START, fx.WINDOW_END
 
@@ -102,6 +106,48 @@ def report_unreconciled(spark, root):
     return reports.report_unreconciled_claims(_gold(spark, root)["claim_snapshot"])
 
 
+def report_region_order(spark, root):
+    """O1: regions by premium, with their place in the report."""
+    return reports.positioned(report_region(spark, root), F.desc("earned_premium"), "region")
+
+
+def report_expense_mix_order(spark, root):
+    """O2: expenses by scope, then falling amount, with their place."""
+    return reports.positioned(report_expense_mix(spark, root), "expense_scope", F.desc("expense_amount"), "expense_category")
+
+
+def report_unreconciled_order(spark, root):
+    """O3: unreconciled claims by the size of the difference, with their place."""
+    return reports.positioned(report_unreconciled(spark, root), F.desc(F.abs("paid_reconciliation_difference")), "claim_id")
+
+
+def header_contract(spark, root):
+    """Which contract the header of each file of a written Bronze tree gives."""
+    place = bronze_files.payment_headers(fx.tables(spark, root))
+    found = bronze_source.header_contract(spark, place, {"v1": PAYMENT_FIELDS, "v2": PAYMENT_V2_FIELDS})
+    return found.select(F.regexp_extract("source_file", "/year=([0-9]+)/", 1).cast("int").alias("year"), "contract")
+
+
+def csv_load(spark, root):
+    """A written Bronze tree read by the CSV source, malformed rows marked, files traced."""
+    rows = bronze_source.read_whole_csv(spark, bronze_files.exposure_files(fx.tables(spark, root)), EXPOSURE_FEED_FIELDS)
+    return rows.select(*EXPOSURE_FEED_FIELDS, F.col(bronze_source.MALFORMED).isNotNull().alias("is_malformed"),
+                       F.regexp_extract("source_file", "/year=([0-9]+)/", 1).cast("int").alias("year"))
+
+
+def publish_roundtrip(spark, root):
+    """Policy rows of two runs published for one date; the reader gets the newer run, although
+    the older one commits last."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/gold-{uuid.uuid4().hex}"
+    older, newer = (publish.claim_generation(spark, folder, END) for _ in range(2))
+    rows = policy_performance(spark, root)
+    publish.check_contract(spark, folder, "policy_performance", rows)
+    for generation, run, df in ((newer, "newer", rows), (older, "older", rows.where("reported_claim_count = 0"))):
+        place = publish.write_generation(df, folder, "policy_performance", END, run)
+        publish.write_manifest(spark, folder, START, END, run, {}, {"policy_performance": place}, generation)
+    return publish.read_gold(spark, folder, "policy_performance", END)
+
+
 def _no_audit(df: DataFrame) -> DataFrame:
     return df.drop("silver_processed_at")
 
@@ -246,6 +292,25 @@ def ibnr_adjusted_result(spark, root):
     return ibnr.adjusted_result(portfolio, _bf(spark, root, START, END))
 
 
+LONG_TAIL_JSON = json.dumps({str(age): (10 + 90 * age // 480) / 100 for age in range(481)})
+
+
+def _long_tail(spark, root):
+    exposure, claims = _bf_inputs(spark, root)
+    a = ibnr.parse_assumptions(BF_ELR, LONG_TAIL_JSON)
+    return ibnr.ibnr_bf(exposure, claims, a, ibnr.pattern_frame(spark, a), START, END, check=False, processed_at=False)
+
+
+def ibnr_long_tail(spark, root):
+    """Reserve by accident month under a development of forty years, so that every month is still open."""
+    return _long_tail(spark, root).drop("reporting_pattern_json")
+
+
+def ibnr_adjusted_long_tail(spark, root):
+    """D7 with a reserve above zero and the expenses of the window: result before IBNR less the reserve."""
+    return ibnr.adjusted_result(_gold(spark, root)["portfolio_performance"], _long_tail(spark, root))
+
+
 def _policy_scd2(t):
     return policy_history.scd2(fx.policy_versions(t))
 
@@ -322,6 +387,35 @@ def snapshot_diff(spark, root):
     return policy_history.snapshot_diff(earlier.drop(*drop), later.drop(*drop))
 
 
+CELL_DATES = ["1999-12-31", END]
+
+
+def _two_snapshots(spark, root, table: str) -> list[DataFrame]:
+    """One Gold table built from the rows that had arrived by each of two dates."""
+    feeds = {name: staged(df, f"arrivals-{name}") for name, df in arrivals.feeds(fx.tables(spark, root)).items()}
+    built = []
+    for end in CELL_DATES:
+        inputs = {name: df.where(F.col("arrival") <= F.lit(end).cast("date")).drop("arrival") for name, df in feeds.items()}
+        built.append(gold.build_gold(inputs, START, end, check=False, processed_at=False)[table].drop("period_start", "period_end"))
+    return built
+
+
+def snapshot_cells(spark, root):
+    """Policy performance valued at two dates, differences cell by cell (D5): exposure, claims,
+    payments and expenses all move between them.  Ratios are left to the cells they follow from."""
+    before, after = (df.drop(*[c for c, t in df.dtypes if t == "double"]) for df in _two_snapshots(spark, root, "policy_performance"))
+    return policy_history.snapshot_cells(before, after, "policy_id")
+
+
+def generation_digest(spark, root):
+    """Order-free digests of the claim snapshot of two dates, and of the first one built again."""
+    first, last = _two_snapshots(spark, root, "claim_snapshot")
+    dated = [(CELL_DATES[0], first), (CELL_DATES[1], last), (CELL_DATES[0], first.orderBy("paid_amount").repartition(3))]
+    keep = ["claim_id", "policy_id", "source_version", "incident_date", "incurred_amount", "ledger_paid_amount", "paid_reconciled"]
+    return reduce(DataFrame.unionByName, [policy_history.generation_digest(df.select(keep)).select(
+        F.lit(number).alias("build"), F.lit(day).alias("valuation_date"), "rows", "digest") for number, (day, df) in enumerate(dated)])
+
+
 def _policy_sums(spark, root):
     """The one aggregation that policy_performance projects."""
     r = gold.resolve(_inputs(spark, root))
@@ -409,6 +503,16 @@ def exposure_missing_days(spark, root):
 
 
 QUERIES: dict[str, Query] = {
+    "header_contract": header_contract,
+    "csv_load": csv_load,
+    "publish_roundtrip": publish_roundtrip,
+    "snapshot_cells": snapshot_cells,
+    "generation_digest": generation_digest,
+    "report_region_order": report_region_order,
+    "report_expense_mix_order": report_expense_mix_order,
+    "report_unreconciled_order": report_unreconciled_order,
+    "ibnr_long_tail": ibnr_long_tail,
+    "ibnr_adjusted_long_tail": ibnr_adjusted_long_tail,
     "backfill_incremental": backfill_incremental,
     "backfill_incremental_policies": backfill_incremental_policies,
     "exposure_missing_days": exposure_missing_days,

@@ -38,6 +38,34 @@ def _lineage(df: DataFrame, day: str) -> DataFrame:
         "load_date", F.lit(day).cast("date"))
 
 
+MALFORMED = "malformed_record"
+
+
+def read_whole_csv(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
+    """``fields`` as text, ``source_file`` and ``malformed_record``: the raw line of a row with too few
+    or too many fields (its known fields are kept), else NULL.  Every file's header line is skipped."""
+    schema = all_strings([*fields, MALFORMED])
+    rows = spark.read.option("header", "true").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED) \
+        .schema(schema).csv(path)
+    return rows.withColumn("source_file", F.col("_metadata.file_path"))
+
+
+def first_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(source_file, header) of every file under ``path`` in one scan, a byte-order mark removed."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("start"), "value",
+        F.monotonically_increasing_id().alias("n"))  # ascends within a file's block
+    return lines.where("start = 0").groupBy("source_file").agg(
+        F.regexp_replace(F.min_by("value", "n"), "^\\x{FEFF}", "").alias("header"))
+
+
+def header_contract(spark: SparkSession, path: str, contracts: dict[str, list[str]]) -> DataFrame:
+    """(source_file, header, contract): the name of the contract whose fields the header gives in order, else NULL."""
+    parsed = F.transform(F.split("header", ","), lambda c: F.regexp_replace(c, '^"(.*)"$', "$1"))
+    name = F.coalesce(*[F.when(parsed == F.array(*map(F.lit, fields)), F.lit(name)) for name, fields in contracts.items()])
+    return first_lines(spark, path).select("source_file", "header", name.alias("contract"))
+
+
 def read_declared_csv(spark: SparkSession, path: str, fields: list[str], day: str) -> DataFrame:
     """Header row skipped; every column text; short rows padded with NULL."""
     raw = (
@@ -59,12 +87,6 @@ def read_policy_changes(spark: SparkSession, root: str, day: str) -> DataFrame:
     return read_declared_csv(spark, feed_path(root, "policy_changes", day), POLICY_CHANGE_FIELDS, day)
 
 
-def first_line(spark: SparkSession, path: str) -> str:
-    """The file's first line with a UTF-8 BOM removed (one row to the driver)."""
-    rows = spark.read.text(path).limit(1).collect()
-    return rows[0]["value"].lstrip("\ufeff") if rows else ""
-
-
 def header_matches(line: str, fields: list[str]) -> bool:
     return next(csv.reader([line]), []) == fields
 
@@ -77,7 +99,7 @@ def read_ledger_lines(spark: SparkSession, root: str, contract: LedgerContract,
     an undeclared header fails the load."""
     text = spark.read.text(feed_path(root, contract.dataset, day))
     # a day has a few files; all must have the header of one contract
-    headers = {first_line(spark, path) for path in text.inputFiles()} or {""}
+    headers = {r["header"] for r in first_lines(spark, feed_path(root, contract.dataset, day)).select("header").distinct().collect()} or {""}
     chosen = [candidate for candidate in (allowed or [contract]) if all(header_matches(h, candidate.fields) for h in headers)]
     if not chosen:
         raise ValueError("Bronze CSV header/order does not match expected schema")

@@ -168,7 +168,73 @@ def _valuations(table: str) -> str:
     return "WITH " + ",".join([FIXTURE_CTES, *[_valued_gold(n, end) for n, end in enumerate(VALUATIONS)]]) + "\n" + body
 
 
+CELL_COLUMNS = ["region", "customer_segment", "age_band", "missing_exposure_attributes", "earned_premium", "earned_exposure",
+                "reported_claim_count", "reported_incurred_amount", "source_paid_amount", "ledger_paid_amount", "direct_claim_expense",
+                "direct_policy_expense", "unreconciled_claim_count", "negative_reserve_claim_count", "direct_expense",
+                "reported_contribution_before_ibnr"]
+CELL_DATES = ["1999-12-31", "2024-12-31"]
+
+
+def _cells() -> str:
+    changed = "\nUNION ALL\n".join(
+        f"SELECT policy_id, 'changed' AS change, '{c}' AS \"column\", CAST(b.{c} AS VARCHAR) AS before, CAST(a.{c} AS VARCHAR) AS after "
+        f"FROM w0_policy b JOIN w1_policy a USING (policy_id) WHERE b.{c} IS DISTINCT FROM a.{c}" for c in CELL_COLUMNS)
+    one_side = "\nUNION ALL\n".join(
+        f"SELECT policy_id, '{change}', NULL, NULL, NULL FROM {here} WHERE policy_id NOT IN (SELECT policy_id FROM {there})"
+        for change, here, there in (("removed", "w0_policy", "w1_policy"), ("added", "w1_policy", "w0_policy")))
+    return _two_dates() + changed + "\nUNION ALL\n" + one_side
+
+
+def _two_dates() -> str:
+    return "WITH " + ",".join([FIXTURE_CTES, *[_valued_gold(n, end) for n, end in enumerate(CELL_DATES)]]) + "\n"
+
+
+def _digests() -> str:
+    columns = sorted(["claim_id", "policy_id", "source_version", "incident_date", "incurred_amount", "ledger_paid_amount", "paid_reconciled"])
+    text = "concat_ws('|', " + ", ".join(f"ifnull(CAST({c} AS VARCHAR), '<null>')" for c in columns) + ")"
+    digit = f"strpos('0123456789abcdef', substr(h, i, 1)) - 1"
+    return _two_dates() + ", builds(build, n) AS (VALUES (0, 0), (1, 1), (2, 0))" + ", hashed AS (" + " UNION ALL ".join(
+        f"SELECT {n} AS n, md5({text}) AS h FROM w{n}_snapshot" for n in (0, 1)) + f""")
+, valued AS (SELECT n, list_sum(list_transform(range(1, 16), lambda i: CAST({digit} AS HUGEINT) * CAST(pow(16, 15 - i) AS HUGEINT))) AS v FROM hashed)
+SELECT CAST(build AS INTEGER) AS build, CASE n WHEN 0 THEN '{CELL_DATES[0]}' ELSE '{CELL_DATES[1]}' END AS valuation_date,
+       count(*) AS rows, CAST(sum(CAST(v AS HUGEINT)) AS DECIMAL(38,0)) AS digest
+FROM builds JOIN valued USING (n) GROUP BY build, n"""
+
+
+PAYMENT_HEADERS = """
+SELECT DISTINCT CAST(year(payment_date) AS INTEGER) AS year,
+       CASE year(payment_date) % 6 WHEN 0 THEN 'v1' WHEN 1 THEN 'v1' WHEN 2 THEN 'v1' WHEN 3 THEN 'v2' END AS contract
+FROM fx_payments"""
+
+CSV_ROWS = """
+SELECT exposure_record_id, policy_id,
+       CASE o_orderkey % 7 WHEN 3 THEN region || ', WEST' WHEN 4 THEN NULL ELSE region END AS region,
+       customer_segment, age_band, CAST(earned_exposure AS VARCHAR) AS earned_exposure,
+       CASE WHEN o_orderkey % 7 <> 1 THEN CAST(earned_premium AS VARCHAR) END AS earned_premium,
+       CASE WHEN o_orderkey % 7 <> 1 THEN CAST(annual_premium AS VARCHAR) END AS annual_premium,
+       o_orderkey % 7 IN (1, 2) AS is_malformed, CAST(year(load_date) AS INTEGER) AS year
+FROM fx_exposure_all"""
+
 ORACLES: dict[str, str] = {
+    "snapshot_cells": _cells(),
+    "generation_digest": _digests(),
+    "header_contract": _with(PAYMENT_HEADERS),
+    "csv_load": _with(CSV_ROWS),
+    "publish_roundtrip": _with("SELECT *, DATE '1995-01-01' AS period_start, DATE '2024-12-31' AS period_end, '2024-12-31' AS as_of_date FROM g_policy", gold_ctes()),
+    "report_region_order": _with("""
+SELECT *, row_number() OVER (ORDER BY earned_premium DESC, region) AS position FROM (
+  SELECT region, count(*) AS policy_count, CAST(sum(earned_premium) AS DECIMAL(38,4)) AS earned_premium,
+         CAST(sum(reported_incurred_amount) AS DECIMAL(38,4)) AS reported_incurred, CAST(sum(direct_expense) AS DECIMAL(38,4)) AS direct_expense,
+         CAST(sum(reported_contribution_before_ibnr) AS DECIMAL(38,4)) AS contribution_before_ibnr
+  FROM g_policy GROUP BY region)""", gold_ctes()),
+    "report_expense_mix_order": _with("""
+SELECT *, row_number() OVER (ORDER BY expense_scope, expense_amount DESC, expense_category) AS position FROM (
+  SELECT expense_scope, expense_category, CAST(sum(expense_amount) AS DECIMAL(38,4)) AS expense_amount
+  FROM g_summary GROUP BY expense_scope, expense_category)""", gold_ctes()),
+    "report_unreconciled_order": _with("""
+SELECT claim_id, policy_id, incurred_amount, paid_amount, ledger_paid_amount, paid_reconciliation_difference, paid_reconciled,
+       row_number() OVER (ORDER BY abs(paid_reconciliation_difference) DESC, claim_id) AS position
+FROM g_snapshot WHERE NOT paid_reconciled""", gold_ctes()),
     "backfill_incremental": _valuations("portfolio"),
     "backfill_incremental_policies": _valuations("policy"),
     "exposure_missing_days": _with(MISSING_DAYS),

@@ -12,12 +12,13 @@ PATTERN = [(0, "0.10"), (1, "0.25"), (2, "0.40"), (3, "0.50"), (4, "0.60"), (5,
            (7, "0.85"), (8, "0.90"), (9, "0.94"), (10, "0.97"), (11, "0.99"), (12, "1.00")]
 PATTERN_JSON = ('{"0": 0.10, "1": 0.25, "2": 0.40, "3": 0.50, "4": 0.60, "5": 0.70, "6": 0.78, '
                 '"7": 0.85, "8": 0.90, "9": 0.94, "10": 0.97, "11": 0.99, "12": 1.00}')
-LAST_AGE = 12
+# A tail of forty years: the share grows by the month, in whole per cent.
+LONG_PATTERN = [(age, f"{(10 + 90 * age // 480) / 100:.2f}") for age in range(481)]
 
 
 def bf_ctes(claims_source: str = "fx_claims", START: str = START, END: str = END, MONTH_END_VALUATION: bool = False,
-            exposure_source: str = "fx_exposure") -> str:
-    values = ", ".join(f"({a}, CAST({p} AS DECIMAL(18,8)))" for a, p in PATTERN)
+            exposure_source: str = "fx_exposure", PATTERN: list[tuple[int, str]] = PATTERN, PATTERN_JSON: str = PATTERN_JSON) -> str:
+    values, LAST_AGE = ", ".join(f"({a}, CAST({p} AS DECIMAL(18,8)))" for a, p in PATTERN), len(PATTERN) - 1
     adj = 0 if MONTH_END_VALUATION else 1
     return f"""
 bf_exposure AS (SELECT DISTINCT policy_id, load_date, earned_premium FROM {exposure_source}),
@@ -120,8 +121,12 @@ SELECT p.valuation_date, g.reported_result_before_ibnr, p.portfolio_ibnr,
        g.reported_result_before_ibnr - p.portfolio_ibnr AS ibnr_adjusted_result
 FROM g_portfolio g, bf_portfolio p"""
 
+LONG_CTES = bf_ctes("fx_claims", GOLD_START, GOLD_END, True, PATTERN=LONG_PATTERN, PATTERN_JSON="")
+LONG_TAIL = ADJUSTED.replace(bf_ctes("fx_claims", GOLD_START, GOLD_END, True), LONG_CTES)
 
 ORACLES: dict[str, str] = {
+    "ibnr_adjusted_long_tail": LONG_TAIL,
+    "ibnr_long_tail": "WITH " + ",".join([FIXTURE_CTES, LONG_CTES]) + "SELECT * EXCLUDE (reporting_pattern_json) FROM bf_monthly",
     "ibnr_premium_month": _with("SELECT * FROM bf_premium"),
     "ibnr_loss_month": _with("SELECT * FROM bf_loss"),
     "ibnr_bf": _with("SELECT * FROM bf_monthly"),
