@@ -21,9 +21,16 @@ OFFSET_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ssXXX"
 ISO_DATE_FORMAT = "yyyy-MM-dd"
 # ISO-8601 instant with a mandatory zone ("Z" or +hh:mm), optional fraction.
 ISO_ZONED_TS = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})$"
+# Every other form of an instant: basic or extended date and time, minutes and seconds optional, any
+# one character between them, offsets up to a day with or without colons and with seconds.
+_TIME = r"(?:[0-9]{2}(?::[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]+)?)?)?|[0-9]{4}(?:[0-9]{2}(?:[.,][0-9]+)?)?)"
+_OFFSET = r"(?:Z|[+-](?:2[0-3]|[01][0-9])(?:(?::[0-5][0-9]){1,2}|(?:[0-5][0-9]){1,2})?)"
+FLEXIBLE_ZONED_TS = rf"^(?:[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{8}})[^0-9]{_TIME}{_OFFSET}$"
 ISO_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 # Positive amount with at most two significant decimals (trailing zeros ok).
 EXACT_MONEY = r"^[+]?([0-9]+(\.[0-9]{0,2}0*)?|\.[0-9]{1,2}0*)$"
+# The same with an exponent.
+SCIENTIFIC = r"^[+]?([0-9]*)(?:[.]([0-9]*))?[eE]([+-]?[0-9]{1,6})$"
 POSITIVE_INT_TEXT = r"^[0-9]+$"
 
 
@@ -55,9 +62,23 @@ def offset_timestamp(name: str | Column) -> Column:
 
 
 def zoned_timestamp(name: str | Column) -> Column:
-    """ISO instant that must carry a zone; fraction allowed; NULL otherwise."""
+    """ISO instant that must carry a zone; fraction allowed; NULL otherwise.  The usual form is parsed
+    at once, the rarer ones by their parts."""
     v = c(name)
-    return F.when(v.rlike(ISO_ZONED_TS), F.try_to_timestamp(v))
+    usual = F.when(v.rlike(ISO_ZONED_TS), F.try_to_timestamp(v))
+    return F.coalesce(usual, F.when(v.rlike(FLEXIBLE_ZONED_TS), _instant_by_parts(v)))
+
+
+def _instant_by_parts(v: Column) -> Column:
+    part = lambda pattern: F.regexp_extract(v, pattern, 1)
+    date = F.regexp_replace(part("^([0-9]{4}-?[0-9]{2}-?[0-9]{2})"), "-", "")
+    time = F.rpad(F.regexp_replace(part("^[0-9]{4}-?[0-9]{2}-?[0-9]{2}.([0-9:]+)"), ":", ""), 6, "0")
+    fraction = F.rpad(part("[.,]([0-9]{1,6})"), 6, "0")
+    local = F.try_to_timestamp(F.concat(date, F.lit(" "), time, F.lit("."), fraction, F.lit("Z")), F.lit("yyyyMMdd HHmmss.SSSSSSXXX"))
+    offset = F.rpad(F.regexp_replace(part("[+-]([0-9:]+)$"), ":", ""), 6, "0")  # no sign before a zone of Z
+    seconds = (F.substring(offset, 1, 2).cast("long") * 3600 + F.substring(offset, 3, 2).cast("long") * 60
+               + F.substring(offset, 5, 2).cast("long")) * F.when(v.rlike("[+][0-9:]+$"), 1).otherwise(-1)
+    return F.timestamp_micros(F.unix_micros(local) - F.when(v.endswith("Z"), 0).otherwise(seconds) * 1_000_000)
 
 
 def tri_state(name: str | Column) -> Column:
@@ -70,11 +91,25 @@ def tri_state(name: str | Column) -> Column:
 
 
 def exact_money(name: str | Column) -> Column:
-    """decimal(18,2) when the text is a positive amount with no more than two
-    decimals (no rounding), else NULL."""
-    v = c(name)
-    amount = v.try_cast("decimal(18,2)")
-    return F.when(v.rlike(EXACT_MONEY) & (amount > 0), amount)
+    """decimal(18,2) when the text is a positive amount with no more than two decimals (no rounding),
+    else NULL.  Underscores between digits and exponents are allowed (``1_000.00``, ``1E+2``)."""
+    v = F.regexp_replace(c(name), "_", "")
+    amount = F.when(v.rlike(EXACT_MONEY), v.try_cast("decimal(18,2)")).when(v.rlike(SCIENTIFIC), _scientific(v))
+    return F.when(amount > 0, amount)
+
+
+def _scientific(v: Column) -> Column:
+    """The value of mantissa and exponent, digit by digit: NULL if it has more than two decimals."""
+    whole, decimals = F.regexp_extract(v, SCIENTIFIC, 1), F.regexp_extract(v, SCIENTIFIC, 2)
+    kept = F.rtrim(F.concat(whole, decimals), F.lit("0"))
+    zeros = F.length(whole) + F.length(decimals) - F.length(kept)
+    scale = F.length(decimals) - F.regexp_extract(v, SCIENTIFIC, 3).cast("int") - zeros  # decimals of the bare digits
+    digits = F.ltrim(kept, F.lit("0"))
+    fits = (F.length(digits) > 0) & (scale <= 2) & (F.length(digits) - scale <= 16)
+    padded = F.lpad(digits, F.greatest(F.length(digits), scale + 1), F.lit("0"))
+    text = F.when(scale <= 0, F.concat(digits, F.repeat(F.lit("0"), F.greatest(-scale, F.lit(0))))).otherwise(
+        F.concat(F.substring(padded, F.lit(1), F.length(padded) - scale), F.lit("."), F.substring(padded, F.length(padded) - scale + 1, scale)))
+    return F.when(fits, text.try_cast("decimal(18,2)"))
 
 
 def positive_int_text(name: str | Column) -> Column:

@@ -253,13 +253,11 @@ def parse_ledger_lines(lines: DataFrame, contract: LedgerContract) -> DataFrame:
     (which made the optimized plan grow multiplicatively)."""
     fields = contract.fields
     schema = ", ".join(f"`{f}` STRING" for f in fields)
-    error = csv_line_error(F.col("value"), len(fields))
     parsed = F.from_csv(F.col("value"), schema, {"escape": '"', "mode": "PERMISSIVE"})
-    raw = lines.select(
-        "value", "source_file", "load_date",
-        error.alias("_parse_error"),
-        F.when(error.isNull(), parsed).alias("_parsed"),
-    )
+    # the error leaves through a generator of its own: its patterns run once per line
+    judged = evaluated_once(lines.select(
+        "value", "source_file", "load_date", csv_line_error(F.col("value"), len(fields)).alias("_parse_error")))
+    raw = judged.select("*", F.when(F.col("_parse_error").isNull(), parsed).alias("_parsed"))
     row = F.struct(F.col("_parse_error"), *[F.col(f"_parsed.`{f}`").alias(f) for f in fields])
     return raw.select(
         F.col("value").alias("raw_record"), "source_file", "load_date", F.inline(F.array(row)),
