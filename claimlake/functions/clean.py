@@ -14,8 +14,8 @@ from ..schemas import FALSE_TOKENS, TRUE_TOKENS
 
 # Characters Python's str.strip() removes (Unicode white space plus the
 # ASCII separators); the ledger feeds strip these, the other feeds spaces only.
-_WS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-_EDGE_WS = rf"^{_WS}+|{_WS}+$"
+WHITE_SPACE = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 OFFSET_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ssXXX"
 ISO_DATE_FORMAT = "yyyy-MM-dd"
@@ -45,7 +45,7 @@ def trimmed(name: str | Column) -> Column:
 
 def stripped_or_null(name: str | Column) -> Column:
     """All-white-space strip, then empty -> NULL (ledger feeds)."""
-    return F.nullif(F.regexp_replace(c(name), _EDGE_WS, ""), F.lit(""))
+    return F.nullif(F.btrim(c(name), F.lit(WHITE_SPACE)), F.lit(""))
 
 
 def try_cast(name: str | Column, type_name: str) -> Column:
@@ -122,7 +122,4 @@ def positive_int_text(name: str | Column) -> Column:
 def iso_utc_text(ts: Column) -> Column:
     """Render an instant the way Python's ``datetime.isoformat`` does for UTC:
     seconds always, microseconds only when non-zero, ``+00:00`` suffix."""
-    base = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(ts, "SSSSSS")
-    return F.when(ts.isNotNull(), F.concat(
-        base, F.when(micros != "000000", F.concat(F.lit("."), micros)).otherwise(F.lit("")), F.lit("+00:00")))
+    return F.concat(F.regexp_replace(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), r"\.000000$", ""), F.lit("+00:00"))

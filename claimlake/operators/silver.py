@@ -340,9 +340,6 @@ def checked_ledger(parsed: DataFrame, contract: LedgerContract) -> DataFrame:
         helpers.append(_category_scope(F.col("expense_category")).alias("_mapped_scope"))
     stage2 = evaluated_once(stage1.select("*", *helpers))
 
-    errors = error_list(_ledger_rules(contract))
-    stage3 = stage2.select("*", errors.alias("_rule_errors"))
-
     out = {f: F.col(f) for f in fields}
     out["amount"] = F.col("_amount").cast("string")
     out[contract.date_field] = F.when(F.col("_txn_date").isNotNull(), date_text)
@@ -350,9 +347,8 @@ def checked_ledger(parsed: DataFrame, contract: LedgerContract) -> DataFrame:
         out[k] = clean.iso_utc_text(F.col(f"_{k}"))
     if "source_version" in fields:
         out["source_version"] = F.col("_version").cast("string")
-    dq = F.when(F.col("_parse_error").isNull(), F.col("_rule_errors")).otherwise(
-        F.concat(F.col("_parse_error"), F.lit(SEPARATOR), F.col("_rule_errors")))
-    return stage3.select(
+    dq = F.concat_ws(SEPARATOR, "_parse_error", error_list(_ledger_rules(contract)))  # a malformed line fails rules too
+    return stage2.select(
         "raw_record", "source_file", *[out[f].alias(f) for f in fields],
         dq.alias("dq_errors"), F.current_timestamp().alias("silver_processed_at"), "load_date",
     )
@@ -367,7 +363,7 @@ def silver_ledger(lines: DataFrame, contract: LedgerContract, header: str | None
     text, then file); distinct rows sharing an id within a load date are all
     quarantined as conflicting."""
     header = header if header is not None else ",".join(contract.fields)
-    body = lines.withColumn("value", strip_bom(F.col("value"))).filter(F.col("value") != F.lit(header))
+    body = evaluated_once(lines.withColumn("value", strip_bom(F.col("value")))).filter(F.col("value") != F.lit(header))
     # Staged, as the three consumers (invalid rows, candidates, metrics) share the parse.
     # The files are also a leaf for the optimizer: without them, constraint inference over
     # the wide rule expressions explodes once the id counts are joined back.

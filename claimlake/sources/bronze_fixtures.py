@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.plan import evaluated_once
 from ..schemas import CLAIM_EVENT_FIELDS, EXPENSE_FIELDS, EXPOSURE_FEED_FIELDS, PAYMENT_FIELDS, PAYMENT_V2_FIELDS
 from . import fixtures as fx
 
@@ -125,7 +126,8 @@ def _ledger_lines(base: DataFrame, fields: list[str], key: Column, day_col: str,
         _line([amount_conflict if f == "amount" else F.col(f) for f in fields]).alias("value"),
         day.alias("load_date"), k)
     lines = originals.unionByName(resent).unionByName(conflicting)
-    return lines.select("value", _file(prefix, dataset, F.col("load_date")).alias("source_file"), "load_date")
+    # a line is rendered once: what reads it must not render it again per use, as a file scan would not
+    return evaluated_once(lines.select("value", _file(prefix, dataset, F.col("load_date")).alias("source_file"), "load_date"))
 
 
 def _amount_plus_one() -> Column:
