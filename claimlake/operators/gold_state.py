@@ -21,7 +21,8 @@ future, so what was merged up to a date lies inside that date's window.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,9 +49,6 @@ class GoldState:
     seen: DataFrame
 
 
-STATE_TABLES = tuple(f.name for f in fields(GoldState))
-
-
 @dataclass
 class Merge:
     """The state after a day, the rows it adds to ``seen`` and what the day violates."""
@@ -126,17 +124,22 @@ def _merged_expenses(state: DataFrame | None, expenses: DataFrame, start: str) -
                                            F.sum("transaction_count").alias("transaction_count"))
 
 
-def advance(state: GoldState | None, day: dict[str, DataFrame], start: str, end: str) -> Merge:
-    """``state`` (None: nothing yet) with the Silver rows of further load dates merged in, up to ``end``."""
+def advance(state: GoldState | None, day: dict[str, DataFrame], start: str, end: str,
+            hold: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> Merge:
+    """``state`` (None: nothing yet) with the Silver rows of further load dates merged in, up to ``end``.
+
+    ``hold`` may write a frame and read it back: the day's new records and the merged tables are used
+    by many checks and tables each."""
     seen = state and state.seen
     claims, claim_clash = _new_records(day["claims_events"], "claims_events", seen)
     payments, payment_clash = _new_records(day["claim_payments"], "claim_payments", seen)
     expenses, expense_clash = _new_records(day["expense_transactions"], "expense_transactions", seen)
+    claims, payments, expenses = hold(claims, "new_claims"), hold(payments, "new_payments"), hold(expenses, "new_expenses")
     exposure = gold.distinct_records(day["daily_exposure"], GOLD_EXPOSURE_FIELDS)
     after = GoldState(
-        claims=_merged_claims(state and state.claims, claims, payments, expenses),
-        policies=_merged_policies(state and state.policies, exposure),
-        expenses=_merged_expenses(state and state.expenses, expenses, start),
+        claims=hold(_merged_claims(state and state.claims, claims, payments, expenses), "state_claims"),
+        policies=hold(_merged_policies(state and state.policies, exposure), "state_policies"),
+        expenses=hold(_merged_expenses(state and state.expenses, expenses, start), "state_expenses"),
         seen=seen)
     today = [df.select(F.lit(name).alias("dataset"), F.col("_key").alias("key"), F.col("_digest").alias("digest"))
              for name, df in (("claims_events", claims), ("claim_payments", payments), ("expense_transactions", expenses))]

@@ -55,17 +55,18 @@ def incremental_gold(spark: SparkSession, silver_root: str, gold_root: str, star
     generation = publish.claim_generation(spark, gold_root, end)
     before = _state_of(spark, gold_root, start, (last - timedelta(days=1)).isoformat()) if last > first else None
     state, seen = before or (None, {})
-    merge = gold_state.advance(state, _silver(spark, silver_root, end if state else start, end), start, end)
-    require_empty(violation_rows(merge.checks))
-
     locations, rows = dict(seen), {}
 
     def write(table: str, df: DataFrame) -> DataFrame:
         locations[table] = publish.write_generation(df, gold_root, table, end, run_id)
         return spark.read.parquet(locations[table])
 
-    after = gold_state.GoldState(*[write(f"state_{t}", getattr(merge.state, t)) for t in ("claims", "policies", "expenses")], seen=None)
+    # The state is written before it is checked: without a manifest no reader sees it.
+    merge = gold_state.advance(state, _silver(spark, silver_root, end if state else start, end), start, end,
+                               hold=lambda df, name: write(name, df) if name.startswith("state_") else staged(df, name))
+    require_empty(violation_rows(merge.checks))
     locations[SEEN + end] = publish.write_generation(merge.seen_today, gold_root, "state_seen", end, run_id)
+    after = merge.state
     built = gold_state.gold_tables(after, start, end)
     for table in GOLD_TABLES:
         out = gold.with_period(built[table], start, end)
@@ -82,10 +83,9 @@ def valuations(deltas: list[tuple[str, dict[str, DataFrame]]], start: str) -> li
     publication): each state is written to the shared folder and the next one starts from the files."""
     state, seen, out = None, None, []
     for end, day in deltas:
-        merge = gold_state.advance(state, day, start, end)
-        today = staged(merge.seen_today, "seen")
-        seen = today if seen is None else seen.unionByName(today)
-        state = gold_state.GoldState(*[staged(getattr(merge.state, t), f"state-{t}") for t in ("claims", "policies", "expenses")], seen)
+        merge = gold_state.advance(state, day, start, end, hold=staged)
+        seen = merge.seen_today if seen is None else seen.unionByName(merge.seen_today)
+        state = gold_state.GoldState(merge.state.claims, merge.state.policies, merge.state.expenses, seen)
         out.append((end, gold_state.gold_tables(state, start, end)))
     return out
 
