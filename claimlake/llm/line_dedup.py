@@ -23,6 +23,7 @@ gives an empty result; other columns pass untouched.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,8 @@ BANDS, ROWS = 10, 4     # a pair at the threshold shares a bucket with probabili
 BLOCK = 256             # lines of a mixed bucket that a task holds, at most two blocks
 BITMAP_BITS = 1 << 24
 CHUNK = 1_000_000       # characters hashed at a time
+COLUMNS = 8_192         # shingles in one matrix product
+GATHERED_CHARS = 8_000_000  # of lines that groups of blocks bring to a task, on average
 DONORS = np.stack([np.random.default_rng(i).permutation(BANDS * ROWS) for i in range(BANDS * ROWS)])  # each bin's order
 
 
@@ -192,38 +195,87 @@ def _bucket_keys(buckets: np.ndarray) -> np.ndarray:
     return band << 32 | buckets.astype(np.int64) & 0xFFFFFFFF
 
 
-def _shingles(line: bytes) -> set[str]:
-    s = line.decode("utf-8", "replace")
-    return {s[i:i + SHINGLE] for i in range(max(len(s) - SHINGLE, 0) + 1)}
+def _packed(lines: list[bytes]) -> list[np.ndarray]:
+    """The shingles of each line as sorted distinct numbers; equal numbers are equal shingles, within one call.
 
-
-def alike(a: set[str], b: set[str]) -> bool:
-    """Whether the exact Jaccard similarity reaches the threshold."""
-    small, large = sorted((len(a), len(b)))
-    if not small or small < SIMILARITY * large:
-        return False
-    both = len(a & b)
-    return both >= SIMILARITY * (small + large - both)
+    The characters met are numbered, and eight numbers below 256 make one long.  With more
+    characters than that the shingles themselves are numbered."""
+    texts = [line.decode("utf-8", "replace") for line in lines]
+    own = np.fromiter(map(len, texts), np.int64, len(texts))
+    sizes = np.maximum(own, SHINGLE)
+    ends = np.cumsum(sizes)
+    codes = np.frombuffer("".join([t.ljust(SHINGLE, "\0") for t in texts]).encode("utf-32-le", "surrogatepass"), "<u4") + np.uint32(1)
+    for i in np.flatnonzero(own < SHINGLE).tolist():
+        codes[ends[i] - SHINGLE + own[i]:ends[i]] = 0  # no character has this number
+    met, number = np.unique(codes, return_inverse=True)
+    starts = max(len(codes) - SHINGLE + 1, 0)
+    if len(met) <= 256:
+        value = np.zeros(starts, np.uint64)
+        for i in range(SHINGLE):
+            value = value << np.uint64(8) | number[i:i + starts].astype(np.uint64)
+    else:
+        windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(codes, SHINGLE)) if starts else np.zeros((0, SHINGLE), "<u4")
+        value = np.unique(windows.view(f"V{4 * SHINGLE}").ravel(), return_inverse=True)[1].astype(np.uint64)
+    return [np.unique(value[end - size:end - SHINGLE + 1]) for end, size in zip(ends.tolist(), sizes.tolist())]
+
+
+def _reaches(both, a, b):
+    """Whether sets of a and b shingles, ``both`` of them common, reach the similarity."""
+    return both >= SIMILARITY * (a + b - both)
+
+
+def _alike_matrix(sets: list[np.ndarray]) -> np.ndarray:
+    """Which of the lines are alike, by the exact sizes of all their intersections (matrix products over shared shingles).
+
+    The diagonal has no meaning."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    met, number, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = np.cumsum(times > 1) - 1
+    line = np.repeat(np.arange(len(sets)), sizes)[times[number] > 1]
+    column = column[number[times[number] > 1]]
+    order = np.argsort(column, kind="stable")
+    line, column = line[order], column[order]
+    both = np.zeros((len(sets), len(sets)))
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, (first, first + COLUMNS))
+        held = np.zeros((len(sets), min(COLUMNS, int(column[b - 1]) + 1 - first)), np.float32)
+        held[line[a:b], column[a:b] - first] = 1
+        both += held @ held.T  # counts up to COLUMNS, exact in this type
+    return _reaches(both, sizes[:, None], sizes[None, :])
 
 
 def _across(rows: pd.DataFrame) -> pd.DataFrame:
-    """Links between lines of different components in one or two blocks: a spanning forest of them."""
-    lines, second = rows["line"].tolist(), rows["second"].tolist()
-    sets = [_shingles(w) for w in rows["words"]]
-    label = rows["component"].tolist()
-    one_block = not any(second)
-    order = sorted(range(len(lines)), key=lambda i: len(sets[i]))
-    out = []
-    for n, i in enumerate(order):
-        most = len(sets[i]) / SIMILARITY
-        for j in order[n + 1:]:
-            if len(sets[j]) > most:
-                break  # longer ones cannot be alike either
-            if label[i] != label[j] and (one_block or second[i] != second[j]) and alike(sets[i], sets[j]):
-                out.append((lines[i], lines[j]))
-                old, new = label[j], label[i]
-                label = [new if x == old else x for x in label]
-    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+    """Links between lines of different components, per group of one or two blocks: a spanning forest of each."""
+    rows = rows.sort_values(["low", "high", "i", "j"], kind="stable")
+    keys = rows[["low", "high", "i", "j"]].to_numpy(np.int64)
+    cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+    lines, second = rows["line"].to_numpy(np.int64), rows["second"].to_numpy(bool)
+    label, words = rows["component"].to_numpy(np.int64).copy(), rows["words"].tolist()
+    out = [np.zeros((0, 2), np.int64)]
+    for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(rows)]):
+        near = _alike_matrix(_packed(words[start:end]))
+        if second[start:end].any():
+            near &= second[start:end, None] != second[None, start:end]
+        a, b = np.nonzero(np.triu(near, 1))
+        a, b = a + start, b + start
+        while len(open_ := np.flatnonzero(label[a] != label[b])):
+            a, b = a[open_], b[open_]
+            out.append(np.array([[lines[a[0]], lines[b[0]]]]))
+            of = label[start:end]
+            of[of == label[b[0]]] = label[a[0]]
+    links = np.concatenate(out)
+    return pd.DataFrame({"a": links[:, 0], "b": links[:, 1]})
+
+
+def _joined(sets: DataFrame, more: DataFrame) -> DataFrame:
+    """The components ``sets`` (node, component), joined by the links ``more``: a search over components, not lines."""
+    of_a, of_b = (sets.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in ("a", "b"))
+    edges = more.join(of_a, "a", "left").join(of_b, "b", "left") \
+        .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    merged = staged(connected_components(edges, "line-sets"), "line-merged")
+    lone = merged.select("node", F.col("node").alias("component")).join(sets, "node", "left_anti")
+    return sets.union(lone).join(merged.select(F.col("node").alias("component"), F.col("component").alias("least")), "component", "left") \
+        .select("node", F.coalesce("least", "component").alias("component"))
 
 
 def line_components(hashes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
@@ -243,14 +295,17 @@ def line_components(hashes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def verify(x: pd.Series, y: pd.Series) -> pd.Series:
-        held: dict[bytes, set[str]] = {}  # a line's set serves all its pairs in the batch
+        place: dict[bytes, int] = {}  # a line's set serves all its pairs in the batch
+        at = [(place.setdefault(a, len(place)), place.setdefault(b, len(place))) for a, b in zip(x, y)]
+        sets = _packed(list(place))
 
-        def of(line: bytes) -> set[str]:
-            if line not in held:
-                held[line] = _shingles(line)
-            return held[line]
+        def linked(a: np.ndarray, b: np.ndarray) -> bool:
+            if min(len(a), len(b)) < SIMILARITY * max(len(a), len(b)):
+                return False
+            each = np.sort(np.concatenate([a, b]))
+            return bool(_reaches(np.count_nonzero(each[1:] == each[:-1]), len(a), len(b)))
 
-        return pd.Series([alike(of(a), of(b)) for a, b in zip(x, y)], dtype=bool)
+        return pd.Series([linked(sets[a], sets[b]) for a, b in at], dtype=bool)
 
     links = staged(pairs.join(mine, "line").join(other, "least").where(verify("x", "y"))
                    .select(F.col("line").alias("a"), F.col("least").alias("b")), "line-links")
@@ -271,9 +326,13 @@ def line_components(hashes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
             F.least(j, F.col("block")).alias("i"), F.greatest(j, F.col("block")).alias("j"), (F.col("block") > j).alias("second"))))
         open_ = gathered.join(blocks, ["low", "high"]).withColumn("block", block).join(texts, "line") \
             .withColumn("meet", meet).select("low", "high", "line", "component", "words", "meet.*")
-        more = staged(open_.groupBy("low", "high", "i", "j").applyInPandas(lambda rows: _across(rows), "a long, b long"), "more-links")
+        # whole groups of blocks, several to a task
+        chars = gathered.join(blocks, ["low", "high"]).join(texts, "line").agg(F.sum(F.length("words") * F.col("blocks"))).first()[0]
+        tasks = max(1, math.ceil(chars / GATHERED_CHARS))
+        task = F.pmod(F.xxhash64("low", "high", "i", "j"), F.lit(tasks))
+        more = staged(open_.groupBy(task.alias("task")).applyInPandas(lambda rows: _across(rows), "a long, b long"), "more-links")
         if more.take(1):
-            sets = staged(connected_components(links.union(more), "line-sets"), "line-components")
+            sets = staged(_joined(sets, more), "line-components")
     return sets.select(F.col("node").alias("line"), "component")
 
 

@@ -45,3 +45,15 @@ def clashing(df):
     return df.withColumns({c: F.lit(f"own {c}") for c in
                            ("row", "key", "quality", "spans", "word", "component", "code", "band", "place", "line_row",
                             "row_number", "secret_row", "size", "shard", "group", "n", "value", "start", "ids")})
+
+
+def lines(text):
+    """(place, line) of the lines with a word: A-Z in lower case, white space as single spaces."""
+    for place, line in enumerate((text or "").split("\n")):
+        if found := words(line):
+            yield place, " ".join(found).translate({c: c + 32 for c in range(65, 91)})
+
+
+def shingles(line, size=8):
+    """The character shingles of a line; a shorter line is one."""
+    return {line[i:i + size] for i in range(max(len(line) - size, 0) + 1)}

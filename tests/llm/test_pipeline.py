@@ -5,7 +5,7 @@ import re
 
 import __spark_entry__ as E
 import corpus_pipeline
-from claimlake.llm import line_dedup, secret_scan
+from claimlake.llm import secret_scan
 from claimlake.llm.common import staged
 from tests.llm import frames
 from tests.llm.test_corpus_operators import brute_fingerprint
@@ -25,7 +25,7 @@ def test_stages(spark):
     start, good, lines, single, clean = steps
     assert {r["doc_id"] for r in start if len(frames.words(r["text"])) < 20}.isdisjoint(r["doc_id"] for r in good)
     # no two lines that are left are equal, and every document keeps its other lines
-    seen = [line for r in lines for _, line in line_dedup._taking_part(r["text"].encode())]
+    seen = [line for r in lines for _, line in frames.lines(r["text"])]
     assert len(seen) == len(set(seen))
     # one document of each component, the smallest id
     prints = {r["doc_id"]: brute_fingerprint(r["text"]) for r in lines}
