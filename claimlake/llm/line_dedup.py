@@ -42,7 +42,7 @@ BLOCK = 256             # lines of a mixed bucket that a task holds, at most two
 BITMAP_BITS = 1 << 24
 CHUNK = 1_000_000       # characters hashed at a time
 COLUMNS = 8_192         # shingles in one matrix product
-GATHERED_CHARS = 8_000_000  # of lines that groups of blocks bring to a task, on average
+GATHERED_CHARS = 2_000_000  # of lines that groups of blocks bring to a task, on average
 DONORS = np.stack([np.random.default_rng(i).permutation(BANDS * ROWS) for i in range(BANDS * ROWS)])  # each bin's order
 
 
@@ -216,7 +216,13 @@ def _packed(lines: list[bytes]) -> list[np.ndarray]:
     else:
         windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(codes, SHINGLE)) if starts else np.zeros((0, SHINGLE), "<u4")
         value = np.unique(windows.view(f"V{4 * SHINGLE}").ravel(), return_inverse=True)[1].astype(np.uint64)
-    return [np.unique(value[end - size:end - SHINGLE + 1]) for end, size in zip(ends.tolist(), sizes.tolist())]
+    return [_distinct(value[end - size:end - SHINGLE + 1]) for end, size in zip(ends.tolist(), sizes.tolist())]
+
+
+def _distinct(numbers: np.ndarray) -> np.ndarray:
+    """Sorted, each once."""
+    each = np.sort(numbers)
+    return each[np.concatenate([[True], each[1:] != each[:-1]])]
 
 
 def _reaches(both, a, b):
@@ -280,9 +286,10 @@ def _joined(sets: DataFrame, more: DataFrame) -> DataFrame:
 
 def line_components(hashes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """(line, component) of the line hashes that are alike to another one."""
+    band = [f"b{k}" for k in range(BANDS)]  # plain columns: a hash aggregate holds no arrays
     each = hashes.select(F.posexplode("line").alias("i", "line"), "buckets") \
-        .select("line", F.slice("buckets", F.col("i") * BANDS + 1, BANDS).alias("buckets"))
-    distinct = staged(each.groupBy("line").agg(F.first("buckets").alias("buckets")), "lines")
+        .select("line", *[F.get("buckets", F.col("i") * BANDS + k).alias(b) for k, b in enumerate(band)])
+    distinct = staged(each.groupBy("line").agg(*[F.first(b).alias(b) for b in band]).select("line", F.array(*band).alias("buckets")), "lines")
     of_bucket = F.col("band").cast("long") * (1 << 32) + F.col("b").bitwiseAND(F.lit(0xFFFFFFFF))
     shared = staged(
         distinct.select("line", F.posexplode("buckets").alias("band", "b")).select("line", of_bucket.alias("bucket"))
