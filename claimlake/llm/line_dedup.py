@@ -35,21 +35,17 @@ from pyspark.sql import functions as F
 
 from claimlake.llm.common import connected_components, free_name, staged, tune
 
-SHINGLE = 8             # characters
+SHINGLE = 8             # characters, a power of two
 SIMILARITY = 0.8
 BANDS, ROWS = 10, 4     # a pair at the threshold shares a bucket with probability 0.995
 BLOCK = 256             # lines of a mixed bucket that a task holds, at most two blocks
 BITMAP_BITS = 1 << 24
-CHUNK = 1_000_000       # characters hashed at a time
+CHUNK = 100_000         # characters hashed at a time
 COLUMNS = 8_192         # shingles in one matrix product
 GATHERED_CHARS = 2_000_000  # of lines that groups of blocks bring to a task, on average
 DONORS = np.stack([np.random.default_rng(i).permutation(BANDS * ROWS) for i in range(BANDS * ROWS)])  # each bin's order
 
 
-def normalised(line: bytes) -> bytes:
-    return b" ".join(line.lower().split())
-
-
 def _signatures(lines: list[str]) -> np.ndarray:
     """One-permutation MinHash: BANDS * ROWS bins; an empty bin borrows from the first full one in an order of its own.
 
@@ -59,10 +55,11 @@ def _signatures(lines: list[str]) -> np.ndarray:
     sizes = np.fromiter(map(len, lines), np.int64, len(lines))
     codes = np.frombuffer("".join(lines).encode("utf-32-le"), "<u4").astype(np.uint64)
     n = len(codes) - SHINGLE + 1
-    value = np.zeros(max(n, 0), np.uint64)
-    for i in range(SHINGLE):
-        value *= np.uint64(0x9E3779B97F4A7C15)
-        value += codes[i:i + n]
+    # a polynomial in the characters of each shingle, from those of its halves
+    value, width, factor = codes, 1, 0x9E3779B97F4A7C15
+    while width < SHINGLE:
+        value = value[:-width] * np.uint64(factor) + value[width:]
+        width, factor = 2 * width, factor * factor % (1 << 64)
     value ^= value >> np.uint64(32)
     value *= np.uint64(0xD6E8FEB86659FD93)
     value ^= value >> np.uint64(29)
@@ -108,8 +105,8 @@ def _bands_of(lines: list[str]) -> np.ndarray:
 
 
 def _taking_part(text: bytes | None) -> Iterator[tuple[int, bytes]]:
-    for place, line in enumerate(text.split(b"\n") if text is not None else ()):
-        if clean := normalised(line):
+    for place, line in enumerate(text.lower().split(b"\n") if text is not None else ()):
+        if clean := b" ".join(line.split()):
             yield place, clean
 
 
