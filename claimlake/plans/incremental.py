@@ -42,7 +42,7 @@ def _state_of(spark: SparkSession, gold_root: str, start: str, day: str) -> tupl
 
 
 def _silver(spark: SparkSession, silver_root: str, start: str, end: str) -> dict[str, DataFrame]:
-    return {name: history.silver_history(spark, silver_root, name, start, end, merge_schema=(name == "claim_payments"))
+    return {name: history.silver_history(spark, silver_root, name, start, end)
             for name in SILVER_DATASETS}
 
 

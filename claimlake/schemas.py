@@ -130,3 +130,27 @@ def payments_v2(methods: tuple[str, ...]) -> LedgerContract:
         PAYMENTS.required, PAYMENTS.upper_fields + ["payment_method"], "payments",
         payment_methods=tuple(methods),
     )
+
+
+def _typed(fields: list[str], types: dict[str, T.DataType], more: list[str]) -> T.StructType:
+    """The Silver columns of a feed in file order, all nullable; a field without a type of its own is text."""
+    return T.StructType([T.StructField(name, types.get(name, T.StringType()), True) for name in fields + more])
+
+
+_SILVER_TYPES = {
+    "source_version": T.IntegerType(), "fraud_score": T.IntegerType(), "manual_review_required": T.BooleanType(),
+    "earned_exposure": EXPOSURE, "earned_premium": PREMIUM,
+    **{name: MONEY for name in ("incurred_amount", "paid_amount", "annual_premium", "amount")},
+    **{name: T.DateType() for name in ("incident_date", "reported_date", "payment_date", "expense_date", "load_date")},
+    **{name: T.TimestampType() for name in ("source_updated_at", "arrival_timestamp", "created_at", "updated_at", "silver_processed_at")},
+}
+_LOADED = ["source_file", "silver_processed_at"]
+
+#: What the Silver loads write, per dataset, with ``load_date`` from the folder.  Payments have the
+#: newest contract: a day loaded under the first one reads as null in the columns added since.
+SILVER_SCHEMAS = {
+    "claims_events": _typed(CLAIM_EVENT_FIELDS, _SILVER_TYPES, _LOADED + ["load_date"]),
+    "daily_exposure": _typed(EXPOSURE_FEED_FIELDS, _SILVER_TYPES, _LOADED + ["region_quality_flag", "load_date"]),
+    "claim_payments": _typed(PAYMENT_V2_FIELDS, _SILVER_TYPES, _LOADED + ["load_date"]),
+    "expense_transactions": _typed(EXPENSE_FIELDS, _SILVER_TYPES, _LOADED + ["load_date"]),
+}

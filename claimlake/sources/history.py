@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import month_number, window
+from ..schemas import SILVER_SCHEMAS
 
 
 def date_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
@@ -68,12 +69,15 @@ def require_complete(spark: SparkSession, root: str, dataset: str, start: str, e
 
 
 def silver_history(spark: SparkSession, silver_root: str, dataset: str, start: str, end: str,
-                   check: bool = True, merge_schema: bool = False) -> DataFrame:
+                   check: bool = True) -> DataFrame:
     """The dataset's Silver rows for [start, end] with ``load_date`` as a
-    column; partition pruning restricts the scan to the window."""
+    column; partition pruning restricts the scan to the window.
+
+    A known dataset is read by its declared schema: no file is opened to learn
+    its columns, and days of every contract version come in one shape."""
     root = f"{silver_root.rstrip('/')}/{dataset}"
     if check:
         require_complete(spark, root, dataset, start, end)
-    reader = spark.read.option("mergeSchema", "true") if merge_schema else spark.read
+    reader = spark.read.schema(SILVER_SCHEMAS[dataset]) if dataset in SILVER_SCHEMAS else spark.read
     df = reader.option("basePath", root).parquet(window_folders(root, start, end))
     return df.filter(F.col("load_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from claimlake.operators import reports
 from claimlake.plans import jobs, publish, tables
-from claimlake.schemas import CLAIM_EVENT_FIELDS, EXPENSE_FIELDS, EXPOSURE_FEED_FIELDS, PAYMENT_FIELDS
+from claimlake.schemas import CLAIM_EVENT_FIELDS, EXPENSE_FIELDS, EXPOSURE_FEED_FIELDS, PAYMENT_FIELDS, SILVER_SCHEMAS, payments_v2
 from claimlake.sources import history
 
 DAYS = ["2026-01-01", "2026-01-02"]
@@ -128,6 +128,33 @@ def test_missing_partition_is_reported(spark, lake):
         history.require_complete(spark, f"{roots['silver']}/claims_events", "claims_events", DAYS[0], "2026-01-03")
 
 
+def test_declared_schemas_are_what_the_loads_write(spark, lake):
+    roots, _ = lake
+    for dataset, declared in SILVER_SCHEMAS.items():
+        for day in DAYS:
+            found = spark.read.parquet(publish.partition_path(roots["silver"], dataset, day)).schema
+            want = {f.name: f.dataType for f in declared if f.name not in ("load_date", "payment_method")}
+            assert {f.name: f.dataType for f in found} == want, (dataset, day)
+
+
+def test_days_of_both_payment_contracts_in_one_shape(spark, lake):
+    """A day loaded under the first contract has no payment_method; no footer is opened to find that out."""
+    bronze, silver = tempfile.mkdtemp(prefix="claimlake-v2b-"), tempfile.mkdtemp(prefix="claimlake-v2s-")
+    v2 = payments_v2(("EFT",))
+    line = "PAY-{},CLM-1,POL-1,{day},INDEMNITY,CLAIMANT,1,CAD,E,2,T,{day}T06:00:00Z,{day}T06:00:00Z"
+    write(bronze, "claim-payments", "claim_payments", DAYS[0], PAYMENT_FIELDS, [line.format(1, day=DAYS[0])])
+    write(bronze, "claim-payments", "claim_payments", DAYS[1], v2.fields, [line.format(2, day=DAYS[1]) + ",EFT", line.format(3, day=DAYS[1]) + ","])
+    for day in DAYS:
+        jobs.load_ledger(spark, bronze, silver, day, jobs.PAYMENTS, allowed=[jobs.PAYMENTS, v2])
+    first = spark.read.parquet(publish.partition_path(silver, "claim_payments", DAYS[0])).columns
+    assert "payment_method" not in first
+    rows = history.silver_history(spark, silver, "claim_payments", DAYS[0], DAYS[1])
+    assert rows.schema.names == SILVER_SCHEMAS["claim_payments"].names
+    assert sorted((r["payment_id"], r["payment_method"]) for r in rows.collect()) == [("PAY-1", None), ("PAY-2", "EFT"), ("PAY-3", None)]
+    only_first = history.silver_history(spark, silver, "claim_payments", DAYS[0], DAYS[0])
+    assert [r["payment_method"] for r in only_first.collect()] == [None]
+
+
 def test_gold_contract_guard(spark, lake):
     roots, _ = lake
     with pytest.raises(ValueError, match="schema migration"):
