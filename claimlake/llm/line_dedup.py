@@ -378,7 +378,7 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
     _, gone = removed_lines(rows.select(F.col(row).alias("row"), key, text), key, text)
     places = free_name(rows, "places")
     gone = gone.select(F.col("row").alias(row), F.col("places").alias(places))
-    joined = rows.join(gone, row, "left")
+    joined = rows.join(gone.hint("merge"), row, "left")  # both grow with the corpus: a shuffle at every size
     lines = F.split(F.col(text), "\n", -1)
     left = F.filter(F.transform(lines, lambda line, i: F.when(~F.array_contains(places, i), line)), lambda line: line.isNotNull())
     some = F.col(places).isNotNull()

@@ -223,4 +223,5 @@ def keep_first(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     found = near_duplicates(rows.withColumn(whole, F.struct(F.col(key).isNull().alias("a"), F.col(key).alias("b"), F.col(number).alias("c"))),
                             key=whole, **options)
     kept = staged(found.where(F.col("key") == F.col("component")).select(F.col("key")["c"].alias("kept_row")), "kept")
-    return rows.join(kept, rows[number] == kept["kept_row"], "left_semi").select(*docs.columns)
+    # both grow with the corpus: a shuffle at every size
+    return rows.join(kept.hint("merge"), rows[number] == kept["kept_row"], "left_semi").select(*docs.columns)
