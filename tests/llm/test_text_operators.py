@@ -69,6 +69,31 @@ def test_plain_prose_is_kept(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3]
 
 
+SCRIPTS = {
+    "zh": "我们 昨天 一起 去 图书馆 看书 ， 然后 在 附近 的 餐厅 吃 晚饭 。 老师 说 这个 城市 的 历史 很 长 ， 每年 有 许多 游客 来 这里 参观 古老 的 建筑 。",
+    "ja": "私たち は 昨日 図書館 で 本 を 読んで から 近く の 食堂 で 夕食 を 食べました 。 毎年 多く の 観光客 が 古い 建物 や 博物館 を 見 に 来ます 。",
+    "ko": "우리는 어제 함께 도서관에 가서 책을 읽고 근처 식당에서 저녁을 먹었다 . 선생님은 이 도시의 역사가 매우 길다고 말씀하셨다 . "
+          "해마다 많은 관광객이 오래된 건물과 박물관을 보러 온다 . 날씨가 좋으면 아이들은 공원에서 논다 .",
+    "hi": "हम कल साथ में पुस्तकालय गए और फिर पास के भोजनालय में रात का खाना खाया । अध्यापक ने कहा कि इस शहर का इतिहास बहुत लंबा है ।",
+    "th": "เมื่อวาน เรา ไป ห้องสมุด ด้วยกัน เพื่อ อ่าน หนังสือ แล้ว กิน อาหาร เย็น ที่ ร้าน ใกล้ ๆ ครู บอก ว่า ประวัติศาสตร์ ของ เมือง นี้ ยาว มาก",
+    "ru": "Вчера мы вместе ходили в библиотеку читать книги, а потом ужинали в соседнем ресторане. Учитель сказал, что история этого "
+          "города очень длинная, и каждый год многие туристы приезжают посмотреть старые здания.",
+    "ar": "ذهبنا أمس معا إلى المكتبة لقراءة الكتب ثم تناولنا العشاء في مطعم قريب . قال المعلم إن تاريخ هذه المدينة طويل جدا وفي كل عام "
+          "يأتي كثير من السياح لمشاهدة المباني القديمة والمتاحف .",
+}
+
+
+def test_plain_prose_of_other_scripts_is_kept(spark):
+    broken = " ".join(SCRIPTS["ru"].encode().decode("latin-1").split())     # read in a wrong encoding
+    texts = [(text, lang) for lang, text in SCRIPTS.items()] + [(text, None) for text in SCRIPTS.values()]
+    data = [(i, text, lang, "src", len(text)) for i, (text, lang) in enumerate(texts)]
+    data += [(90, broken, "en", "src", len(broken)), (91, SCRIPTS["zh"], "en", "src", 9), (92, "我 " * 60, "zh", "src", 120)]
+    kept = quality.keep_good(frames.frame(spark, data), vocabulary("piece_bpe_32k.model"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(len(texts)))
+    assert [quality.script(t.encode()) for t in SCRIPTS.values()] == ["cjk", "cjk", "hangul", "indic", "thai", None, None]
+    assert quality.script("plain words with 我".encode()) is None and quality.script(b"\xff\xfe") is None
+
+
 def test_language_model(spark, docs, nothing):
     rows = lm_score.scored(docs).collect()
     data = frames.rows()
