@@ -104,8 +104,12 @@ def fold(hexed: Column, table: Column) -> Column:
 
 
 def token_ids(hexed: Column, table: Column) -> Column:
-    """The ids of a word given as hex bytes."""
-    return F.transform(fold(hexed, table), lambda token: _rank(table, token))
+    """The ids of a word given as hex bytes.
+
+    The table is bound to one variable for the whole expression: each mention of a literal
+    would be a copy of its own in every plan that the driver keeps, and in its printed form."""
+    return F.aggregate(F.array(table), F.array().cast("array<int>"), lambda _, bound: F.transform(
+        fold(hexed, bound), lambda token: _rank(bound, token)))
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> bytes:
