@@ -13,6 +13,11 @@ Dimension joins against ``nation``/``region`` are left to the planner: both
 tables have a fixed size by specification and Spark's size estimate from the
 Parquet footers decides the broadcast.  Customer and orders grow with the
 data and are joined with shuffles.
+
+The large tables are dealt out once, by the text key that the feeds carry
+(claim or policy), before they are joined: later groupings and joins by that
+key find their rows together and shuffle nothing again.  The number of parts
+follows the row count, so a task's share does not grow with the data.
 """
 
 from __future__ import annotations
@@ -35,6 +40,8 @@ TABLES = (
 WINDOW_START = "1995-01-01"
 WINDOW_END = "2024-12-31"
 
+ROWS_A_PART = 100_000  # of a base table
+
 
 @dataclass
 class Tables:
@@ -54,6 +61,13 @@ class Tables:
             return frames[name]
         raise AttributeError(name)
 
+    def parts(self, name: str) -> int:
+        """Parts that a table is dealt out to, by its row count (from the Parquet footers)."""
+        counted = self.__dict__.setdefault("_parts", {})
+        if name not in counted:
+            counted[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet").count() // ROWS_A_PART + 1
+        return counted[name]
+
 
 _OPEN: dict[tuple[int, str], Tables] = {}
 
@@ -116,9 +130,10 @@ def policies(t: Tables) -> DataFrame:
 @_derived
 def exposure_all(t: Tables) -> DataFrame:
     """Every order becomes one earned policy-day, duplicates included."""
-    o = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    p = policies(t)
-    return o.join(p, o.o_custkey == p.c_custkey).select(
+    n = t.parts("orders")
+    o = t.orders.where("o_custkey IS NOT NULL").select(
+        policy_key(F.col("o_custkey")).alias("policy_id"), "o_orderkey", "o_totalprice", "o_orderdate").repartition(n, "policy_id")
+    return o.join(policies(t).where("c_custkey IS NOT NULL").repartition(n, "policy_id"), "policy_id").select(
         F.concat(F.lit("EXR-"), F.col("o_orderkey").cast("string")).alias("exposure_record_id"),
         "policy_id",
         F.col("o_orderdate").cast("date").alias("load_date"),
@@ -156,21 +171,24 @@ def exposure(t: Tables) -> DataFrame:
 @_derived
 def claim_events(t: Tables) -> DataFrame:
     """Every line item is one version of the claim opened for its order."""
-    li = t.lineitem.select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+    n = t.parts("lineitem")
+    li = t.lineitem.where("l_orderkey IS NOT NULL").select(
+        claim_key(F.col("l_orderkey")).alias("claim_id"), "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate",
-    )
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    ).repartition(n, "claim_id")
+    o = t.orders.where("o_orderkey IS NOT NULL").select(
+        claim_key(F.col("o_orderkey")).alias("claim_id"), policy_key(F.col("o_custkey")).alias("policy_id"), "o_orderdate").repartition(n, "claim_id")
     paid = (
         F.when(F.col("l_returnflag") == "N", F.lit(0.0))
         .when(F.pmod(F.col("l_partkey"), F.lit(97)) == 0, F.col("l_extendedprice") + F.lit(10.0))
         .otherwise(F.col("l_quantity"))
     )
-    return li.join(o, li.l_orderkey == o.o_orderkey).select(
-        F.concat_ws("-", F.lit("EVT"), F.col("l_orderkey").cast("string"),
+    order_key = F.substring("claim_id", 5, 20).cast("bigint")
+    return li.join(o, "claim_id").select(
+        F.concat_ws("-", F.lit("EVT"), order_key.cast("string"),
                     F.col("l_linenumber").cast("string")).alias("event_id"),
-        claim_key(F.col("l_orderkey")).alias("claim_id"),
-        policy_key(F.col("o_custkey")).alias("policy_id"),
+        "claim_id",
+        "policy_id",
         F.when(F.col("l_linenumber") == 1, "INSERT").otherwise("UPDATE").alias("operation"),
         F.col("l_linenumber").cast("int").alias("source_version"),
         F.col("l_shipdate").cast("timestamp").alias("source_updated_at"),
@@ -179,7 +197,7 @@ def claim_events(t: Tables) -> DataFrame:
         F.when(F.col("l_linestatus") == "F", "CLOSED").otherwise("OPEN").alias("claim_status"),
         F.col("l_extendedprice").cast(MONEY).alias("incurred_amount"),
         paid.cast(MONEY).alias("paid_amount"),
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+        order_key.alias("l_orderkey"), "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
         "l_returnflag", "l_linestatus", "l_shipdate", "o_orderdate",
     )
 
@@ -194,29 +212,38 @@ _CLAIM_COLUMNS = [
 def claims(t: Tables) -> DataFrame:
     """One event per (claim, version): the source repeats some line numbers,
     so keep the most recent line by a total order over the line's fields."""
+    return _version_rows(t, _CLAIM_COLUMNS)
+
+
+def _version_rows(t: Tables, columns: list[str]) -> DataFrame:
     order = F.struct(
         F.col("source_updated_at"), F.col("incurred_amount"), F.col("l_partkey"),
         F.col("l_suppkey"), F.col("l_quantity"), F.col("l_returnflag"), F.col("l_linestatus"),
     )
+    keys = ["claim_id", "source_version"]
     return (
         claim_events(t)
-        .groupBy("claim_id", "source_version")
-        .agg(F.max_by(F.struct(*_CLAIM_COLUMNS), order).alias("_row"))
-        .select("_row.*")
+        .groupBy(*keys)
+        .agg(F.max_by(F.struct(*[c for c in columns if c not in keys]), order).alias("_row"))
+        .select(*[c if c in keys else f"_row.{c}" for c in columns])
     )
 
 
-@_derived
-def latest_claims(t: Tables) -> DataFrame:
+def _latest_rows(versions: DataFrame, columns: list[str]) -> DataFrame:
     return (
-        claims(t)
+        versions
         .groupBy("claim_id")
-        .agg(F.max_by(F.struct(*_CLAIM_COLUMNS),
+        .agg(F.max_by(F.struct(*[c for c in columns if c != "claim_id"]),
                       F.struct("source_version", "source_updated_at")).alias("_row"))
-        .select("_row.*")
+        .select(*[c if c == "claim_id" else f"_row.{c}" for c in columns])
     )
 
 
+@_derived
+def latest_claims(t: Tables) -> DataFrame:
+    return _latest_rows(claims(t), _CLAIM_COLUMNS)
+
+
 @_derived
 def payments(t: Tables) -> DataFrame:
     """One indemnity payment per paid claim; every fifth version pays one
@@ -264,14 +291,18 @@ def expenses(t: Tables) -> DataFrame:
     """Expenses from events, one per event.  A CLAIM expense attaches to the policy's lowest
     claim id, and to the policy alone when that has no claim; events of an unknown type, and
     direct costs of an unknown policy, go to the portfolio."""
-    ev = t.events.select("event_id", "ts", "user_id", "event_type", "value")
-    pol = policies(t).select("c_custkey", "policy_id", "region")
-    first_claim = latest_claims(t).groupBy("policy_id").agg(F.min("claim_id").alias("first_claim_id"))
+    n = t.parts("events")
+    ev = t.events.select(F.when(F.col("user_id").isNotNull(), policy_key(F.col("user_id"))).alias("_user"),
+                         "event_id", "ts", "event_type", "value").repartition(n, "_user")
+    pol = policies(t).where("c_custkey IS NOT NULL").select(F.col("policy_id").alias("_user"), "policy_id", "region")
+    owners = _latest_rows(_version_rows(t, ["claim_id", "source_version", "source_updated_at", "policy_id"]), ["claim_id", "policy_id"])
+    first_claim = owners.groupBy(F.col("policy_id").alias("_user")).agg(F.min("claim_id").alias("_first"))
     category = _lookup(F.col("event_type"), [(e, c) for e, c, _ in EVENT_EXPENSES])
     scope = F.coalesce(_lookup(F.col("event_type"), [(e, s) for e, _, s in EVENT_EXPENSES]), F.lit("PORTFOLIO"))
     joined = (
-        ev.join(pol, ev.user_id == pol.c_custkey, "left")
-        .join(first_claim, "policy_id", "left")
+        ev.join(pol, "_user", "left")
+        .join(first_claim, "_user", "left")
+        .withColumn("first_claim_id", F.when(F.col("policy_id").isNotNull(), F.col("_first")))
         .withColumn("expense_category", F.coalesce(category, F.lit("UNCLASSIFIED")))
         .withColumn("expense_scope", F.when(F.col("policy_id").isNull() & (scope != "CORPORATE"), "PORTFOLIO")
                     .when((scope == "CLAIM") & F.col("first_claim_id").isNull(), "POLICY").otherwise(scope))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from claimlake.operators import gold, policy_history, silver
 from claimlake.plans.catalog import QUERIES
 from claimlake.schemas import PAYMENTS
+from claimlake.sources import fixtures as fx
 from claimlake.sources import history
 from tests import frames
 from tests.conftest import SF_SMALL
@@ -99,3 +100,35 @@ def test_long_quoted_ledger_fields(spark):
     df = spark.createDataFrame(lines, "value string").withColumn("error", csv_line_error(F.col("value"), 3))
     assert [r["error"] for r in df.collect()] == [None, None, None, "malformed CSV: wrong CSV field count",
         "malformed CSV: unexpected end of data", "malformed CSV: ',' expected after '\"'", None]
+
+
+def test_feeds_are_dealt_out_once_by_the_key_they_are_grouped_by(spark, monkeypatch):
+    # Claims and exposure meet their keys in one shuffle per table; resolving them adds none.
+    monkeypatch.setattr(fx, "ROWS_A_PART", 500)
+    t = fx.Tables(spark, SF_SMALL)
+    claims = gold.latest_versions(gold.distinct_records(fx.claims(t), gold.GOLD_CLAIM_FIELDS), fields=gold.GOLD_CLAIM_FIELDS)
+    snapshot = plan(gold.claim_snapshot(claims, gold.distinct_records(fx.payments(t), gold.PAYMENT_FIELDS)))
+    exposure = gold.distinct_records(fx.exposure(t), gold.GOLD_EXPOSURE_FIELDS)
+    for p in (plan(claims), snapshot, plan(exposure)):
+        assert "REPARTITION_BY_NUM" in p and "ENSURE_REQUIREMENTS" not in p
+
+
+def test_feeds_keep_unmatched_and_null_keys(spark, tmp_path):
+    # Rows without an order or customer stay away; events of no customer go to the portfolio.
+    root, sql = str(tmp_path), spark.sql
+    sql("select 1 r_regionkey, 'ASIA' r_name").write.parquet(f"{root}/region.parquet")
+    sql("select 1 n_nationkey, 1 n_regionkey").write.parquet(f"{root}/nation.parquet")
+    sql("select * from values (1L, 1, 10D, 'AUTO'), (null, 1, 10D, 'AUTO') as c(c_custkey, c_nationkey, c_acctbal, c_mktsegment)") \
+        .write.parquet(f"{root}/customer.parquet")
+    sql("select * from values (7L, 1L, 5D, timestamp'2020-01-01'), (8L, 2L, 5D, timestamp'2020-01-01'), (null, null, 5D, timestamp'2020-01-01')"
+        " as o(o_orderkey, o_custkey, o_totalprice, o_orderdate)").write.parquet(f"{root}/orders.parquet")
+    sql("select k l_orderkey, 1L l_partkey, 1L l_suppkey, 1 l_linenumber, 2D l_quantity, 9D l_extendedprice, 'R' l_returnflag, 'F' l_linestatus,"
+        " timestamp'2020-02-01' l_shipdate from values (7L), (8L), (9L), (null) as l(k)").write.parquet(f"{root}/lineitem.parquet")
+    sql("select id event_id, timestamp'2024-01-01' ts, u user_id, 'purchase' event_type, 1D value from values (1L, 1L), (2L, 2L), (3L, null) as e(id, u)") \
+        .write.parquet(f"{root}/events.parquet")
+    t = fx.Tables(spark, root)
+    assert sorted((r["event_id"], r["claim_id"], r["policy_id"]) for r in fx.claims(t).collect()) == [
+        ("EVT-7-1", "CLM-000000007", "POL-0000001"), ("EVT-8-1", "CLM-000000008", "POL-0000002")]
+    assert [r["exposure_record_id"] for r in fx.exposure(t).collect()] == ["EXR-7"]
+    assert sorted((r["expense_id"], r["expense_scope"], r["claim_id"] or "", r["region"] or "") for r in fx.expenses(t).collect()) == [
+        ("EXP-1", "CLAIM", "CLM-000000007", "ASIA"), ("EXP-2", "PORTFOLIO", "", ""), ("EXP-3", "PORTFOLIO", "", "")]
