@@ -9,8 +9,9 @@ trees have not seen selects the spans to add.  Fixed spans always stay, and adde
 spans overlap neither them nor each other.
 
 Documents are scanned once, whole; candidates with their features are staged, and
-the trees are fitted on at most ``SAMPLE`` candidates, those with the smallest
-hash.  The labels are weak: a candidate of a fixed kind counts as personal data if
+the trees are fitted on all of them: equal feature vectors are counted, binned and
+counted again, and every level of a tree is chosen from histograms that the tasks
+sum over their share of the counted vectors.  The labels are weak: a candidate of a fixed kind counts as personal data if
 it passes that kind's check and stands free of letters and digits, one of a further
 kind if it passes its own format check and a word of its kind stands before it.
 
@@ -31,8 +32,8 @@ from pyspark.sql import functions as F
 
 from claimlake.llm.common import staged, tune
 
-SAMPLE = 20_000         # candidates the trees are fitted on, at most
-HELD_OUT = 0.3          # share of the sample that calibrates the threshold
+HELD_OUT = 0.3          # share of the candidates that calibrates the threshold
+GRID = 10_000           # steps of a probability that the threshold tells apart
 PRECISION = 0.99        # of the selected candidates held out
 TREES, DEPTH, RATE, BINS = 40, 3, 0.3, 32
 CONTEXT = 32            # characters before a candidate that count as its context
@@ -191,27 +192,110 @@ class BoostedTrees:
         return np.where(x[:, f] <= cut, self._walk(low, x), self._walk(high, x))
 
     def probability(self, x: np.ndarray) -> np.ndarray:
-        binned = self._bin(x)
-        return 1 / (1 + np.exp(-(self.base + sum(self._walk(t, binned) for t in self.trees))))
+        return self.binned_probability(self._bin(x))
 
+    def binned_probability(self, binned: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-(self.base + sum(self._walk(t, binned) for t in self.trees))))
 
-def calibrated(sample: pd.DataFrame) -> tuple[BoostedTrees, float] | None:
-    """Trees and the lowest threshold that holds ``PRECISION`` on the held-out part; None without both labels."""
-    x = np.array(sample["x"].tolist(), float).reshape(len(sample), len(FEATURES))
-    y = sample["y"].to_numpy(float)
-    out = np.arange(len(y)) % 10 < 10 * HELD_OUT
-    if len(set(y[~out])) < 2 or len(set(y[out])) < 2:
+    def steps(self, binned: np.ndarray) -> np.ndarray:
+        """Probabilities on the threshold's grid."""
+        return np.floor(self.binned_probability(binned) * GRID).astype(int)
+
+
+def split_gain(g: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Gain of cutting after each bin but the last; ``g`` and ``h``: sums by feature and bin."""
+    low_g, low_h = np.cumsum(g, 1)[:, :-1], np.cumsum(h, 1)[:, :-1]
+    total_g, total_h = g.sum(1, keepdims=True), h.sum(1, keepdims=True)
+    return low_g ** 2 / (low_h + 1) + (total_g - low_g) ** 2 / (total_h - low_h + 1) - total_g ** 2 / (total_h + 1)
+
+
+def _places(binned: np.ndarray, cuts: dict[int, tuple[int, int]]) -> np.ndarray:
+    """The node of a growing tree that each row lies in: 1 the root, 2n and 2n + 1 below n."""
+    at = np.ones(len(binned), int)
+    for node in sorted(cuts):
+        f, cut = cuts[node]
+        here = at == node
+        at[here] = 2 * node + (binned[here, f] > cut)
+    return at
+
+
+def _grown(vectors: DataFrame, model: BoostedTrees, rate: float):
+    """One tree over all counted vectors; the driver adds up the tasks' histograms of at most four nodes."""
+    cuts: dict[int, tuple[int, int]] = {}
+    leaves: dict[int, float] = {}
+    nodes = [1]
+    for depth in range(DEPTH):
+        wanted, known = list(nodes), dict(cuts)
+
+        def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = np.zeros((len(wanted), 3, len(FEATURES), BINS))
+            for rows in batches:
+                x = np.array(rows["b"].tolist(), int).reshape(len(rows), len(FEATURES))
+                n, positive = rows["n"].to_numpy(float), rows["positive"].to_numpy(float)
+                p = model.binned_probability(x)
+                at = _places(x, known)
+                for i, node in enumerate(wanted):
+                    here = at == node
+                    for part, v in enumerate((positive - n * p, n * p * (1 - p), n)):
+                        for f in range(len(FEATURES)):
+                            total[i, part, f] += np.bincount(x[here, f], v[here], BINS)
+            yield pd.DataFrame({"sums": [total.ravel()]})
+
+        total = sum(np.array(r["sums"]) for r in vectors.mapInPandas(sums, "sums array<double>").collect())
+        total = np.reshape(total, (len(wanted), 3, len(FEATURES), BINS))
+        nodes = []
+        for node, (g, h, n) in zip(wanted, total):
+            gain = split_gain(g, h)
+            f, cut = np.unravel_index(int(np.argmax(gain)), gain.shape)
+            if n[0].sum() < 20 or gain[f, cut] <= 1e-6:
+                leaves[node] = rate * g[0].sum() / (h[0].sum() + 1.0)
+                continue
+            cuts[node] = (int(f), int(cut))
+            for child, part in ((2 * node, slice(None, cut + 1)), (2 * node + 1, slice(cut + 1, None))):
+                leaves[child] = rate * g[f, part].sum() / (h[f, part].sum() + 1.0)
+                nodes.append(child)
+
+    def built(node: int):
+        return (*cuts[node], built(2 * node), built(2 * node + 1)) if node in cuts else float(leaves[node])
+    return built(1)
+
+
+def calibrated(found: DataFrame) -> tuple[BoostedTrees, float] | None:
+    """Trees fitted on all candidates (x, y, out) but those held out, and the lowest threshold that holds
+    ``PRECISION`` on these; None without both labels."""
+    counts = [F.sum("n").alias("n"), F.sum("positive").alias("positive")]
+    vectors = staged(found.groupBy("x", "out").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("y").cast("long")).alias("positive")), "pii-vectors")
+    labels = {r["out"]: (r["n"], r["positive"]) for r in vectors.groupBy("out").agg(*counts).collect()}
+    if any(out not in labels or not 0 < labels[out][1] < labels[out][0] for out in (False, True)):
         return None
-    model = BoostedTrees().fit(x[~out], y[~out])
-    p = model.probability(x[out])
-    order = np.argsort(-p, kind="stable")
-    precision = np.cumsum(y[out][order]) / np.arange(1, len(order) + 1)
-    last_of_value = np.append(p[order][1:] != p[order][:-1], True)
-    able = np.flatnonzero((precision >= PRECISION) & last_of_value)
-    return (model, max(0.5, float(p[order][able[-1]]))) if len(able) else None
-
-
-def found_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> DataFrame:
+    cuts = np.linspace(0, 1, BINS + 1)[1:-1].tolist()
+    spread = vectors.where("NOT out").select(F.posexplode("x").alias("feature", "value"), "n").groupBy("feature").agg(
+        F.percentile("value", F.lit(cuts), F.col("n")).alias("cuts")).orderBy("feature").collect()  # one row per feature
+    rate = np.clip(labels[False][1] / labels[False][0], 1e-3, 1 - 1e-3)
+    model = BoostedTrees()
+    model.edges, model.base, model.trees = [np.unique(r["cuts"]) for r in spread], float(np.log(rate / (1 - rate))), []
+
+    @F.pandas_udf("array<tinyint>")
+    def binned(x: pd.Series) -> pd.Series:
+        return pd.Series(list(model._bin(np.array(x.tolist(), float).reshape(len(x), len(FEATURES))).astype(np.int8)))
+
+    bins = staged(vectors.select(binned("x").alias("b"), "out", "n", "positive").groupBy("b", "out").agg(*counts), "pii-bins")
+    fitted_on = bins.where("NOT out")
+    for _ in range(TREES):
+        model.trees.append(_grown(fitted_on, model, RATE))
+
+    @F.pandas_udf("int")
+    def step(b: pd.Series) -> pd.Series:
+        return pd.Series(model.steps(np.array(b.tolist(), int).reshape(len(b), len(FEATURES))))
+
+    by_step = bins.where("out").select(step("b").alias("step"), "n", "positive").groupBy("step").agg(*counts).collect()  # at most GRID + 1 rows
+    by_step.sort(key=lambda r: -r["step"])
+    precision = np.cumsum([r["positive"] for r in by_step]) / np.cumsum([r["n"] for r in by_step])
+    able = np.flatnonzero(precision >= PRECISION)
+    return (model, max(GRID // 2, by_step[able[-1]]["step"])) if len(able) else None
+
+
+def found_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, base and added: spans of the fixed kinds and spans that the trees select, by start, then kind."""
     tune(docs.sparkSession)
     scan_type = f"base {SPAN}, more array<struct<kind:int,start:int,end:int,y:boolean,x:array<float>>>"
@@ -232,9 +316,8 @@ def found_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", sample
             yield pd.DataFrame({"base": base, "more": more})
 
     rows = staged(docs.select(F.col(key), scan(F.col(text).cast("string")).alias("found")).select(key, "found.*"), "pii")
-    drawn = rows.select(F.col(key).alias("k"), F.explode("more").alias("c")).select("k", "c.*") \
-        .orderBy(F.xxhash64("k", "kind", "start"), "k", "start", "kind").limit(sample).select("x", "y").toPandas()
-    model = calibrated(drawn) if len(drawn) else None
+    out = F.pmod(F.xxhash64("k", "kind", "start"), F.lit(10)) < int(10 * HELD_OUT)
+    model = calibrated(rows.select(F.col(key).alias("k"), F.explode("more").alias("c")).select("k", "c.*").select("x", "y", out.alias("out")))
 
     @F.pandas_udf(SPAN)
     def select(base: pd.Series, more: pd.Series) -> pd.Series:
@@ -243,12 +326,13 @@ def found_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", sample
         for fixed, proposed in zip(base, more):
             new = [c for c in proposed if c["kind"] >= len(BASE_KINDS)]
             if new:
-                p = trees.probability(np.array([c["x"] for c in new], float))
+                x = trees._bin(np.array([c["x"] for c in new], float))
+                p, able = trees.binned_probability(x), trees.steps(x) >= threshold
                 taken = [(s["start"], s["end"]) for s in fixed]
                 chosen = []
                 for i in sorted(range(len(new)), key=lambda i: (-p[i], new[i]["start"], new[i]["kind"])):
                     a, b = new[i]["start"], new[i]["end"]
-                    if p[i] >= threshold and all(b <= s or e <= a for s, e in taken):
+                    if able[i] and all(b <= s or e <= a for s, e in taken):
                         taken.append((a, b))
                         chosen.append({"kind": new[i]["kind"], "start": a, "end": b})
                 out.append(sorted(chosen, key=lambda c: (c["start"], c["kind"])))

@@ -224,3 +224,18 @@ def test_digest_columns(spark):
     for r in queries.op7_secret_scan(spark, sf).collect():
         spans = ",".join(f"{k}:{a}:{b}" for a, _, k, b in brute_secrets(texts[r["doc_id"]]))
         assert r["base_sha256"] == hashlib.sha256(spans.encode()).hexdigest()
+
+
+def test_trees_see_every_candidate(spark, monkeypatch):
+    """More candidates than the 20,000 of the former sample: the trees are those that all rows at once give."""
+    import pandas as pd
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.integers(0, 6, (400, len(pii.FEATURES))), 60, axis=0).astype(float)  # 24,000 rows
+    y = (x[:, 0] > 2) & (x[:, 3] < 4)
+    out = np.arange(len(y)) % 10 < 3
+    found = spark.createDataFrame(pd.DataFrame({"x": x.tolist(), "y": y, "out": out}), "x array<float>, y boolean, out boolean")
+    monkeypatch.setattr(pii, "TREES", 3)
+    model, threshold = pii.calibrated(found)
+    whole = pii.BoostedTrees().fit(x[~out], y[~out].astype(float))
+    assert np.allclose(model.probability(x), whole.probability(x)) and threshold >= pii.GRID // 2
+    assert all((a == b).all() for a, b in zip(model.edges, whole.edges))
