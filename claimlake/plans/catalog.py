@@ -392,7 +392,7 @@ CELL_DATES = ["1999-12-31", END]
 
 def _two_snapshots(spark, root, table: str) -> list[DataFrame]:
     """One Gold table built from the rows that had arrived by each of two dates."""
-    feeds = {name: staged(df, f"arrivals-{name}") for name, df in arrivals.feeds(fx.tables(spark, root)).items()}
+    feeds = arrivals.feeds(fx.tables(spark, root))
     built = []
     for end in CELL_DATES:
         inputs = {name: df.where(F.col("arrival") <= F.lit(end).cast("date")).drop("arrival") for name, df in feeds.items()}

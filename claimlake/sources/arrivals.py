@@ -28,20 +28,24 @@ def _resent(df: DataFrame, key: str, days: int) -> DataFrame:
 
 
 def feeds(t: fx.Tables) -> dict[str, DataFrame]:
-    """The four Silver datasets with ``arrival``."""
-    claims = fx.claims(t).withColumn("arrival", F.greatest("reported_date", F.to_date("source_updated_at")))
-    payments = fx.payments(t).withColumn("arrival", F.date_add("payment_date", F.pmod(_number("payment_id"), F.lit(90)).cast("int")))
+    """The four Silver datasets with ``arrival``, each written once.  Payments and the claims that
+    expenses attach to come from the written claims, not from the line items again."""
+    arrived = fx.claims(t).withColumn("arrival", F.greatest("reported_date", F.to_date("source_updated_at")))
+    claims = staged(_resent(arrived, "claim_id", 400), "arrivals-claims_events")
+    latest = staged(fx.latest_of(claims), "latest-claims")
+    payments = fx.payments_of(latest).withColumn("arrival", F.date_add("payment_date", F.pmod(_number("payment_id"), F.lit(90)).cast("int")))
+    expenses = fx.expenses_of(t, latest.select("claim_id", "policy_id"))
     return {
-        "claims_events": _resent(claims, "claim_id", 400),
-        "daily_exposure": fx.exposure(t).withColumn("arrival", F.col("load_date")),
-        "claim_payments": _resent(payments, "payment_id", 400),
-        "expense_transactions": _resent(fx.expenses(t).withColumn("arrival", F.col("expense_date")), "expense_id", 3),
+        "claims_events": claims,
+        "daily_exposure": staged(fx.exposure(t).withColumn("arrival", F.col("load_date")), "arrivals-daily_exposure"),
+        "claim_payments": staged(_resent(payments, "payment_id", 400), "arrivals-claim_payments"),
+        "expense_transactions": staged(_resent(expenses.withColumn("arrival", F.col("expense_date")), "expense_id", 3), "arrivals-expense_transactions"),
     }
 
 
 def deltas(t: fx.Tables, ends: list[str]) -> list[tuple[str, dict[str, DataFrame]]]:
     """For each end, ascending, the rows that arrived since the end before it (the feeds are written once)."""
-    every, out, before = {name: staged(df, f"arrivals-{name}") for name, df in feeds(t).items()}, [], None
+    every, out, before = feeds(t), [], None
     for end in ends:
         inside = [F.col("arrival") <= F.lit(end).cast("date")]
         if before:

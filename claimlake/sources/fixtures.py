@@ -229,6 +229,11 @@ def _version_rows(t: Tables, columns: list[str]) -> DataFrame:
     )
 
 
+def latest_of(versions: DataFrame) -> DataFrame:
+    """The latest version of every claim; a version may be there more than once."""
+    return _latest_rows(versions, _CLAIM_COLUMNS)
+
+
 def _latest_rows(versions: DataFrame, columns: list[str]) -> DataFrame:
     return (
         versions
@@ -241,14 +246,18 @@ def _latest_rows(versions: DataFrame, columns: list[str]) -> DataFrame:
 
 @_derived
 def latest_claims(t: Tables) -> DataFrame:
-    return _latest_rows(claims(t), _CLAIM_COLUMNS)
+    return latest_of(claims(t))
 
 
 @_derived
 def payments(t: Tables) -> DataFrame:
+    return payments_of(latest_claims(t))
+
+
+def payments_of(latest: DataFrame) -> DataFrame:
     """One indemnity payment per paid claim; every fifth version pays one
     unit more than the claim reports, so reconciliation has differences."""
-    latest = latest_claims(t).filter(F.col("paid_amount") > 0)
+    latest = latest.filter(F.col("paid_amount") > 0)
     stamp = F.col("reported_date").cast("timestamp")
     return latest.select(
         F.concat(F.lit("PAY-"), F.col("claim_id")).alias("payment_id"),
@@ -288,14 +297,17 @@ def _lookup(key: Column, pairs: list[tuple[str, str]]) -> Column:
 
 @_derived
 def expenses(t: Tables) -> DataFrame:
+    return expenses_of(t, _latest_rows(_version_rows(t, ["claim_id", "source_version", "source_updated_at", "policy_id"]), ["claim_id", "policy_id"]))
+
+
+def expenses_of(t: Tables, owners: DataFrame) -> DataFrame:
     """Expenses from events, one per event.  A CLAIM expense attaches to the policy's lowest
     claim id, and to the policy alone when that has no claim; events of an unknown type, and
-    direct costs of an unknown policy, go to the portfolio."""
+    direct costs of an unknown policy, go to the portfolio.  ``owners``: claim_id, policy_id of every claim."""
     n = t.parts("events")
     ev = t.events.select(F.when(F.col("user_id").isNotNull(), policy_key(F.col("user_id"))).alias("_user"),
                          "event_id", "ts", "event_type", "value").repartition(n, "_user")
     pol = policies(t).where("c_custkey IS NOT NULL").select(F.col("policy_id").alias("_user"), "policy_id", "region")
-    owners = _latest_rows(_version_rows(t, ["claim_id", "source_version", "source_updated_at", "policy_id"]), ["claim_id", "policy_id"])
     first_claim = owners.groupBy(F.col("policy_id").alias("_user")).agg(F.min("claim_id").alias("_first"))
     category = _lookup(F.col("event_type"), [(e, c) for e, c, _ in EVENT_EXPENSES])
     scope = F.coalesce(_lookup(F.col("event_type"), [(e, s) for e, _, s in EVENT_EXPENSES]), F.lit("PORTFOLIO"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from claimlake.operators import gold, policy_history, silver
 from claimlake.plans.catalog import QUERIES
 from claimlake.schemas import PAYMENTS
+from claimlake.sources import arrivals
 from claimlake.sources import fixtures as fx
 from claimlake.sources import history
 from tests import frames
@@ -132,3 +133,22 @@ def test_feeds_keep_unmatched_and_null_keys(spark, tmp_path):
     assert [r["exposure_record_id"] for r in fx.exposure(t).collect()] == ["EXR-7"]
     assert sorted((r["expense_id"], r["expense_scope"], r["claim_id"] or "", r["region"] or "") for r in fx.expenses(t).collect()) == [
         ("EXP-1", "CLAIM", "CLM-000000007", "ASIA"), ("EXP-2", "PORTFOLIO", "", ""), ("EXP-3", "PORTFOLIO", "", "")]
+
+
+def test_arrivals_derive_payments_and_expenses_from_the_written_claims(spark):
+    # The line items are joined and grouped once, for the claims; the other feeds start from files.
+    t = fx.Tables(spark, SF_SMALL)
+    feeds = arrivals.feeds(t)
+    for name, df in feeds.items():
+        assert not any("lineitem" in f for f in df.inputFiles()), name
+    assert feeds["claim_payments"].select("payment_id").distinct().count() == fx.payments(t).count()
+    owners = [df.where("expense_scope = 'CLAIM'").select("expense_id", "claim_id").distinct() for df in (feeds["expense_transactions"], fx.expenses(t))]
+    assert owners[0].exceptAll(owners[1]).count() == owners[1].exceptAll(owners[0]).count() == 0
+
+
+def test_latest_versions_do_not_wait_for_the_collapse_of_copies(spark):
+    inputs = frames.gold_inputs(spark)
+    inputs["claims_events"] = inputs["claims_events"].unionByName(inputs["claims_events"])
+    latest = gold.resolve(inputs).latest
+    assert plan(latest).count("Exchange hashpartitioning") == 1
+    assert sorted((r["claim_id"], r["source_version"]) for r in latest.collect()) == [("CLM-1", 2), ("CLM-2", 1)]
