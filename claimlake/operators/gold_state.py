@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.measures import date_lit, money
@@ -59,12 +59,16 @@ class Merge:
 
 
 def _identified(df: DataFrame, dataset: str) -> DataFrame:
-    """Distinct business records of a dataset with their key and digest."""
-    columns, keys = RECORD_KEYS[dataset]
+    """Distinct business records of a dataset with their digest (the first 16 bytes of a SHA-256).
+    They are dealt out by the digest, where copies and what the state has seen meet."""
+    columns, _ = RECORD_KEYS[dataset]
     text = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-    return gold.distinct_records(df, columns).withColumns({
-        "_key": F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("<null>")) for k in keys]),
-        "_digest": F.sha2(text, 256)})
+    digest = F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
+    return df.select(*columns, digest.alias("_digest")).repartition("_digest").dropDuplicates()
+
+
+def _key(dataset: str) -> Column:
+    return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("<null>")) for k in RECORD_KEYS[dataset][1]])
 
 
 def _new_records(day: DataFrame, dataset: str, seen: DataFrame | None) -> tuple[DataFrame, Check | None]:
@@ -72,15 +76,17 @@ def _new_records(day: DataFrame, dataset: str, seen: DataFrame | None) -> tuple[
     records = _identified(day, dataset)
     if seen is None:
         return records, None
-    known = seen.where(F.col("dataset") == dataset).select(F.col("key").alias("_key"), F.col("digest").alias("_digest"))
-    new = records.join(known, ["_key", "_digest"], "left_anti")
-    clash = new.join(known.select("_key"), "_key", "left_semi")
+    known = seen.where(F.col("dataset") == dataset)
+    new = records.join(known.select(F.col("digest").alias("_digest")), "_digest", "left_anti")
+    clash = new.withColumn("_key", _key(dataset)).join(known.select(F.col("key").alias("_key")), "_key", "left_semi")
     return new, Check(f"{dataset}: conflicting business records for the same key", clash, ["_key"])
 
 
 def _merged_claims(state: DataFrame | None, claims: DataFrame, payments: DataFrame, expenses: DataFrame) -> DataFrame:
+    latest_first = ["source_version", "source_updated_at"]  # the greatest record is the latest version
+    record = F.struct(*latest_first, *[c for c in GOLD_CLAIM_FIELDS if c not in ("claim_id", *latest_first)])
     versions = claims.select(
-        "claim_id", F.struct(*GOLD_CLAIM_FIELDS).alias("record"), F.struct("source_version", "source_updated_at").alias("place"),
+        "claim_id", record.alias("record"),
         F.col("policy_id").alias("first_policy"), F.col("policy_id").alias("last_policy"))
     paid = payments.select("claim_id", F.lit(1).cast("bigint").alias("payment_count"), F.col("amount").cast("decimal(28,2)").alias("ledger_paid"),
                            F.col("payment_date").alias("first_payment"))
@@ -89,11 +95,10 @@ def _merged_claims(state: DataFrame | None, claims: DataFrame, payments: DataFra
     if state is not None:
         held = F.col("source_version").isNotNull() | F.col("policy_id").isNotNull()
         rows = rows.unionByName(state.select(
-            "claim_id", F.when(held, F.struct(*GOLD_CLAIM_FIELDS)).alias("record"),
-            F.when(held, F.struct("source_version", "source_updated_at")).alias("place"), "first_policy", "last_policy",
+            "claim_id", F.when(held, record).alias("record"), "first_policy", "last_policy",
             "payment_count", "ledger_paid", "first_payment", "first_expense"))
     merged = rows.groupBy(F.col("claim_id").alias("_claim")).agg(
-        F.max_by("record", "place").alias("record"),
+        F.max("record").alias("record"),
         F.min("first_policy").alias("first_policy"), F.max("last_policy").alias("last_policy"),
         F.sum("payment_count").alias("payment_count"), F.sum("ledger_paid").cast("decimal(28,2)").alias("ledger_paid"),
         F.min("first_payment").alias("first_payment"), F.min("first_expense").alias("first_expense"))
@@ -141,7 +146,7 @@ def advance(state: GoldState | None, day: dict[str, DataFrame], start: str, end:
         policies=hold(_merged_policies(state and state.policies, exposure), "state_policies"),
         expenses=hold(_merged_expenses(state and state.expenses, expenses, start), "state_expenses"),
         seen=seen)
-    today = [df.select(F.lit(name).alias("dataset"), F.col("_key").alias("key"), F.col("_digest").alias("digest"))
+    today = [df.select(F.lit(name).alias("dataset"), _key(name).alias("key"), F.col("_digest").alias("digest"))
              for name, df in (("claims_events", claims), ("claim_payments", payments), ("expense_transactions", expenses))]
     return Merge(after, today[0].union(today[1]).union(today[2]), [
         *[c for c in (claim_clash, payment_clash, expense_clash) if c],
