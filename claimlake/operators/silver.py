@@ -135,14 +135,13 @@ def silver_claims(raw: DataFrame) -> SilverResult:
     total order over the row (source_file first) so reruns are stable."""
     checked, seen = checked_claims(raw), []
     valid = _observed(checked, seen, **_input_measures()).filter(is_valid())
-    order = F.struct(
-        F.col("source_version"), F.col("source_updated_at"), F.col("source_file"),
-        *[F.col(k) for k in CLAIM_EVENT_FIELDS if k not in ("event_id", "source_version", "source_updated_at")],
-    )
+    # the order holds every column, so the greatest struct is the row itself and travels once
+    first = ["source_version", "source_updated_at", "source_file"]
+    ordered = F.struct(*first, *[c for c in CLAIM_SILVER_COLUMNS if c not in ("event_id", *first)])
     deduped = (
         valid.groupBy("load_date", "event_id")
-        .agg(F.max_by(F.struct(*CLAIM_SILVER_COLUMNS), order).alias("_row"), F.count(F.lit(1)).alias("_copies"))
-        .select("load_date", "_copies", "_row.*")
+        .agg(F.max(ordered).alias("_row"), F.count(F.lit(1)).alias("_copies"))
+        .select("load_date", "event_id", "_copies", "_row.*")
     )
     deduped = _observed(deduped, seen, duplicate_rows_collapsed=F.sum(F.col("_copies") - 1))
     quarantine = checked.filter(is_invalid())

@@ -201,13 +201,15 @@ def expenses_silver(spark, root):
 
 def load_metrics(spark, root):
     """input = valid + quarantine + duplicates collapsed for all four feeds, measured by the writes of
-    their commits (K8, A15); each whole feed is one load."""
+    their commits (K8, A15); each whole feed is one load.  What several writes read is derived once."""
     t = fx.tables(spark, root)
+    latest = staged(fx.latest_claims(t), "latest-claims")
+    payments, expenses = fx.payments_of(latest), fx.expenses_of(t, latest.select("claim_id", "policy_id"))
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/load-metrics-{uuid.uuid4().hex}"
-    loads = {"claims_events": lambda: silver.silver_claims(bronze.claims_feed(t)),
-             "daily_exposure": lambda: silver.silver_exposure(bronze.exposure_feed(t)),
-             "claim_payments": lambda: silver.silver_ledger(bronze.payments_feed(t), PAYMENTS),
-             "expense_transactions": lambda: silver.silver_ledger(bronze.expenses_feed(t), EXPENSES)}
+    loads = {"claims_events": lambda: silver.silver_claims(staged(bronze.claims_feed(t), "claims-feed")),
+             "daily_exposure": lambda: silver.silver_exposure(staged(bronze.exposure_feed(t), "exposure-feed")),
+             "claim_payments": lambda: silver.silver_ledger(bronze.payments_feed(t, payments), PAYMENTS),
+             "expense_transactions": lambda: silver.silver_ledger(bronze.expenses_feed(t, expenses), EXPENSES)}
     for dataset, load in loads.items():
         day_commit.publish_day(spark, folder, dataset, END, load)
     return reduce(DataFrame.unionByName, [day_commit.load_metrics(spark, folder, dataset, END, END) for dataset in loads]).drop("load_date")
@@ -486,7 +488,7 @@ PAYMENT_METHODS = ("EFT", "CHEQUE")
 def payments_v2_union(spark, root):
     """Schema evolution (D6): v1 and v2 files loaded with their own contract;
     v1 rows read back with payment_method NULL."""
-    v1_lines, v2_lines = bronze.payments_feed_versions(fx.tables(spark, root), PAYMENT_V2_CUTOVER)
+    v1_lines, v2_lines = bronze.payments_feed_versions(fx.payments(fx.tables(spark, root)), PAYMENT_V2_CUTOVER)
     v1 = silver.silver_ledger(v1_lines, PAYMENTS).valid
     v2 = silver.silver_ledger(v2_lines, payments_v2(PAYMENT_METHODS)).valid
     return _no_audit(v1.unionByName(v2, allowMissingColumns=True))

@@ -134,8 +134,7 @@ def _amount_plus_one() -> Column:
     return (F.col("amount").try_cast("decimal(18,2)") + F.lit(1)).cast("decimal(18,2)").cast("string")
 
 
-def _payment_text(t: fx.Tables) -> DataFrame:
-    p = fx.payments(t)
+def _payment_text(p: DataFrame) -> DataFrame:
     k = F.substring(F.col("claim_id"), 5, 20).cast("bigint")
     day = F.col("payment_date")
     created = F.concat(_d(day), F.lit("T06:00:00Z"))
@@ -165,16 +164,16 @@ def _payment_text(t: fx.Tables) -> DataFrame:
     return text.withColumn("payment_method", method)
 
 
-def payments_feed(t: fx.Tables) -> DataFrame:
-    """claim payment ledger as raw CSV lines (value, source_file, load_date)."""
-    return _ledger_lines(_payment_text(t), PAYMENT_FIELDS, F.col("_key"), "_day", "claim-payments",
+def payments_feed(t: fx.Tables, payments: DataFrame | None = None) -> DataFrame:
+    """claim payment ledger as raw CSV lines (value, source_file, load_date), of ``payments`` if given."""
+    return _ledger_lines(_payment_text(fx.payments(t) if payments is None else payments), PAYMENT_FIELDS, F.col("_key"), "_day", "claim-payments",
                          "claim_payments", _amount_plus_one())
 
 
-def payments_feed_versions(t: fx.Tables, cutover: str) -> tuple[DataFrame, DataFrame]:
+def payments_feed_versions(payments: DataFrame, cutover: str) -> tuple[DataFrame, DataFrame]:
     """The same ledger where files dated on or after ``cutover`` use the v2
     layout (an extra nullable payment_method column): (v1 lines, v2 lines)."""
-    text = _payment_text(t)
+    text = _payment_text(payments)
     is_v2 = F.col("_day") >= F.lit(cutover).cast("date")
     v1 = _ledger_lines(text.filter(~is_v2), PAYMENT_FIELDS, F.col("_key"), "_day", "claim-payments",
                        "claim_payments", _amount_plus_one())
@@ -183,9 +182,9 @@ def payments_feed_versions(t: fx.Tables, cutover: str) -> tuple[DataFrame, DataF
     return v1, v2
 
 
-def expenses_feed(t: fx.Tables) -> DataFrame:
-    """expense ledger as raw CSV lines (value, source_file, load_date)."""
-    e = fx.expenses(t)
+def expenses_feed(t: fx.Tables, expenses: DataFrame | None = None) -> DataFrame:
+    """expense ledger as raw CSV lines (value, source_file, load_date), of ``expenses`` if given."""
+    e = fx.expenses(t) if expenses is None else expenses
     k = F.substring(F.col("expense_id"), 5, 20).cast("bigint")
     day = F.col("expense_date")
     scope = F.col("expense_scope")

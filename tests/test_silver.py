@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from claimlake.operators import silver
 from claimlake.schemas import CLAIM_EVENT_FIELDS, EXPENSES, EXPOSURE_FEED_FIELDS, PAYMENTS, payments_v2
+from tests import frames
 
 DAY = "2026-01-05"
 
@@ -179,3 +180,16 @@ def test_payments_v2_method(spark):
     valid = {r["payment_id"]: r["payment_method"] for r in result.valid.collect()}
     assert valid == {"PAY-1": "EFT", "PAY-3": None}
     assert result.quarantine.first()["dq_errors"] == "payment_method is invalid"
+
+
+def test_claim_row_travels_once_in_the_deduplication(spark):
+    """The greatest struct of all columns is the row itself: no second copy of it orders the versions."""
+    fields = {"event_id": "E1", "claim_id": "CLM-1", "policy_id": "POL-1", "operation": "update", "source_version": "1",
+              "source_updated_at": "2026-01-01T00:00:00Z", "incident_date": "2026-01-01", "reported_date": "2026-01-01",
+              "arrival_timestamp": "2026-01-01T00:00:00Z", "incident_type": "Glass", "claim_status": "OPEN", "incurred_amount": "5",
+              "paid_amount": "1", "police_reported": "Y", "fraud_score": "3", "manual_review_required": "true"}
+    raw = frames.strings(spark, [[*{**fields, "source_version": v, "paid_amount": p}.values(), f, "2026-01-01"]
+                                 for v, p, f in (("1", "1", "a"), ("2", "2", "a"), ("2", "3", "b"))], [*fields, "source_file", "load_date"])
+    valid = silver.silver_claims(raw.withColumn("load_date", F.col("load_date").cast("date"))).valid
+    assert "max_by" not in valid._jdf.queryExecution().executedPlan().toString()
+    assert [(r["event_id"], r["source_version"], int(r["paid_amount"]), r["source_file"]) for r in valid.collect()] == [("E1", 2, 3, "b")]
