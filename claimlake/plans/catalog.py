@@ -488,7 +488,8 @@ PAYMENT_METHODS = ("EFT", "CHEQUE")
 def payments_v2_union(spark, root):
     """Schema evolution (D6): v1 and v2 files loaded with their own contract;
     v1 rows read back with payment_method NULL."""
-    v1_lines, v2_lines = bronze.payments_feed_versions(fx.payments(fx.tables(spark, root)), PAYMENT_V2_CUTOVER)
+    latest = staged(fx.latest_claims(fx.tables(spark, root)), "latest-claims")  # both loads start from it
+    v1_lines, v2_lines = bronze.payments_feed_versions(fx.payments_of(latest), PAYMENT_V2_CUTOVER)
     v1 = silver.silver_ledger(v1_lines, PAYMENTS).valid
     v2 = silver.silver_ledger(v2_lines, payments_v2(PAYMENT_METHODS)).valid
     return _no_audit(v1.unionByName(v2, allowMissingColumns=True))

@@ -193,3 +193,14 @@ def test_claim_row_travels_once_in_the_deduplication(spark):
     valid = silver.silver_claims(raw.withColumn("load_date", F.col("load_date").cast("date"))).valid
     assert "max_by" not in valid._jdf.queryExecution().executedPlan().toString()
     assert [(r["event_id"], r["source_version"], int(r["paid_amount"]), r["source_file"]) for r in valid.collect()] == [("E1", 2, 3, "b")]
+
+
+def test_ledger_feeds_start_from_the_given_rows(spark, monkeypatch):
+    """Two loads of one ledger share what it is derived from: the line items are read for the latest claims alone."""
+    from claimlake.plans import catalog
+    from claimlake.sources import bronze_fixtures
+    from tests.conftest import SF_SMALL
+    seen, lines_of = [], bronze_fixtures.payments_feed_versions
+    monkeypatch.setattr(bronze_fixtures, "payments_feed_versions", lambda source, cutover: seen.extend(lines_of(source, cutover)) or tuple(seen))
+    assert catalog.payments_v2_union(spark, SF_SMALL).count() > 0
+    assert len(seen) == 2 and not any("lineitem" in f for df in seen for f in df.inputFiles())
