@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import staged
+
 
 def change_violations(changes: DataFrame, policies: DataFrame) -> DataFrame:
     """(policy_change_id, policy_id, problems) for every invalid change."""
@@ -89,14 +91,18 @@ def interval_violations(history: DataFrame, key: str = "policy_id") -> DataFrame
         F.when(reach > F.col("valid_from"), "overlap").otherwise("gap").alias("problem"))
 
 
-def splice(history: DataFrame, changes: DataFrame, key: str = "policy_id", change_id: str = "policy_change_id") -> DataFrame:
+def splice(history: DataFrame, changes: DataFrame, key: str = "policy_id", change_id: str = "policy_change_id",
+           parts: int | None = None) -> DataFrame:
     """``history`` (as ``scd2`` gives it) with further changes: only the chains of the changed keys are
     built again, all other rows pass through.  A change that the history already holds is replaced, so
-    a load that runs twice gives the same history."""
+    a load that runs twice gives the same history.  Only ids look for changes held already, as those are
+    few; the rows stay where their keys are.  ``parts``: parts that the chains are built in."""
     own = changes.columns
     touched = changes.select(key).distinct()
-    kept = history.join(touched, key, "left_semi").join(changes.select(change_id), change_id, "left_anti").select(own)
-    chains = scd2(kept.unionByName(changes), key)
+    held = staged(changes.select(change_id).join(history.select(change_id), change_id, "left_semi"), "changes-held")
+    kept = history.join(touched, key, "left_semi").join(held, change_id, "left_anti").select(own)
+    rows = kept.unionByName(changes)
+    chains = scd2(rows.repartition(parts, key) if parts else rows, key)
     return history.join(touched, key, "left_anti").select(chains.columns).unionByName(chains)
 
 

@@ -19,7 +19,7 @@ from ..operators import gold, ibnr, policy_history, policy_silver, reports, silv
 from ..schemas import (
     EXPENSES, EXPOSURE_FEED_FIELDS, GOLD_CLAIM_FIELDS, PAYMENT_FIELDS, PAYMENT_V2_FIELDS, PAYMENTS, POLICY_CHANGE_FIELDS, payments_v2,
 )
-from ..session import ensure_checkpoint_dir, staged
+from ..session import ensure_checkpoint_dir, staged, staged_by
 from ..sources import arrivals, bronze_files
 from ..sources import bronze as bronze_source
 from ..sources import bronze_fixtures as bronze
@@ -363,13 +363,15 @@ def policy_changes_silver(spark, root):
 
 
 def scd2_merge(spark, root):
-    """Policy history built year by year: each delivery is spliced into the chains of its policies."""
-    valid = staged(_policy_silver(spark, root).valid.select(*POLICY_CHANGE_FIELDS, "load_date"), "policy-changes")
+    """Policy history built year by year: each delivery is spliced into the chains of its policies.
+    Deliveries and history lie in buckets of their policies, so a splice moves changed chains only."""
+    parts = fx.tables(spark, root).parts("orders")
+    valid = staged_by(_policy_silver(spark, root).valid.select(*POLICY_CHANGE_FIELDS, "load_date"), "policy-changes", "policy_id", parts)
     years = [r[0] for r in valid.select("load_date").distinct().orderBy("load_date").collect()]  # one row per delivery
     day = lambda d: valid.where(F.col("load_date") == F.lit(d)).drop("load_date")
     history = policy_history.scd2(day(years[0]) if years else valid.drop("load_date"))
     for d in years[1:]:
-        history = staged(policy_history.splice(history, day(d)), "policy-history")
+        history = policy_history.splice(staged_by(history, "policy-history", "policy_id", parts), day(d), parts=parts)
     return history
 
 

@@ -78,3 +78,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def staged_by(df: DataFrame, name: str, key: str, parts: int) -> DataFrame:
+    """As ``staged``, in ``parts`` buckets of ``key``: groupings and joins by it find their rows together.
+
+    The table's name is given up at once; the files stay, and what was read knows their buckets."""
+    spark, table = df.sparkSession, f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{table}"
+    df.repartition(parts, key).write.format("parquet").option("path", path).bucketBy(parts, key).saveAsTable(table)
+    rows = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return rows

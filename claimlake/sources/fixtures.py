@@ -351,13 +351,14 @@ def policy_versions(t: Tables) -> DataFrame:  # noqa: D401
     """Effective-dated policy changes: each order date of a customer starts a
     new version carrying the order priority as coverage type; several
     orders on one day keep the highest order key."""
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice")
-    per_day = o.groupBy("o_custkey", F.col("o_orderdate").cast("date").alias("effective_date")).agg(
+    o = t.orders.select(policy_key(F.col("o_custkey")).alias("policy_id"), "o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice") \
+        .repartition(t.parts("orders"), "policy_id")
+    per_day = o.groupBy("policy_id", F.col("o_orderdate").cast("date").alias("effective_date")).agg(
         F.max_by(F.struct("o_orderkey", "o_orderpriority", "o_totalprice"), F.col("o_orderkey")).alias("_r")
     )
     return per_day.select(
         F.concat(F.lit("PCH-"), F.col("_r.o_orderkey").cast("string")).alias("policy_change_id"),
-        policy_key(F.col("o_custkey")).alias("policy_id"),
+        "policy_id",
         "effective_date",
         F.col("_r.o_orderpriority").alias("coverage_type"),
         (F.col("_r.o_totalprice") * F.lit(4)).cast(MONEY).alias("annual_premium"),

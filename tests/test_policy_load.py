@@ -94,3 +94,22 @@ def test_sweep_finds_nested_overlaps_gaps_and_open_ends(spark):
     got = sorted(map(tuple, ph.interval_violations(frame).collect()), key=lambda r: (r[0], r[1], r[2] or dt.date.max))
     assert got == want and {r[4] for r in got} == {"overlap", "gap"}
     assert frame.where(F.lit(False)).transform(ph.interval_violations).count() == 0
+
+
+def test_splice_leaves_bucketed_rows_where_their_keys_are(spark):
+    """History and delivery in buckets of their policies: only ids are shuffled for the joins."""
+    from claimlake.session import staged_by
+    rows = spark.sql("select concat('PCH-', id) policy_change_id, concat('POL-', id % 50) policy_id, date_add(date'2026-01-01', int(id)) effective_date,"
+                     " concat('plan ', id) note from range(200)")
+    late = staged_by(rows.where("policy_change_id >= 'PCH-150'"), "late", "policy_id", 3)
+    history = staged_by(ph.scd2(rows.where("policy_change_id < 'PCH-160'")), "history", "policy_id", 3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spliced = ph.splice(history, late, parts=3)
+        plan = spliced._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange hashpartitioning(policy_id" in plan and plan.count("Exchange hashpartitioning(policy_id") == 1  # the changed chains
+    whole = ph.scd2(rows)
+    assert sorted(map(str, spliced.select(whole.columns).collect())) == sorted(map(str, whole.collect()))
