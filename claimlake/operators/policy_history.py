@@ -107,12 +107,15 @@ def splice(history: DataFrame, changes: DataFrame, key: str = "policy_id", chang
 
 
 def snapshot_diff(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows only in one snapshot, tagged 'removed' or 'added' (bag semantics)."""
+    """Rows only in one snapshot, tagged 'removed' or 'added' (bag semantics): each is read once, and a row
+    is given as often as one side holds it more than the other."""
     if dict(before.dtypes) != dict(after.dtypes):
         raise ValueError(f"the snapshots differ in their columns: {sorted(set(before.dtypes) ^ set(after.dtypes))}")
-    b, a = before, after.select(*before.columns)
-    return b.exceptAll(a).withColumn("change", F.lit("removed")).unionByName(
-        a.exceptAll(b).withColumn("change", F.lit("added")))
+    columns = [F.col(f"`{c}`") for c in before.columns]
+    both = before.select(*columns, F.lit(1).alias("_more")).unionAll(after.select(*columns, F.lit(-1).alias("_more")))
+    uneven = both.groupBy(*columns).agg(F.sum("_more").alias("_more")).where("_more <> 0")
+    return uneven.withColumn("change", F.when(F.col("_more") > 0, "removed").otherwise("added")).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.abs("_more")))).select(*columns, "change")
 
 
 def snapshot_cells(before: DataFrame, after: DataFrame, key: str) -> DataFrame:

@@ -336,13 +336,14 @@ def expenses_of(t: Tables, owners: DataFrame) -> DataFrame:
     )
 
 
-def gold_inputs(t: Tables) -> dict[str, DataFrame]:
-    """The four Silver datasets as the Gold build expects them."""
+def gold_inputs(t: Tables, written: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The four Silver datasets as the Gold build expects them.  ``written``: the rows of ``claims(t)``,
+    derived before; payments and the claims of expenses then start from them too."""
     return {
-        "claims_events": claims(t),
+        "claims_events": claims(t) if written is None else written,
         "daily_exposure": exposure(t),
-        "claim_payments": payments(t),
-        "expense_transactions": expenses(t),
+        "claim_payments": payments(t) if written is None else payments_of(latest_of(written)),
+        "expense_transactions": expenses(t) if written is None else expenses_of(t, _latest_rows(written, ["claim_id", "policy_id"])),
     }
 
 

@@ -65,3 +65,12 @@ def test_snapshot_diff(spark):
     diff = {(r["policy_id"], r["v"], r["change"]) for r in ph.snapshot_diff(a, b).collect()}
     assert diff == {("POL-2", 2, "removed"), ("POL-2", 3, "added")}
     assert ph.snapshot_diff(a, a).count() == 0
+
+
+def test_snapshot_diff_reads_each_side_once_and_keeps_copies(spark):
+    a = spark.createDataFrame([("P1", 1.0), ("P1", 1.0), ("P1", 1.0), ("P2", None), ("P3", 3.0)], "policy_id string, v double")
+    b = spark.createDataFrame([("P1", 1.0), ("P2", None), ("P3", 4.0), ("P3", 4.0)], "policy_id string, v double")
+    diff = ph.snapshot_diff(a, b)
+    assert sorted((r["policy_id"], r["v"], r["change"]) for r in diff.collect()) == [
+        ("P1", 1.0, "removed"), ("P1", 1.0, "removed"), ("P3", 3.0, "removed"), ("P3", 4.0, "added"), ("P3", 4.0, "added")]
+    assert diff._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
