@@ -154,7 +154,7 @@ def publish_roundtrip(spark, root):
     the older one commits last."""
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/gold-{uuid.uuid4().hex}"
     older, newer = (publish.claim_generation(spark, folder, END) for _ in range(2))
-    rows = policy_performance(spark, root)
+    rows = staged(policy_performance(spark, root), "policy-rows")  # both runs publish them
     publish.check_contract(spark, folder, "policy_performance", rows)
     for generation, run, df in ((newer, "newer", rows), (older, "older", rows.where("reported_claim_count = 0"))):
         place = publish.write_generation(df, folder, "policy_performance", END, run)
