@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators import gold, ibnr, policy_history, policy_silver, reports, silver
 from ..schemas import (
-    EXPENSES, EXPOSURE_FEED_FIELDS, GOLD_CLAIM_FIELDS, PAYMENT_FIELDS, PAYMENT_V2_FIELDS, PAYMENTS, POLICY_CHANGE_FIELDS, payments_v2,
+    EXPENSES, EXPOSURE_FEED_FIELDS, GOLD_CLAIM_FIELDS, GOLD_EXPOSURE_FIELDS, PAYMENT_FIELDS, PAYMENT_V2_FIELDS, PAYMENTS, POLICY_CHANGE_FIELDS, payments_v2,
 )
 from ..session import ensure_checkpoint_dir, staged, staged_by
 from ..sources import arrivals, bronze_files
@@ -95,7 +95,10 @@ def gold_violations(spark, root):
 
 def gold_checks_fired(spark, root):
     """Every Gold check (G1-G10, each leg) on feeds that hold its defect."""
-    return gold.violations(defects.gold_inputs(fx.tables(spark, root)), START, END)
+    t = fx.tables(spark, root)
+    inputs = defects.gold_inputs(t, _by_claim(t, fx.claims(t)))
+    inputs["daily_exposure"] = _by_policy(t, inputs["daily_exposure"].select(*GOLD_EXPOSURE_FIELDS))
+    return gold.violations(inputs, START, END)
 
 
 def ibnr_checks_fired(spark, root):
