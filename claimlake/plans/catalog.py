@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators import gold, ibnr, policy_history, policy_silver, reports, silver
 from ..schemas import (
-    EXPENSES, EXPOSURE_FEED_FIELDS, GOLD_CLAIM_FIELDS, GOLD_EXPOSURE_FIELDS, PAYMENT_FIELDS, PAYMENT_V2_FIELDS, PAYMENTS, POLICY_CHANGE_FIELDS, payments_v2,
+    EXPENSES, EXPOSURE_FEED_FIELDS, GOLD_CLAIM_FIELDS, GOLD_EXPOSURE_FIELDS, IBNR_CLAIM_FIELDS, PAYMENT_FIELDS, PAYMENT_V2_FIELDS, PAYMENTS, POLICY_CHANGE_FIELDS, payments_v2,
 )
 from ..session import ensure_checkpoint_dir, staged, staged_by
 from ..sources import arrivals, bronze_files
@@ -104,7 +104,9 @@ def gold_checks_fired(spark, root):
 def ibnr_checks_fired(spark, root):
     """Every reserve check on feeds that hold its defect."""
     t = fx.tables(spark, root)
-    return ibnr.violations(defects.exposure(t), defects.claims(t), BF_START, BF_END)
+    exposure = _by_policy(t, defects.exposure(t).select("policy_id", "load_date", "earned_premium"))
+    claims = _by_claim(t, defects.claims(t).select(*IBNR_CLAIM_FIELDS))
+    return ibnr.violations(exposure, claims, BF_START, BF_END)
 
 
 def report_portfolio(spark, root):

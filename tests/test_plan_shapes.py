@@ -156,6 +156,6 @@ def test_latest_versions_do_not_wait_for_the_collapse_of_copies(spark):
 
 def test_fired_checks_start_from_written_feeds(spark):
     # Every check reads the feeds; the joins that derive claims and exposure run once, not once a check.
-    for name in ("gold_checks_fired",):
+    for name in ("gold_checks_fired", "ibnr_checks_fired"):
         read = QUERIES[name](spark, SF_SMALL).inputFiles()
         assert not [f for f in read if "lineitem" in f or "orders" in f], name
